@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ingest", "cleaning")
+MODULES = ("ingest", "cleaning", "star", "views", "questions")
 
 
 def load_all() -> None:

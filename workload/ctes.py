@@ -450,3 +450,10 @@ CTES["fx_outcome"] = """
              WHERE snapshot_date_key = 20010701 AND NOT is_suspect) l ON l.ccn = s.ccn
   LEFT JOIN (SELECT ccn, SUM(fine_amount_usd) AS fines FROM fx_penalty
              WHERE penalty_date BETWEEN DATE '1998-07-01' AND DATE '2001-07-01' GROUP BY ccn) p ON p.ccn = s.ccn"""
+
+CTES["fx_fines_now"] = """
+  SELECT ccn, SUM(fine_amount_usd) AS fine_total, COUNT(*) FILTER (WHERE fine_amount_usd > 0) AS fine_events,
+         SUM(payment_denial_days) AS denial_days
+  FROM fx_penalty WHERE penalty_date >= DATE '1998-07-01' AND penalty_date <= DATE '2001-07-01' GROUP BY ccn"""
+CTES["fx_roster_now"] = roster_sql("snapshot_date_key = 20010701", "fx_fines_now")
+CTES["fx_scored_now"] = scored_sql("fx_roster_now")
