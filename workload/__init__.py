@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ingest", "cleaning", "star", "views", "questions")
+MODULES = ("ingest", "cleaning", "star", "views", "questions", "derived", "quality")
 
 
 def load_all() -> None:
