@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators import lookups
 from tidemark.operators.ordering import number_in_group
 
 BY_ID, BY_KEY = "fine_id", "natural_key"
@@ -39,10 +39,23 @@ def natural_key(c: EventColumns, occurrence: str = "occurrence") -> Column:
         text(F.col(c.kind)), F.col(occurrence).cast("string"))
 
 
-def with_natural_key(sightings: DataFrame, c: EventColumns, **options) -> DataFrame:
-    """Number identical events of one file in file order and build their key."""
-    numbered = number_in_group(sightings, c.group, list(c.position), "occurrence", **options)
-    return numbered.withColumn("natural_key", natural_key(c))
+def with_natural_key(sightings: DataFrame, c: EventColumns, hot_rows: int | None = None) -> DataFrame:
+    """Number identical events of one file in file order and build their key.
+
+    Rows are spread once by (member, date, type): that serves the numbering and
+    the collapse after it. Where such a group is too large for one task, the
+    numbering falls back to slices of the file order.
+    """
+    limit = lookups.HOT_ROWS if hot_rows is None else hot_rows
+    event = c.group[1:]
+    hot = sightings.groupBy(*event).count().filter(F.col("count") > limit)
+    if hot.isEmpty():
+        window = W.partitionBy(*event, c.stamp).orderBy(*c.position)
+        numbered = sightings.repartition(*event).withColumn(
+            "occurrence", (F.row_number().over(window) - 1).cast("bigint"))
+    else:
+        numbered = number_in_group(sightings, c.group, list(c.position), "occurrence", limit=limit)
+    return numbered
 
 
 def _reported_last(c: EventColumns) -> Column:
@@ -60,14 +73,14 @@ def by_natural_key(keyed: DataFrame, c: EventColumns) -> DataFrame:
     """
     first = F.struct(F.col(c.stamp), *[F.col(p) for p in c.position])
     has_id = F.col(c.official_id).isNotNull()
-    payload = [x for x in keyed.columns if x not in ("natural_key", c.official_id)]
-    return keyed.groupBy("natural_key").agg(
+    payload = [x for x in keyed.columns if x not in ("occurrence", c.official_id)]
+    return keyed.groupBy(*c.group[1:], "occurrence").agg(
         F.min_by(c.official_id, F.when(has_id, first)).alias(c.official_id),
         F.max_by(F.struct(*payload), _reported_last(c)).alias("last"),
         F.max(_reported_last(c)).alias("last_order"),
         F.count("*").alias("sightings"),
         F.count(F.when(has_id, 1)).alias("with_id"),
-    )
+    ).withColumn("natural_key", natural_key(c))
 
 
 def window_dedup(sightings: DataFrame, c: EventColumns = EventColumns(), **options) -> DataFrame:
@@ -129,21 +142,19 @@ def key_audit(sightings: DataFrame, c: EventColumns = EventColumns(), **options)
     ids = keys.filter(F.col(c.official_id).isNotNull())
     per_id = ids.groupBy(c.official_id).agg(F.count("*").alias("keys"))
     # one id per key is what back-fill leaves; counted, not assumed
-    per_key = ids.groupBy("natural_key").agg(F.count("*").alias("ids"))
-
-    amounts = [c.member, c.date, c.kind, c.amount]
-    first = F.struct(
-        F.col(c.stamp), F.col(c.member).isNull(), F.col(c.member),
-        F.col(c.date).isNull(), F.col(c.date), *[F.col(p) for p in c.position])
-    by_amount = keyed.groupBy("natural_key", *amounts).agg(F.min(first).alias("__first"))
-    identified = ids.select("natural_key").withColumn("__known", F.lit(True))
-    by_amount = lookup_join(by_amount, identified, "natural_key").withColumn(
-        "__known", F.coalesce("__known", F.lit(False)))
+    per_key = ids.groupBy("natural_key").agg(F.count_distinct(c.official_id).alias("ids"))
+
+    event = [*c.group[1:], "occurrence"]
+    amounts = [*c.group[1:], c.amount]
+    by_amount = keyed.groupBy(*event, c.amount).agg(F.min(_reported_last(c)).alias("__first"))
+    # a group holds one row per event and amount: null-safe joins on those columns
+    known = keys.select(*event, F.col(c.official_id).isNotNull().alias("__known"))
+    by_amount = lookups._equi(by_amount, known, event, "inner", null_safe=True)
     sibling = by_amount.filter("__known").select(*amounts).distinct()
-    orphans = lookup_join(by_amount.filter(~F.col("__known")).drop("__known"), sibling, amounts,
-                          "left_semi", null_safe=True)
+    orphans = lookups._equi(by_amount.filter(~F.col("__known")), sibling, amounts, "left_semi",
+                            null_safe=True)
     # an event restated without an id may be an orphan under several amounts: take its first
-    events = orphans.groupBy("natural_key").agg(F.min_by(c.amount, "__first").alias("__money"))
+    events = orphans.groupBy(*event).agg(F.min_by(c.amount, "__first").alias("__money"))
     counted = lambda frame, condition: frame.agg(F.count(F.when(condition, 1)).alias("n")).scalar()
     return events.agg(
         F.count("*").alias("orphan_events"),

@@ -16,11 +16,6 @@ HOT_ROWS = 1_000_000        # rows of one key that a single task may handle
 SALTS = 64
 
 
-def fits(frame: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most this many rows; stops counting beyond."""
-    return frame.limit(rows + 1).count() <= rows
-
-
 def pinned(frame: DataFrame, rows: int = PIN_ROWS, size: int = PIN_BYTES) -> DataFrame | None:
     """A small result as a local table of known size, or None if it is not small."""
     table = frame.limit(rows + 1).toArrow()
@@ -56,6 +51,16 @@ def _equi(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe:
     return joined.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in on])
 
 
+def join_unique(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "left", *,
+                null_safe: bool = False) -> DataFrame:
+    """Join two sides that hold every key at most once.
+
+    No key can be hot, so the physical join is left to the optimizer and to
+    runtime statistics: broadcast when a side turns out small, else by shuffle.
+    """
+    return _equi(left, right, [on] if isinstance(on, str) else list(on), how, null_safe)
+
+
 def lookup_join(
     large: DataFrame, small: DataFrame, on: list[str] | str, how: str = "left", *,
     null_safe: bool = False, residual: Column | None = None, rows: int | None = None,

@@ -3,7 +3,8 @@
 Small inputs use an ordinary window. Past a checked size the rows are cut into
 ranges of the order ("slices"), numbered inside each slice, and shifted by the
 totals of the slices before. No task ever sorts more than one slice, however hot
-a group is.
+a group is. Where a size must be known first, the rows are written once and
+counted there, so the work behind them is not done twice.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.operators import lookups
-from tidemark.operators.lookups import fits
 from tidemark.session import durable
 
 MAX_SLICES = 20_000
@@ -36,9 +36,11 @@ def sliced_total(
     slice_rows = slice_rows or lookups.HOT_ROWS
     by, order = list(by), _columns(order)
     weight = F.lit(1) if weight is None else weight
-    slices = min(MAX_SLICES, max(1, math.ceil(frame.count() / slice_rows)))
+    # range partitioning samples its input first: sample the written rows
+    written = durable(frame)
+    slices = min(MAX_SLICES, max(1, math.ceil(written.count() / slice_rows)))
     sliced = durable(
-        frame.withColumn("__weight", weight.cast("bigint"))
+        written.withColumn("__weight", weight.cast("bigint"))
         .repartitionByRange(slices, *[F.col(c) for c in by], *order)
         .withColumn("__slice", F.spark_partition_id())
     )
@@ -59,7 +61,8 @@ def dense_key(frame: DataFrame, order: list, into: str, *, first: int = 1,
               limit: int | None = None) -> DataFrame:
     """Surrogate keys first, first+1, ... in a fixed total order."""
     limit = lookups.HOT_ROWS if limit is None else limit
-    if fits(frame, limit):
+    frame = durable(frame)
+    if frame.count() <= limit:
         position = F.row_number().over(W.orderBy(*_columns(order))) - 1
         return frame.select((position + first).cast("bigint").alias(into), "*")
     numbered = sliced_total(frame, order, into, slice_rows=limit)
@@ -95,18 +98,21 @@ def exact_quantiles(
     """Exact quantiles with linear interpolation, one array per group.
 
     Equal values are merged first. ``bounded`` says the value domain is small by
-    construction (star ratings, one row per state); otherwise the number of
-    distinct values is checked and a distributed selection takes over past it.
+    construction (star ratings, one row per state). Otherwise the merged values
+    are read once if they are few, and a distributed selection takes over past
+    ``limit`` of them.
     """
     by = list(by)
-    limit = lookups.HOT_ROWS if limit is None else limit
+    limit = lookups.PIN_ROWS if limit is None else limit
     counts = (
         frame.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
     )
-    if bounded or fits(counts, limit):
-        return counts.groupBy(*by).agg(
+    few = counts if bounded else lookups.pinned(counts, limit)
+    if few is not None:
+        return few.groupBy(*by).agg(
             F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias(into))
+    counts = durable(counts)
     ranked = sliced_total(counts, ["__v"], "__before", by=by, weight=F.col("__n"), slice_rows=limit)
     sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
     ranked = (lookups.lookup_join(ranked, sizes, by, "inner", null_safe=True) if by

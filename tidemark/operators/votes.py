@@ -55,7 +55,7 @@ def date_votes(frame: DataFrame, column: str, by: list[str]) -> DataFrame:
     names = F.array(*[F.lit(p) for p, _ in _FORMATS])
     return scores.select(
         *by, "present", "hits", "format_index",
-        names[F.col("format_index")].alias("date_format"),
+        F.get(names, F.col("format_index")).alias("date_format"),
         (F.col("present") - F.col("hits")).alias("unparsed"),
         rivals.cast("int").alias("rivals"),
     )

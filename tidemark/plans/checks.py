@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.measures import count_where, divide, zero_sum
-from tidemark.operators.lookups import lookup_join, salted_join
+from tidemark.operators.lookups import join_unique
 
 PRIMARY_KEYS = {
     "dim_date": ["date_key"], "dim_facility": ["facility_key"], "dim_geography": ["geography_key"],
@@ -85,7 +85,7 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, column: str, key: str, target: s
     """
     used = fact.groupBy(F.col(column).alias("__k")).agg(F.count("*").alias("n"))
     members = dim.select(F.col(key).alias("__k"), F.lit(True).alias("__member"))
-    joined = lookup_join(used, members, "__k")
+    joined = join_unique(used, members, "__k")
     unknown = zero_sum(F.when(F.col("__k") == V.UNKNOWN_KEY, F.col("n")))
     return metric(
         joined, "fk", target, F.sum("n"), F.sum(F.when(F.col("__member").isNull(), F.col("n"))),
@@ -238,7 +238,7 @@ def reconcile(detail: DataFrame, published: DataFrame, key: str, amount: str, to
     Only keys with a published amount are compared; one row of results.
     """
     sums = detail.groupBy(key).agg(zero_sum(amount).alias("__sum"))
-    joined = lookup_join(published.select(key, F.col(total).alias("__total")).filter(
+    joined = join_unique(published.select(key, F.col(total).alias("__total")).filter(
         F.col("__total") > 0), sums, key)
     drift = F.coalesce("__sum", F.lit(0)) - F.col("__total")
     return joined.withColumn("__drift", drift).agg(
@@ -256,7 +256,7 @@ def dedup_upper_bound(sightings: DataFrame, events: DataFrame, file: str, group:
     in_file = sightings.groupBy(file, *group).agg(F.count("*").alias("n"))
     bound = in_file.groupBy(*group).agg(F.max("n").alias("__bound"))
     stored = events.groupBy(*group).agg(F.count("*").alias("stored"))
-    joined = salted_join(stored, bound, group, null_safe=True)
+    joined = join_unique(stored, bound, group, null_safe=True)
     surplus = F.greatest(F.col("stored") - F.coalesce("__bound", F.lit(0)), F.lit(0))
     return joined.agg(
         F.count("*").alias("groups"), count_where(surplus > 0).alias("groups_over"),

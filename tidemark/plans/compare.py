@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tidemark import fixed_values as V
 from tidemark.functions.bands import with_band
 from tidemark.functions.measures import count_where, divide, mean, measures, zero_sum
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.plans.semantic import Filters, at_latest, latest_period
 
 ALL = Filters()
@@ -71,7 +71,7 @@ def fines_per_bed_by_state(facility: DataFrame, penalty: DataFrame, f: Filters =
         F.sum("certified_beds").alias("total_beds"), F.count("*").alias("facilities"))
     fines = penalty.filter(f.penalties()).groupBy("state_code").agg(
         zero_sum("fine_amount_usd").alias("m5_fine_usd"), F.sum("penalty_count").alias("events"))
-    return lookup_join(beds.filter(F.col("total_beds") > 0), fines, "state_code").withColumns({
+    return join_unique(beds.filter(F.col("total_beds") > 0), fines, "state_code").withColumns({
         "m5_fine_usd": F.coalesce("m5_fine_usd", F.lit(0)),
         "events": F.coalesce("events", F.lit(0)),
     }).withColumn("fine_per_bed", divide(F.col("m5_fine_usd"), F.col("total_beds")))
@@ -89,7 +89,7 @@ def compare(facility: DataFrame, penalty: DataFrame, dimension: str, f: Filters
         *measures())
     fines = penalty.filter(f.penalties()).groupBy(F.col(dimension).alias("grp")).agg(
         zero_sum("fine_amount_usd").alias("m5_fine_usd"), F.sum("penalty_count").alias("m6_events"))
-    joined = lookup_join(groups, fines, "grp", null_safe=True).withColumns({
+    joined = join_unique(groups, fines, "grp", null_safe=True).withColumns({
         "m5_fine_usd": F.coalesce("m5_fine_usd", F.lit(0)),
         "m6_events": F.coalesce("m6_events", F.lit(0)),
     })
@@ -128,7 +128,7 @@ def market(facility: DataFrame, saturation: DataFrame, f: Filters = ALL) -> Data
     states = at_latest(facility.filter(f.facility())).groupBy(
         "state_code", "state_name", "census_region").agg(*measures())
     supply = saturation.select("state_code", "pop_65plus", "m10_beds_per_1000_elderly")
-    return lookup_join(states, supply, "state_code").orderBy(
+    return join_unique(states, supply, "state_code").orderBy(
         F.col("m1_occupancy_rate").desc_nulls_last(), "state_code")
 
 
@@ -157,7 +157,7 @@ def watchlist(facility: DataFrame, penalty: DataFrame, f: Filters = ALL, limit:
     fines = penalty.groupBy("ccn").agg(
         zero_sum("fine_amount_usd").alias("fines_usd"), F.sum("penalty_count").alias("penalty_events"))
     fell = rating_change(facility, f).filter(F.col("rating_delta") < 0)
-    return lookup_join(fell, fines, "ccn").withColumns({
+    return join_unique(fell, fines, "ccn").withColumns({
         "fines_usd": F.coalesce("fines_usd", F.lit(0)),
         "penalty_events": F.coalesce("penalty_events", F.lit(0)),
     }).orderBy("rating_delta", F.col("fines_usd").desc(), "ccn").limit(limit)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.measures import count_where, divide, mean, zero_sum
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.plans.roster import at_period, in_window, period_end
 
 
@@ -57,7 +57,7 @@ def state_enforcement(facility: DataFrame, penalty: DataFrame, period: int | Non
         F.count_distinct("ccn").alias("fined_facilities"),
         F.sum("payment_denial_days").alias("denial_days"))
     counts = ("fines", "fine_events", "fined_facilities", "denial_days")
-    return lookup_join(beds, fined, "state_code").withColumns({
+    return join_unique(beds, fined, "state_code").withColumns({
         c: F.coalesce(c, F.lit(0)).cast("bigint") for c in counts
     }).withColumns({
         "fines_per_bed": divide(F.col("fines"), F.col("beds")),

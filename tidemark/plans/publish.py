@@ -37,12 +37,11 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id
     release = f"{root}/releases/{run_id}"
     for name, frame in tables.items():
         rows = checks.conform(frame, DECLARED[name], name) if name in DECLARED else frame
-        writer = rows.write.mode("errorifexists")
-        if name in PARTITIONS:
-            # one writer per period would be a hot task; spread each period over many
-            writer = writer.partitionBy(PARTITIONS[name])
-        writer.parquet(f"{release}/{name}")
-    written = {n: spark.read.parquet(f"{release}/{n}").select(*tables[n].columns) for n in tables}
+        by = [PARTITIONS[name]] if name in PARTITIONS else []
+        # rebalancing splits a hot period over several writers and merges small ones
+        writer = rows.hint("rebalance", *by).write.mode("errorifexists")
+        (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")
+    written = {n: spark.read.schema(t.schema).parquet(f"{release}/{n}") for n, t in tables.items()}
     # a metric row per rule: small, and needed twice
     metrics = checks.validate(written).collect()
     frame = spark.createDataFrame(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.measures import count_where, divide, mean, share, zero_sum
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.operators.ordering import quantile_cuts
 from tidemark.plans.gradients import per_base
 from tidemark.plans.roster import fines_by_facility, in_window, short_names
@@ -55,7 +55,7 @@ def with_trajectory(scored: DataFrame, facility: DataFrame, period: int | None =
     before = short_names(facility.filter((at == start) & (at != chosen))).select(
         "ccn", F.col("rating").alias("rating_before"),
         F.col("deficiencies").alias("deficiencies_before"))
-    return lookup_join(scored, before, "ccn").withColumns({
+    return join_unique(scored, before, "ccn").withColumns({
         "rating_change": F.col("rating") - F.col("rating_before"),
         "deficiency_change": F.col("deficiencies") - F.col("deficiencies_before"),
     }).withColumn("declining", F.coalesce(F.col("rating_change") < 0, F.lit(False)))
@@ -87,7 +87,7 @@ def with_outcome(scored: DataFrame, facility: DataFrame, penalty: DataFrame, out
         "ccn", F.col("rating").alias("rating_later"), F.col("beds").alias("beds_later"))
     fines = fines_by_facility(in_window(penalty, window_end)).select(
         "ccn", F.col("fine_total").alias("fines_later"))
-    joined = lookup_join(lookup_join(scored, later, "ccn"), fines, "ccn")
+    joined = join_unique(join_unique(scored, later, "ccn"), fines, "ccn")
     exited = F.col("beds_later").isNull()
     return joined.withColumns({
         "exited": exited,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.measures import count_where, divide, zero_sum
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.plans.semantic import Filters, latest_period
 
 NO_SUSPECTS = Filters(include_suspect=False)
@@ -54,7 +54,7 @@ def facility_roster(facility: DataFrame, penalty: DataFrame, period: int | None
     rows = short_names(at_period(facility, period).filter(f.facility(with_period=False)))
     fines = fines_by_facility(in_window(penalty, period_end(facility, period)))
     zero = F.lit(0).cast("bigint")
-    return lookup_join(rows, fines, "ccn").withColumns({
+    return join_unique(rows, fines, "ccn").withColumns({
         c: F.coalesce(c, zero) for c in ("fine_total", "fine_events", "denial_days")
     }).withColumns({
         "fines_per_bed": divide(F.col("fine_total"), F.col("beds")),

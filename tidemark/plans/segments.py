@@ -9,7 +9,7 @@ from tidemark.functions.bands import label_order
 from tidemark.functions.measures import (
     count_where, divide, mean, ratio_of_sums, weighted_mean, zero_sum,
 )
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique, lookup_join
 from tidemark.operators.ordering import exact_quantiles
 from tidemark.plans.roster import at_period, in_window, period_end, short_names
 
@@ -51,11 +51,11 @@ def segment_compare(facility: DataFrame, penalty: DataFrame, segment: str,
         F.sum("fine_amount_usd").alias("fines"),
         count_where(F.col("fine_amount_usd") > 0).alias("events"),
         F.sum("payment_denial_days").alias("days"))
-    penalised = lookup_join(roster.select("ccn", "segment"), per_facility, "ccn", "inner")
+    penalised = join_unique(roster.select("ccn", "segment"), per_facility, "ccn", "inner")
     penalties = penalised.groupBy("segment").agg(
         zero_sum("fines").alias("fine_total"), zero_sum("events").alias("fine_events"),
         zero_sum("days").alias("denial_days"), F.count_distinct("ccn").alias("fined_facilities"))
-    joined = lookup_join(operations, penalties, "segment").withColumns({
+    joined = join_unique(operations, penalties, "segment").withColumns({
         c: F.coalesce(c, F.lit(0)).cast("bigint")
         for c in ("fine_total", "fine_events", "denial_days", "fined_facilities")})
     out = joined.withColumns({
@@ -183,7 +183,7 @@ def fanout_check(facility: DataFrame, penalty: DataFrame, group: str, period: in
     rows = short_names(at_period(facility, period).filter(
         (F.col("ownership_group") == group) & ~F.col("is_suspect"))).select("ccn", "beds")
     counts = penalty.groupBy("ccn").agg(F.count("*").alias("__n"))
-    return lookup_join(rows, counts, "ccn").agg(
+    return join_unique(rows, counts, "ccn").agg(
         zero_sum("beds").alias("true_beds"),
         zero_sum(F.col("beds") * F.col("__n")).alias("naive_beds"),
     ).withColumn("inflation", divide(F.col("naive_beds"), F.col("true_beds")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.measures import (
     divide, mean, measures, penalty_split, ratio_of_sums, zero_sum,
 )
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique, lookup_join
 
 FACILITY_MEASURES = [
     "certified_beds", "avg_residents_per_day", "resident_days", "reported_total_nurse_hprd",
@@ -180,7 +180,7 @@ def market_saturation(facility: DataFrame, population: DataFrame) -> DataFrame:
     newest = population.agg(F.max("year")).scalar()
     people = population.filter(F.col("year") == newest).select(
         "state_code", "pop_65plus", F.col("year").alias("population_year"))
-    return lookup_join(supply, people, "state_code").withColumn(
+    return join_unique(supply, people, "state_code").withColumn(
         "m10_beds_per_1000_elderly",
         divide(F.col("total_certified_beds"), F.col("pop_65plus") / 1000.0))
 

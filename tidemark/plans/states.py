@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tidemark import fixed_values as V
 from tidemark.functions.bands import band
 from tidemark.functions.measures import divide, mean, ratio_of_sums, zero_sum
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.operators.ordering import exact_quantiles, one_row, percentile_rank
 from tidemark.plans.roster import at_period
 
@@ -63,7 +63,7 @@ def state_market(facility: DataFrame, population: DataFrame, period: int | None
     period_year = chosen.agg(F.max("snapshot_year")).scalar()
     wanted = nearest_year(population, period_year).scalar()
     people = population.filter(F.col("year") == wanted).select("state_code", "pop_65plus")
-    out = lookup_join(states, people, "state_code")
+    out = join_unique(states, people, "state_code")
     return out.select(
         "state_code", "state_name", "census_region", "facilities", "beds", "pop_65plus",
         divide(F.col("beds"), F.col("pop_65plus") / 1000.0).alias("beds_per_1k_65plus"),

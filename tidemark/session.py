@@ -57,6 +57,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+    """Write a table to the shared folder once and read it back.
+
+    Readers get column and partition pruning and exact sizes. Rebalancing splits
+    a hot partition over several writers and merges small ones.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    rows = frame.hint("rebalance", partition) if partition else frame.hint("rebalance")
+    writer = rows.write.partitionBy(partition) if partition else rows.write
+    writer.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def durable(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared checkpoint folder and cut its lineage.
 

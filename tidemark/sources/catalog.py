@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tidemark import fixed_values as V
 from tidemark.functions.clean import col
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique, lookup_join
 from tidemark.operators.ordering import first_per_key
 
 
@@ -80,7 +80,7 @@ def incremental_pending(catalog: DataFrame, ledger: DataFrame, force: bool = Fal
     if force:
         return catalog
     loaded = ledger.groupBy("snapshot_date").agg(F.max("length").alias("loaded_length"))
-    joined = lookup_join(catalog, loaded, "snapshot_date", "left")
+    joined = join_unique(catalog, loaded, "snapshot_date", "left")
     complete = F.col("loaded_length").isNotNull() & (
         (F.col("length") == 0) | (F.col("length") == F.col("loaded_length")))
     return joined.filter(~complete).withColumn(
@@ -132,7 +132,7 @@ def source_coverage(files: DataFrame, survivors: DataFrame) -> DataFrame:
     """
     served = survivors.select(
         "processing_date", "logical", F.col("source_date").alias("__source"))
-    joined = lookup_join(files, served, ["processing_date", "logical"])
+    joined = files.join(served, ["processing_date", "logical"], "left")
     status = (
         F.when(F.col("__source").isNull(), "unread")
         .when(F.col("__source") == F.col("snapshot_date"), "carried").otherwise("superseded")

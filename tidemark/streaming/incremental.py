@@ -2,38 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark import fixed_values as V
-from tidemark.functions.clean import null_tokens_to_null
-from tidemark.sources import catalog, text
+from tidemark.sources import catalog
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-def land_new_files(spark: SparkSession, root: str, logical: str, header: list[str],
-                   target: str, checkpoint: str) -> int:
-    """Append files of one layout that no earlier run has seen; return batches run.
 
-    The file source keeps the ledger of files in ``checkpoint``; ``availableNow``
-    takes what is there, in several batches if it is much, and stops. One stream
-    reads one header layout, so each era has its own target and checkpoint.
+def record_new_files(spark: SparkSession, root: str, ledger: str, checkpoint: str) -> DataFrame:
+    """Append files no earlier run has seen to a ledger table, and return the ledger.
+
+    The file source remembers in ``checkpoint`` what it has listed; the parquet
+    sink makes each batch appear once, also after a lost run. Only paths and sizes
+    flow through the stream: contents are pruned from the scan, and rows are read
+    in batch, where their position in the file is known.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    incoming = (
-        spark.readStream.option("header", True).option("encoding", V.TEXT_ENCODING)
-        .option("recursiveFileLookup", "true").option("enforceSchema", True)
-        .schema(schema).csv(root)
-        .select(*[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in header],
-                F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_block_start").alias(text.POSITION[0]),
-                F.monotonically_increasing_id().alias(text.POSITION[1]))
-        .filter(catalog.classify("file_path") == logical)
+    listed = (
+        spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", "true").load(root)
+        .select(catalog.period_of("path").alias("snapshot_date"), "path", "length",
+                catalog.classify("path").alias("logical"))
+        .filter(F.col("snapshot_date").isNotNull() & F.col("logical").isNotNull())
     )
-    rows = text.canonicalize(incoming, logical, keep=["file_path", *text.POSITION]).withColumn(
-        "snapshot_date", catalog.period_of("file_path"))
     query = (
-        rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
-        .format("parquet").option("path", target).partitionBy("snapshot_date")
-        .outputMode("append").start()
+        listed.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+        .format("parquet").option("path", ledger).outputMode("append").start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return spark.read.parquet(ledger)

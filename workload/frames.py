@@ -15,7 +15,8 @@ from tidemark.operators.dedup import EventColumns, window_dedup
 from tidemark.operators.lookups import lookup_join
 from tidemark.plans import dimensions, facts
 from tidemark.plans.dimensions import covid_period
-from tidemark.session import durable, tune
+from tidemark.plans.roster import facility_roster
+from tidemark.session import stored, tune
 
 SIGHTING_POSITION = ("l_orderkey", "l_linenumber", "l_partkey", "cents")
 SIGHTING = EventColumns(position=SIGHTING_POSITION)
@@ -81,6 +82,11 @@ class Frames:
 
     @cached_property
     def facility(self) -> DataFrame:
+        """The flat facility view as a stored table by period, as questions read it."""
+        return stored(self.facility_rows, "facility", "snapshot_date_key")
+
+    @cached_property
+    def facility_rows(self) -> DataFrame:
         """The flat facility view over the panel."""
         sk, period, defic = F.col("ccn").cast("bigint"), F.col("period"), F.col("deficiencies")
         group = F.when((period >= F.lit("2000-01-01").cast("date")) & (sk % 10 == 7), "Government").otherwise(
@@ -217,15 +223,20 @@ class Frames:
 
     @cached_property
     def penalty(self) -> DataFrame:
+        """The flat penalty view as a stored table by penalty year."""
+        return stored(self.penalty_rows, "penalty", "penalty_year")
+
+    @cached_property
+    def penalty_rows(self) -> DataFrame:
         """The flat penalty view: events after dedup, attributes of the kept period."""
         events = window_dedup(self.sighting, SIGHTING)
-        at = self.facility.select(
+        at = self.facility_rows.select(
             "ccn", F.col("snapshot_date").alias("stamp"), "provider_name", "state_code", "state_name",
             "census_region", "ownership_group", "chain_name", "chain_size_band")
         unknown = F.lit("Unknown")
         labels = [c for c in at.columns if c not in ("ccn", "stamp")]
         date = F.col("penalty_date")
-        return lookup_join(events, at, ["ccn", "stamp"]).select(
+        return events.join(at, ["ccn", "stamp"], "left").select(
             date, F.year(date).alias("penalty_year"), F.quarter(date).alias("penalty_quarter"),
             "stamp", "ccn", *[F.coalesce(c, unknown).alias(c) for c in labels], "penalty_type",
             (F.col("penalty_type") == "Fine").alias("is_monetary"), "fine_id", "fine_id_source",
@@ -267,23 +278,36 @@ class Frames:
     @cached_property
     def staged_provider(self) -> DataFrame:
         """Provider rows as a stored staging table: read by many rules below."""
-        return durable(self.provider)
+        return stored(self.provider, "provider")
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         """Dimensions stored before any fact refers to their keys."""
         built = dimensions.build_dimensions(self.staged_provider, self.sighting, ["source_row"])
-        return {name: durable(dim) for name, dim in built.items()}
+        return {name: stored(dim, name) for name, dim in built.items()}
 
     @cached_property
     def fact_snapshot(self) -> DataFrame:
-        return facts.fact_snapshot(self.staged_provider, self.dims, ["source_row"])
+        return stored(self.fact_snapshot_rows, "fact_snapshot", "snapshot_date_key")
 
     @cached_property
     def fact_penalty(self) -> DataFrame:
+        return stored(self.fact_penalty_rows, "fact_penalty")
+
+    @property
+    def fact_snapshot_rows(self) -> DataFrame:
+        return facts.fact_snapshot(self.staged_provider, self.dims, ["source_row"])
+
+    @property
+    def fact_penalty_rows(self) -> DataFrame:
         attributes = facts.attributes_at(self.staged_provider, self.dims, ["source_row"])
         return facts.fact_penalty(self.sighting, attributes, self.dims, SIGHTING)
 
+    @lru_cache(maxsize=8)
+    def roster(self, period: int | None = None) -> DataFrame:
+        """One row per facility of a period, stored: questions pass over it often."""
+        return stored(facility_roster(self.facility, self.penalty, period), "roster")
+
 
 @lru_cache(maxsize=4)
 def _frames(spark: SparkSession, folder: str, application: str) -> Frames:

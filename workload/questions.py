@@ -12,7 +12,7 @@ NEWEST = "snapshot_date_key = (SELECT k FROM fx_latest)"
 
 
 def roster_of(f):
-    return roster.facility_roster(f.facility, f.penalty)
+    return f.roster()
 
 
 # --- markets -----------------------------------------------------------------------
@@ -188,7 +188,7 @@ ROSTER = ("ccn:s provider_name:s special_focus_status:s abuse_icon:b state_code:
 
 @query("facility_roster", ROSTER, "SELECT * FROM fx_roster")
 def facility_roster(f):
-    return roster_of(f)
+    return roster.facility_roster(f.facility, f.penalty)
 
 
 @query("facility_roster_filtered", ROSTER, "SELECT * FROM fx_roster_1998 WHERE state_code IN ('NATION_1', 'NATION_3', 'NATION_7') AND ownership_group = 'For profit'")
@@ -415,7 +415,7 @@ def risk_score(f):
 
 
 def _trajectory(f, period=20010701):
-    scored = risk.risk_score(roster.facility_roster(f.facility, f.penalty, period))
+    scored = risk.risk_score(f.roster(period))
     return risk.with_trajectory(scored, f.facility, period)
 
 
@@ -440,7 +440,7 @@ def risk_counts(f):
 
 
 def _outcome(f):
-    scored = risk.risk_score(roster.facility_roster(f.facility, f.penalty, 19980101))
+    scored = risk.risk_score(f.roster(19980101))
     return risk.with_outcome(scored, f.facility, f.penalty, 20010701, F.lit("2001-07-01").cast("date"))
 
 

@@ -140,7 +140,7 @@ FACT1 = ("snapshot_date_key:i facility_key:i geography_key:i ownership_key:i cha
 
 @query("fact_snapshot", FACT1, "SELECT * FROM fx_fact_snapshot")
 def fact_snapshot(f):
-    return f.fact_snapshot
+    return f.fact_snapshot_rows
 
 
 FACT2 = ("penalty_event_key:i penalty_date_key:i facility_key:i geography_key:i ownership_key:i chain_key:i "
@@ -149,7 +149,7 @@ FACT2 = ("penalty_event_key:i penalty_date_key:i facility_key:i geography_key:i
 
 @query("fact_penalty", FACT2, "SELECT * FROM fx_fact_penalty")
 def fact_penalty(f):
-    return f.fact_penalty
+    return f.fact_penalty_rows
 
 
 EVENT = ("stamp:d ccn:s penalty_date:d penalty_type:s fine_id:s fine_id_source:s fine_amount_usd:i "
