@@ -66,21 +66,22 @@ def _reported_last(c: EventColumns) -> Column:
 
 
 def by_natural_key(keyed: DataFrame, c: EventColumns) -> DataFrame:
-    """Collapse sightings to natural keys.
+    """Collapse sightings to natural keys: one row per key, its last sighting.
 
-    Keeps the first official id ever reported (so earlier sightings inherit a
-    later id), the last sighting, and the counts the accounting needs.
+    The first official id ever reported replaces the row's own (so earlier
+    sightings inherit a later id). Also the counts the accounting needs.
     """
-    first = F.struct(F.col(c.stamp), *[F.col(p) for p in c.position])
     has_id = F.col(c.official_id).isNotNull()
-    payload = [x for x in keyed.columns if x not in ("occurrence", c.official_id)]
-    return keyed.groupBy(*c.group[1:], "occurrence").agg(
-        F.min_by(c.official_id, F.when(has_id, first)).alias(c.official_id),
-        F.max_by(F.struct(*payload), _reported_last(c)).alias("last"),
-        F.max(_reported_last(c)).alias("last_order"),
-        F.count("*").alias("sightings"),
-        F.count(F.when(has_id, 1)).alias("with_id"),
-    ).withColumn("natural_key", natural_key(c))
+    event = [*c.group[1:], "occurrence"]
+    reported = [c.stamp, *c.position]          # total order inside one natural key
+    rest = [x for x in keyed.columns if x not in (*event, *reported, c.official_id)]
+    first_id = F.min(F.when(has_id, F.struct(*reported, c.official_id)))
+    return keyed.groupBy(*event).agg(
+        F.max(F.struct(*reported, *rest)).alias("__last"), first_id.alias("__first"),
+        F.count("*").alias("sightings"), F.count(F.when(has_id, 1)).alias("with_id"),
+    ).select(
+        *event, "__last.*", F.col(f"__first.{c.official_id}").alias(c.official_id), "sightings",
+        "with_id").withColumn("natural_key", natural_key(c))
 
 
 def window_dedup(sightings: DataFrame, c: EventColumns = EventColumns(), **options) -> DataFrame:
@@ -94,17 +95,17 @@ def window_dedup(sightings: DataFrame, c: EventColumns = EventColumns(), **optio
 
 
 def _by_identity(keys: DataFrame, c: EventColumns) -> DataFrame:
-    payload = F.struct("last", "natural_key")
+    payload = [x for x in keys.columns if x not in (c.official_id, "sightings", "with_id")]
     kept = (
         keys.withColumn("identity", F.coalesce(c.official_id, "natural_key"))
         .groupBy("identity", c.official_id)
-        .agg(F.max_by(payload, "last_order").alias("kept"),
+        .agg(F.max_by(F.struct(*payload), _reported_last(c)).alias("kept"),
              F.sum("sightings").alias("sightings"))
     )
     return kept.select(
-        "kept.last.*", c.official_id,
+        "kept.*", c.official_id,
         F.when(F.col(c.official_id).isNotNull(), BY_ID).otherwise(BY_KEY).alias("fine_id_source"),
-        "kept.natural_key", "identity", "sightings")
+        "identity", "sightings")
 
 
 def dedup_report(sightings: DataFrame, c: EventColumns = EventColumns(), **options) -> DataFrame:

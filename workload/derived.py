@@ -30,10 +30,11 @@ SCALE = f"(SELECT * FROM ({compare_sql('chain_size_band')}) c WHERE m3_nurse_hpr
 
 
 @query("finding_scale", FINDING, row(
-    "BQ8", "'solid'", "lo.grp", "hi.grp", "lo.m3_nurse_hprd", "hi.m3_nurse_hprd", "hi.m3_nurse_hprd - lo.m3_nurse_hprd",
-    f"(SELECT SUM(facilities) FROM {SCALE} s)",
-    f"(SELECT * FROM {SCALE} a ORDER BY m3_nurse_hprd DESC, facilities DESC, grp DESC LIMIT 1) hi, "
-    f"(SELECT * FROM {SCALE} b ORDER BY m3_nurse_hprd, facilities DESC, grp LIMIT 1) lo"))
+    "BQ8", f"CASE WHEN (SELECT COUNT(*) FROM {SCALE} s) >= 2 THEN 'solid' ELSE 'blocked' END", "lo.grp", "hi.grp", "lo.m3_nurse_hprd",
+    "hi.m3_nurse_hprd", "hi.m3_nurse_hprd - lo.m3_nurse_hprd", f"COALESCE((SELECT SUM(facilities) FROM {SCALE} s), 0)",
+    "(SELECT 1) one "
+    f"LEFT JOIN (SELECT * FROM {SCALE} a ORDER BY m3_nurse_hprd DESC, facilities DESC, grp DESC LIMIT 1) hi ON TRUE "
+    f"LEFT JOIN (SELECT * FROM {SCALE} b ORDER BY m3_nurse_hprd, facilities DESC, grp LIMIT 1) lo ON TRUE"))
 def finding_scale(f):
     """Bands of at least 10 facilities: the smaller folders have few."""
     return findings.finding_scale(f.facility, f.penalty, min_group=10)
@@ -103,9 +104,9 @@ def three(measure: str, direction: str) -> str:
 
 
 @query("finding_market", FINDING, row(
-    "BQ1 occupancy", "'solid'", three("m1_occupancy_rate", "DESC"), three("m1_occupancy_rate", "ASC"), "MAX(m1_occupancy_rate)",
+    "BQ1 occupancy", "CASE WHEN COUNT(*) > 0 THEN 'solid' ELSE 'blocked' END", three("m1_occupancy_rate", "DESC"), three("m1_occupancy_rate", "ASC"), "MAX(m1_occupancy_rate)",
     "MIN(m1_occupancy_rate)", "MAX(m1_occupancy_rate) - MIN(m1_occupancy_rate)", "COUNT(*)", f"{STATES} x") + " UNION ALL " + row(
-    "BQ1 beds per 1000", "'solid'", three("m10_beds_per_1000_elderly", "ASC"), three("m10_beds_per_1000_elderly", "DESC"),
+    "BQ1 beds per 1000", "CASE WHEN COUNT(*) > 0 THEN 'solid' ELSE 'blocked' END", three("m10_beds_per_1000_elderly", "ASC"), three("m10_beds_per_1000_elderly", "DESC"),
     "MIN(m10_beds_per_1000_elderly)", "MAX(m10_beds_per_1000_elderly)", "SUM(total_certified_beds) / (SUM(pop_65plus) / 1000.0)",
     "COUNT(*)", f"{STATES} x", "m10_beds_per_1000_elderly IS NOT NULL"))
 def finding_market(f):

@@ -221,6 +221,11 @@ class Frames:
             "l_orderkey", "l_linenumber", "l_partkey", price.alias("cents"),
         ).withColumnRenamed("period", "stamp")
 
+    @cached_property
+    def staged_sighting(self) -> DataFrame:
+        """Sightings as a stored staging table, as rows parsed from files would be."""
+        return stored(self.sighting, "sighting")
+
     @cached_property
     def penalty(self) -> DataFrame:
         """The flat penalty view as a stored table by penalty year."""
@@ -229,7 +234,7 @@ class Frames:
     @cached_property
     def penalty_rows(self) -> DataFrame:
         """The flat penalty view: events after dedup, attributes of the kept period."""
-        events = window_dedup(self.sighting, SIGHTING)
+        events = window_dedup(self.staged_sighting, SIGHTING)
         at = self.facility_rows.select(
             "ccn", F.col("snapshot_date").alias("stamp"), "provider_name", "state_code", "state_name",
             "census_region", "ownership_group", "chain_name", "chain_size_band")
@@ -283,7 +288,7 @@ class Frames:
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
         """Dimensions stored before any fact refers to their keys."""
-        built = dimensions.build_dimensions(self.staged_provider, self.sighting, ["source_row"])
+        built = dimensions.build_dimensions(self.staged_provider, self.staged_sighting, ["source_row"])
         return {name: stored(dim, name) for name, dim in built.items()}
 
     @cached_property
@@ -301,7 +306,7 @@ class Frames:
     @property
     def fact_penalty_rows(self) -> DataFrame:
         attributes = facts.attributes_at(self.staged_provider, self.dims, ["source_row"])
-        return facts.fact_penalty(self.sighting, attributes, self.dims, SIGHTING)
+        return facts.fact_penalty(self.staged_sighting, attributes, self.dims, SIGHTING)
 
     @lru_cache(maxsize=8)
     def roster(self, period: int | None = None) -> DataFrame:

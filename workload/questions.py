@@ -519,13 +519,13 @@ def state_enforcement(f):
 @query("enforcement_summary", "states:i total_fines:i national_fines_per_bed:f national_pct_fined:f top5_share_of_dollars:f top5_share_of_beds:f "
        "hardest:s hardest_per_bed:f softest:s softest_per_bed:f spread:f", f"""
   SELECT t.*, h.state_code AS hardest, h.fines_per_bed AS hardest_per_bed, s.state_code AS softest, s.fines_per_bed AS softest_per_bed,
-         h.fines_per_bed / GREATEST(s.fines_per_bed, 1.0) AS spread
-  FROM (SELECT COUNT(*) AS states, SUM(fines) AS total_fines, SUM(fines) / CAST(SUM(beds) AS DOUBLE) AS national_fines_per_bed,
+         h.fines_per_bed / CASE WHEN s.fines_per_bed > 1 THEN s.fines_per_bed WHEN h.fines_per_bed IS NOT NULL THEN 1.0 END AS spread
+  FROM (SELECT COUNT(*) AS states, COALESCE(SUM(fines), 0) AS total_fines, SUM(fines) / CAST(SUM(beds) AS DOUBLE) AS national_fines_per_bed,
                SUM(fined_facilities) * 100.0 / SUM(facilities) AS national_pct_fined,
                SUM(CASE WHEN nr <= 5 THEN fines END) * 100.0 / SUM(fines) AS top5_share_of_dollars, SUM(CASE WHEN nr <= 5 THEN beds END) * 100.0 / SUM(beds) AS top5_share_of_beds
-        FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY fines DESC, state_code) AS nr FROM ({ENFORCE_SQL}) e) r) t,
-       (SELECT * FROM ({ENFORCE_SQL}) e ORDER BY fines_per_bed DESC NULLS LAST, state_code LIMIT 1) h,
-       (SELECT * FROM ({ENFORCE_SQL}) e ORDER BY fines_per_bed ASC NULLS FIRST, state_code DESC LIMIT 1) s""")
+        FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY fines DESC, state_code) AS nr FROM ({ENFORCE_SQL}) e) r) t
+  LEFT JOIN (SELECT * FROM ({ENFORCE_SQL}) e ORDER BY fines_per_bed DESC NULLS LAST, state_code LIMIT 1) h ON TRUE
+  LEFT JOIN (SELECT * FROM ({ENFORCE_SQL}) e ORDER BY fines_per_bed ASC NULLS FIRST, state_code DESC LIMIT 1) s ON TRUE""")
 def enforcement_summary(f):
     return enforcement.enforcement_summary(_enforcement(f))
 
