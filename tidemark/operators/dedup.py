@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.operators import lookups
 from tidemark.operators.ordering import number_in_group
+from tidemark.session import durable
 
 BY_ID, BY_KEY = "fine_id", "natural_key"
 
@@ -138,8 +139,10 @@ def key_audit(sightings: DataFrame, c: EventColumns = EventColumns(), **options)
     Counts keys that cover several ids, ids spread over several keys, and events
     without an id whose identical siblings (same amount) have one, with their money.
     """
-    keyed = with_natural_key(sightings, c, **options)
-    keys = by_natural_key(keyed, c)
+    needed = sightings.select(*dict.fromkeys([*c.group, c.official_id, c.amount, *c.position]))
+    # numbered once, read four times
+    keyed = durable(with_natural_key(needed, c, **options))
+    keys = durable(by_natural_key(keyed, c).select(*c.group[1:], "occurrence", c.official_id, "natural_key"))
     ids = keys.filter(F.col(c.official_id).isNotNull())
     per_id = ids.groupBy(c.official_id).agg(F.count("*").alias("keys"))
     # one id per key is what back-fill leaves; counted, not assumed

@@ -37,9 +37,13 @@ def period_end(facility: DataFrame, period: int | None) -> Column:
 
 
 def in_window(penalty: DataFrame, end: Column, months: int = V.FINES_WINDOW_MONTHS) -> DataFrame:
-    """Penalties of the window that ends at a date, both ends included."""
-    date = F.col("penalty_date")
-    return penalty.filter((date >= F.add_months(end, -months)) & (date <= end))
+    """Penalties of the window that ends at a date, both ends included.
+
+    The bounds on the year follow from those on the date; they prune partitions.
+    """
+    date, year, start = F.col("penalty_date"), F.col("penalty_year"), F.add_months(end, -months)
+    return penalty.filter(
+        (date >= start) & (date <= end) & (year >= F.year(start)) & (year <= F.year(end)))
 
 
 def fines_by_facility(penalty: DataFrame) -> DataFrame:
