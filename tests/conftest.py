@@ -6,7 +6,7 @@ from tidemark.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", cores=4, **{
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "4g"})
     yield session
     session.stop()
 

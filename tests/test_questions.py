@@ -26,6 +26,16 @@ def row(ccn, day, state="CA", owner="For profit", band="Large chain (50+)", beds
     return (ccn, day, state, owner, band, beds, residents, hprd, turnover, rating, defic, suspect, focus)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def interpreted(spark):
+    """Frames here hold a handful of rows: compiling each plan would take most of the time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 @pytest.fixture(scope="module")
 def facility(spark):
     rows = [
@@ -68,11 +78,9 @@ def population(spark):
 
 
 CASES = {
-    "all": Filters(), "single period": Filters(periods=[key(P3)]), "earliest period": Filters(periods=[key(P1)]),
-    "one small state": Filters(states=["AK"]), "state and ownership": Filters(states=["CA"], ownership=["Non profit"]),
+    "single period": Filters(periods=[key(P3)]), "earliest period": Filters(periods=[key(P1)]), "state and ownership": Filters(states=["CA"], ownership=["Non profit"]),
     "nothing": Filters(states=["AK"], ownership=["Government"], chain_bands=["Large chain (50+)"]),
     "no suspects": Filters(include_suspect=False), "large chains": Filters(chain_bands=["Large chain (50+)"]),
-    "several states": Filters(states=["TX", "CA"]),
 }
 
 

@@ -139,3 +139,11 @@ def test_seeded_bad_versions(spark):
         ("3", day(1), None, False)], "ccn string, effective_date date, expiry_date date, is_current boolean")
     got = {r.rule: r.violations for r in checks.scd2_check(versions).collect()}
     assert got == {"scd2_one_current": 1, "scd2_closed_has_expiry": 1, "scd2_no_overlap": 1}
+
+
+def test_population_outside_the_plausible_range_is_refused(spark, tmp_path):
+    few = spark.createDataFrame([("CA", "California", 2024, 6_000_000, "s"), ("CA", "California", 2024, 6_000_000, "s")],
+                                "state_code string, state_name string, year int, pop_65plus bigint, source string")
+    with pytest.raises(checks.GateClosed) as closed:
+        publish.publish(spark, {"ref_state_population": few}, str(tmp_path), "r", "t")
+    assert {p.rule for p in closed.value.problems} == {"primary_key", "unique", "enough_states", "plausible_total"}

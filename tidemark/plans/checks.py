@@ -293,6 +293,8 @@ def validate(tables: dict[str, DataFrame]) -> DataFrame:
             F.col("facility_key") != V.UNKNOWN_KEY)))
     if any(f in tables for f in FOREIGN_KEYS):
         parts.append(check_foreign_keys(tables))
+    if "ref_state_population" in tables:
+        parts.append(check_population(tables["ref_state_population"]))
     for name, frame in tables.items():
         try:
             rules = rules_of(name)

@@ -31,6 +31,8 @@ def local_session(app: str = "tidemark", cores: int | str = "*", **settings) ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # recording the call site of every column expression costs more than planning
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
