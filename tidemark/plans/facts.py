@@ -96,10 +96,17 @@ def fact_penalty(
     sightings: DataFrame | None, attributes: DataFrame, dims: dict[str, DataFrame],
     columns: EventColumns = EventColumns(),
 ) -> DataFrame:
-    """One row per penalty. Keys are those of the period of the kept sighting."""
+    """One row per penalty out of all sightings of it."""
     if sightings is None:
         return empty_penalty_fact(attributes.sparkSession)
-    events = window_dedup(sightings, columns)
+    return penalty_fact_of(window_dedup(sightings, columns), attributes, dims, columns)
+
+
+def penalty_fact_of(
+    events: DataFrame, attributes: DataFrame, dims: dict[str, DataFrame],
+    columns: EventColumns = EventColumns(),
+) -> DataFrame:
+    """Events with their dimension keys: those of the period of the kept sighting."""
     events = lookup_join(events, attributes, ["ccn", "stamp"], null_safe=True)
     unknown = F.lit(V.UNKNOWN_KEY).cast("bigint")
     events = events.withColumns({

@@ -226,6 +226,11 @@ class Frames:
         """Sightings as a stored staging table, as rows parsed from files would be."""
         return stored(self.sighting, "sighting")
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """Events after dedup, stored: the flat view and the fact both start here."""
+        return stored(window_dedup(self.staged_sighting, SIGHTING), "events")
+
     @cached_property
     def penalty(self) -> DataFrame:
         """The flat penalty view as a stored table by penalty year."""
@@ -234,14 +239,13 @@ class Frames:
     @cached_property
     def penalty_rows(self) -> DataFrame:
         """The flat penalty view: events after dedup, attributes of the kept period."""
-        events = window_dedup(self.staged_sighting, SIGHTING)
         at = self.facility_rows.select(
             "ccn", F.col("snapshot_date").alias("stamp"), "provider_name", "state_code", "state_name",
             "census_region", "ownership_group", "chain_name", "chain_size_band")
         unknown = F.lit("Unknown")
         labels = [c for c in at.columns if c not in ("ccn", "stamp")]
         date = F.col("penalty_date")
-        return events.join(at, ["ccn", "stamp"], "left").select(
+        return self.events.join(at, ["ccn", "stamp"], "left").select(
             date, F.year(date).alias("penalty_year"), F.quarter(date).alias("penalty_quarter"),
             "stamp", "ccn", *[F.coalesce(c, unknown).alias(c) for c in labels], "penalty_type",
             (F.col("penalty_type") == "Fine").alias("is_monetary"), "fine_id", "fine_id_source",
@@ -306,7 +310,7 @@ class Frames:
     @property
     def fact_penalty_rows(self) -> DataFrame:
         attributes = facts.attributes_at(self.staged_provider, self.dims, ["source_row"])
-        return facts.fact_penalty(self.staged_sighting, attributes, self.dims, SIGHTING)
+        return facts.penalty_fact_of(self.events, attributes, self.dims, SIGHTING)
 
     @lru_cache(maxsize=8)
     def roster(self, period: int | None = None) -> DataFrame:
