@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import snapshots
-from tidemark import fixed_values as V
 from tidemark.plans import checks, compare, dimensions, publish, runlog, semantic
 from tidemark.plans.facts import PENALTY_FACT, fact_penalty
 

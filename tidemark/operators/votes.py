@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
-from tidemark.functions.clean import col, flag_domain, strip, to_number
+from tidemark.functions.clean import col, flag_domain, strip
 from tidemark.operators.lookups import lookup_join
 from tidemark.operators.ordering import exact_quantiles
 
@@ -114,7 +114,3 @@ def fix_unit_drift(frame: DataFrame, value: str, into: str, by: list[str],
     return joined.withColumn(
         into, F.when(F.col("__f") == 100.0, F.col(value) * 100.0).otherwise(F.col(value))
     ).drop("__f")
-
-
-def numbers(frame: DataFrame, columns: list[str]) -> DataFrame:
-    return frame.withColumns({c: to_number(c) for c in columns})

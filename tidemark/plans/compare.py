@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.bands import with_band
 from tidemark.functions.measures import count_where, divide, mean, measures, zero_sum
 from tidemark.operators.lookups import join_unique
-from tidemark.plans.semantic import Filters, at_latest, latest_period
+from tidemark.plans.semantic import Filters, at_latest
 
 ALL = Filters()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
-from tidemark.functions.measures import count_where, divide, mean, share, zero_sum
+from tidemark.functions.measures import count_where, divide, mean, share
 from tidemark.operators.lookups import join_unique
 from tidemark.operators.ordering import quantile_cuts
 from tidemark.plans.gradients import per_base

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.measures import (
-    divide, mean, measures, penalty_split, ratio_of_sums, zero_sum,
+    divide, measures, penalty_split, ratio_of_sums, zero_sum,
 )
 from tidemark.operators.lookups import join_unique, lookup_join
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as V
 from tidemark.functions import bands, clean
 from tidemark.operators import votes
-from tidemark.operators.lookups import key_lookup
 from tidemark.operators.ordering import first_per_key
 from tidemark.plans import runlog
 from workload.ctes import bed_band, case, chain_band, number, squeezed, yes_no

@@ -2,9 +2,8 @@
 
 from tidemark.plans import findings, semantic
 from tidemark.plans.semantic import Filters
-from workload import views
 from workload.registry import query
-from workload.views import CHANGE_SQL, HPRD_SQL, MARKET_SQL, SUMMARY_SQL, TURNOVER_SQL, WATCH_SQL, by_state_sql, compare_sql
+from workload.views import HPRD_SQL, MARKET_SQL, SUMMARY_SQL, TURNOVER_SQL, WATCH_SQL, by_state_sql, compare_sql
 
 FINDING = "bq:s strength:s label_a:s label_b:s value_a:f value_b:f gap:f n:i"
 

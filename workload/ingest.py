@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
-from tidemark.operators import votes
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, population, text
 from workload.registry import query

@@ -6,8 +6,7 @@ from tidemark import fixed_values as V
 from tidemark.functions import clean
 from tidemark.operators import dedup, votes
 from tidemark.plans import checks, runlog
-from workload.cleaning import BEST, FIELDS, HITS, PADDED
-from workload.ctes import TRACKED
+from workload.cleaning import FIELDS, HITS
 from workload.frames import SIGHTING
 from workload.registry import query
 

@@ -2,12 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import clean
-from tidemark.operators import dedup, lookups
+from tidemark.operators import dedup
 from tidemark.operators.ordering import dense_key as number_rows
 from tidemark.operators.versions import asof_lookup, scd2_build
 from tidemark.plans import dimensions, facts, semantic
-from workload.ctes import number, squeezed
+from workload.ctes import squeezed
 from workload.frames import SIGHTING
 from workload.registry import query
 
