@@ -6,6 +6,8 @@ axis and position columns that give the order inside a period.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as V
@@ -144,15 +146,18 @@ def dim_facility(rows: DataFrame, position: list[str]) -> DataFrame:
 
 
 def build_dimensions(rows: DataFrame, penalties: DataFrame | None, position: list[str]) -> dict[str, DataFrame]:
+    """All six dimensions. They are independent, so their jobs may overlap."""
     spark = rows.sparkSession
-    return {
-        "dim_date": dim_date(spark),
-        "dim_facility": dim_facility(rows, position),
-        "dim_geography": dim_geography(rows, position),
-        "dim_ownership": dim_ownership(rows),
-        "dim_chain": dim_chain(rows, position),
-        "dim_penalty_type": dim_penalty_type(penalties, spark),
+    builders = {
+        "dim_date": lambda: dim_date(spark),
+        "dim_facility": lambda: dim_facility(rows, position),
+        "dim_geography": lambda: dim_geography(rows, position),
+        "dim_ownership": lambda: dim_ownership(rows),
+        "dim_chain": lambda: dim_chain(rows, position),
+        "dim_penalty_type": lambda: dim_penalty_type(penalties, spark),
     }
+    with ThreadPoolExecutor(len(builders)) as pool:
+        return dict(zip(builders, pool.map(lambda build: build(), builders.values())))
 
 
 def calendar_of(frame: DataFrame, date: str, calendar: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ discounted line items = penalties seen through a three-year rolling window.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -293,7 +294,8 @@ class Frames:
     def dims(self) -> dict[str, DataFrame]:
         """Dimensions stored before any fact refers to their keys."""
         built = dimensions.build_dimensions(self.staged_provider, self.staged_sighting, ["source_row"])
-        return {name: stored(dim, name) for name, dim in built.items()}
+        with ThreadPoolExecutor(len(built)) as pool:
+            return dict(zip(built, pool.map(stored, built.values(), built)))
 
     @cached_property
     def fact_snapshot(self) -> DataFrame:
