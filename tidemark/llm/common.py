@@ -40,7 +40,7 @@ def put(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it back; cuts the lineage."""
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

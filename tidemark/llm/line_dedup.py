@@ -28,9 +28,9 @@ def _rolling(hashes: Column, window: int) -> Column:
     return F.transform(hashes, at)
 
 
-def chunked(docs: DataFrame, text: str, window: int) -> DataFrame:
+def chunked(docs: DataFrame, text: Column, window: int) -> DataFrame:
     """Add ``_chunks``: per chunk its lines joined again, and how many of them hold a word."""
-    lines = docs.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
+    lines = docs.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
     hashed = lines.withColumn("_hash", F.transform("_lines", lambda line: F.xxhash64(line)))
     rolled = hashed.withColumn("_roll", _rolling(F.col("_hash"), window))
     n = F.size("_lines")
@@ -70,12 +70,12 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     that hold a candidate, once; the rest of the texts is only read. A chunk that
     a third of all texts share is counted and compared in map-side aggregates.
     """
-    base = packed(docs).select(
-        "row", F.col("row").getField(doc_id).alias("_id"), F.col("row").getField(text).alias("_text"))
+    body = F.col("row").getField(text)
+    own_id = F.col("row").getField(doc_id)
     # a document is its id and text; two hashes stand for the text
-    base = base.withColumn("_doc", F.struct(F.coalesce(F.col("_id").cast("string"), F.lit("")).alias("id"),
-                                            F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), "_text").alias("b")))
-    cut = chunked(base, "_text", window)
+    base = packed(docs).select("row", F.struct(F.coalesce(own_id.cast("string"), F.lit("")).alias("id"),
+                                               F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")).alias("_doc"))
+    cut = chunked(base, body, window)
     places = F.filter(F.transform("_chunks", lambda c, k: F.struct(
         k.cast("int").alias("k"), F.xxhash64(c["body"]).alias("h"), F.length(c["body"]).alias("n"), c["worded"].alias("worded"))),
         lambda c: c["worded"] >= least_lines)
@@ -84,7 +84,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     flagged = occurrences.join(repeated, ["h", "n"]).groupBy("_doc").agg(F.collect_set("k").alias("_ks"))
     marked = put(base.join(flagged, "_doc", "left"), "chunked")
 
-    held = chunked(marked.where("_ks is not null"), "_text", window)
+    held = chunked(marked.where("_ks is not null"), body, window).withColumn("_id", own_id)
     suspects = held.select("_doc", "_id", F.explode(F.transform("_ks", lambda k: F.struct(
         k.alias("k"), F.element_at("_chunks", k + 1)["body"].alias("body")))).alias("at")).select(
         "_doc", "_id", "at.k", "at.body", F.xxhash64("at.body").alias("h"), F.length("at.body").alias("n"))
@@ -107,10 +107,10 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.coalesce("_gone", F.array().cast("array<int>")))
     rewritten = F.array_join(F.transform(kept, lambda k: F.element_at("_chunks", k + 1)["body"]), "\n")
     touched = held.join(removal, "_doc", "left").select(
-        "row", F.when(F.size("_gone") > 0, rewritten).otherwise(F.col("_text")).alias("_new"),
+        "row", F.when(F.size("_gone") > 0, rewritten).otherwise(body).alias("_new"),
         F.size("_chunks").alias("_n"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_m"))
-    plain = chunked(marked.where("_ks is null"), "_text", window).select(
-        "row", F.col("_text").alias("_new"), F.size("_chunks").alias("_n"), F.lit(0).alias("_m"))
+    plain = chunked(marked.where("_ks is null"), body, window).select(
+        "row", body.alias("_new"), F.size("_chunks").alias("_n"), F.lit(0).alias("_m"))
     columns = [F.col("_new").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return plain.unionAll(touched).select(
         *columns, F.when(F.col("_new").isNull(), 0).otherwise(F.col("_n")).cast("long").alias("n_chunks"), F.col("_m").cast("long").alias("n_removed"))
