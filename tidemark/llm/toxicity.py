@@ -30,9 +30,9 @@ class Settings:
     rate: float = 0.5
     batch: int = 32
     #: at most this many labelled texts are fitted, the smallest by hash of their id
-    sample: int = 6000
+    sample: int = 5000
     #: a fitted text is represented by at most this many distinct n-grams, the smallest by hash
-    features: int = 6000
+    features: int = 10000
     seed: int = 11
 
 
