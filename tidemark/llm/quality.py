@@ -94,12 +94,12 @@ def _shares(hits: Column, total: Column) -> Column:
 
 
 def divergence(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two distributions given as arrays: 0 for equal ones, 1 for disjoint ones."""
+    """Jensen-Shannon distance of two distributions given as arrays: 0 for equal ones, 1 for disjoint ones, null if one is missing."""
     def side(a, m):
         return F.when((a > 0) & (m > 0), a * F.log2(a / m)).otherwise(F.lit(0.0))
 
     parts = F.zip_with(p, q, lambda a, b: (side(a, (a + b) / 2) + side(b, (a + b) / 2)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)))
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x))))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", least_words: int = 50, most_repeated: float = 0.5) -> DataFrame:

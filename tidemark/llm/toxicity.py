@@ -164,6 +164,7 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], s: Settings) -> Model:
             soft -= rate * 0.2 * g_soft / np.sqrt(seen_s)
             seen_b += g_bias ** 2
             bias -= rate * 0.2 * g_bias / np.sqrt(seen_b)
+    emb[seen_e[:, 0] <= 1e-8] = 0.0          # what was never seen pulls nowhere
     return Model(emb * scale, soft, bias, s)
 
 
@@ -173,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     Rows with a null id or a label other than 0 and 1 teach nothing; an id with
     several labels counts as toxic if one of them says so; no rows at all give
-    the model that answers 0.5 less its bias, that is 0.5, everywhere.
+    the model that answers 0.5 everywhere.
     """
     got = training_bags(docs, labels, doc_id, text, label, settings).toArrow()
     rows = []
