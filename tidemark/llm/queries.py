@@ -14,7 +14,7 @@ from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry modul
 def op1_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of all sources takes from every document."""
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select("row.doc_id", "row.source", "size", "source_size", "target", "copies", "taken")
+    return mixed.select("row.doc_id", "row.source", "size", "source_size", F.round("target", 6).alias("target"), "copies", "taken")
 
 
 def op2_embedding_near_dups(spark: SparkSession, folder: str) -> DataFrame:
