@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidemark.operators import lookups
 from tidemark.session import durable
 
-MAX_SLICES = 20_000
-
 
 def _columns(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -38,7 +36,7 @@ def sliced_total(
     weight = F.lit(1) if weight is None else weight
     # range partitioning samples its input first: sample the written rows
     written = durable(frame)
-    slices = min(MAX_SLICES, max(1, math.ceil(written.count() / slice_rows)))
+    slices = max(1, math.ceil(written.count() / slice_rows))
     sliced = durable(
         written.withColumn("__weight", weight.cast("bigint"))
         .repartitionByRange(slices, *[F.col(c) for c in by], *order)

@@ -170,12 +170,44 @@ def watchlist_summary(facility: DataFrame, f: Filters = ALL) -> DataFrame:
         count_where(delta == 0).alias("unchanged"), F.count("*").alias("compared"))
 
 
+def _measures_by_parts(facility: DataFrame, on: list[str]) -> DataFrame:
+    """Measures as sums of numerators over sums of weights, one melted row per part."""
+    days = F.col("resident_days").cast("double")
+
+    def part(name, numerator, weight=None):
+        return F.struct(F.lit(name).alias("m"), numerator.cast("double").alias("a"),
+                        (F.lit(1.0) if weight is None else F.when(numerator.isNotNull(), weight.cast("double"))).alias("w"),
+                        F.lit(weight is not None).alias("rate"))
+
+    rate = {"m3_nurse_hprd": "reported_total_nurse_hprd", "m3b_rn_hprd": "reported_rn_hprd",
+            "m4_turnover_pct": "total_nursing_turnover_pct"}
+    plain = {"m2_resident_days": "resident_days", "m8_deficiencies": "cycle1_total_deficiencies",
+             "total_certified_beds": "certified_beds", "total_residents": "avg_residents_per_day"}
+    parts = [
+        part("facilities", F.lit(1)), part("suspect_rows", F.coalesce(F.col("is_suspect"), F.lit(False)).cast("int")),
+        F.struct(F.lit("m1_occupancy_rate").alias("m"), F.col("avg_residents_per_day").cast("double").alias("a"),
+                 F.col("certified_beds").cast("double").alias("w"), F.lit(True).alias("rate")),
+        *[F.struct(F.lit(m).alias("m"), (F.col(c).cast("double") * days).alias("a"), F.when(F.col(c).isNotNull(), days).alias("w"),
+                   F.lit(True).alias("rate")) for m, c in rate.items()],
+        part("m7_avg_overall_rating", F.col("overall_rating"), F.lit(1)),
+        *[part(m, F.col(c)) for m, c in plain.items()]]
+    melted = facility.select(*on, F.explode(F.array(*parts)).alias("p")).groupBy(*on, "p.m", "p.rate").agg(
+        F.sum("p.a").alias("a"), F.sum("p.w").alias("w"))
+    value = F.when(~F.col("rate"), F.col("a")).when(F.col("w") != 0, F.col("a") / F.col("w"))
+    return melted.groupBy(*on).agg(*[F.max(F.when(F.col("m") == p, value)).alias(p) for p in [
+        "facilities", "suspect_rows", "m1_occupancy_rate", *rate, "m7_avg_overall_rating", *plain]])
+
+
 def measure_parity(facility: DataFrame, view: DataFrame) -> DataFrame:
-    """Largest difference between measures grouped here and a grouped view."""
+    """Largest difference between a grouped view and measures built up by hand.
+
+    The other side shares no code with the view: rows are melted to (measure,
+    numerator, weight) and each measure is the quotient of two sums.
+    """
     from tidemark.functions.measures import MEASURE_NAMES
 
     on = ["snapshot_date_key", "state_code"]
-    mine = facility.groupBy(*on).agg(*measures())
+    mine = _measures_by_parts(facility, on)
     theirs = view.select(*on, *[F.col(m).alias(f"v_{m}") for m in MEASURE_NAMES])
     both = mine.join(theirs, on, "full_outer")
     gaps = []

@@ -95,12 +95,12 @@ def finding_cliff(facility: DataFrame, f: Filters = ALL) -> DataFrame:
     return _steepest(turnover_bands(facility, f), "turnover_band", V.COMPARE_TURNOVER_BANDS, "BQ4", False)
 
 
-def finding_concentration(facility: DataFrame, penalty: DataFrame, f: Filters = ALL,
-                          top_n: int = 100) -> DataFrame:
-    """Share of five states; hardest state against the softest of the larger half."""
-    states = fines_per_bed_by_state(facility, penalty, f).orderBy(
-        F.col("fine_per_bed").desc_nulls_last(), "state_code").limit(top_n).filter(
-            F.col("m5_fine_usd") > 0)
+def finding_concentration(facility: DataFrame, penalty: DataFrame, f: Filters = ALL) -> DataFrame:
+    """Share of five states; hardest state against the softest of the larger half.
+
+    Taken over all states that have a fine.
+    """
+    states = fines_per_bed_by_state(facility, penalty, f).filter(F.col("m5_fine_usd") > 0)
     median = one_row(exact_quantiles(states, "total_beds", [0.5], bounded=True), "cuts")[0]
     ranked = states.withColumns({
         "__m": F.row_number().over(W.orderBy(F.col("m5_fine_usd").desc(), "state_code")),

@@ -105,12 +105,13 @@ def log_checks(metrics: DataFrame) -> DataFrame:
 
 # --- reading the log ---------------------------------------------------------------
 
-def quality_log(log: DataFrame, limit: int = 200) -> DataFrame:
-    """Quality rules of the newest run, as they fired."""
+def quality_log(log: DataFrame, page: int | None = None) -> DataFrame:
+    """Quality rules of the newest run, as they fired; all of them, or a reader's first page."""
     newest = log.agg(F.max("run_id")).scalar()
-    return log.filter((F.col("run_id") == newest) & F.col("rule").like("Q%")).select(
+    fired = log.filter((F.col("run_id") == newest) & F.col("rule").like("Q%")).select(
         "rule", "step", "snapshot_date", "target", "rows_affected", "detail",
-    ).orderBy("rule", "snapshot_date", "step", "target", "detail", "rows_affected").limit(limit)
+    ).orderBy("rule", "snapshot_date", "step", "target", "detail", "rows_affected")
+    return fired if page is None else fired.limit(page)
 
 
 def quality_rollup(log: DataFrame) -> DataFrame:

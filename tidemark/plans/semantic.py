@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.measures import (
     divide, measures, penalty_split, ratio_of_sums, zero_sum,
 )
-from tidemark.operators.lookups import join_unique, lookup_join
+from tidemark.operators.lookups import join_unique
 
 FACILITY_MEASURES = [
     "certified_beds", "avg_residents_per_day", "resident_days", "reported_total_nurse_hprd",
@@ -21,11 +21,15 @@ FACILITY_MEASURES = [
 
 
 def _star(fact: DataFrame, joins: list[tuple[DataFrame, str, dict[str, str]]]) -> DataFrame:
-    """Inner equi-joins of a fact with its dimensions, each reduced to what is shown."""
+    """Inner equi-joins of a fact with its dimensions, each reduced to what is shown.
+
+    Nothing runs while the view is built: file sizes and adaptive execution choose
+    between broadcast and shuffle, and split a key that very many rows share.
+    """
     for dim, key, shown in joins:
         side = dim.select(F.col(_key_of(dim, key)).alias(key),
                           *[F.col(c).alias(a) for c, a in shown.items()])
-        fact = lookup_join(fact, side, key, "inner")
+        fact = join_unique(fact, side, key, "inner")
     return fact
 
 

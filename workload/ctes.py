@@ -68,7 +68,7 @@ CTES["fx_attrs"] = """
          CASE WHEN beds < 450 THEN 'small' WHEN beds < 600 THEN 'medium' ELSE 'large' END AS size_band,
          CASE WHEN deficiencies % 4 = 0 THEN NULL WHEN deficiencies > 8 THEN 'SFF' ELSE 'None' END AS focus,
          CASE WHEN period < DATE '1997-01-01' THEN NULL ELSE (deficiencies % 2 = 0) END AS icon
-  FROM fx_panel WHERE snapshot_date_key % 7 <> 3 OR beds % 5 <> 0"""
+  FROM fx_panel"""
 
 CTES["fx_facility"] = """
   SELECT snapshot_date_key, period AS snapshot_date, year(period) AS snapshot_year,

@@ -167,7 +167,7 @@ def processing_date(f):
 # publications: every order date is one; those of a month share a processing date
 PUBLISHED_SQL = f"""
   SELECT DISTINCT snapshot_date, CAST(date_trunc('month', snapshot_date) AS DATE) AS processing_date, logical
-  FROM ({CHOSEN_SQL}) c WHERE logical IN ('provider_info', 'penalties') AND (logical = 'provider_info' OR day(snapshot_date) <= 20)"""
+  FROM ({CHOSEN_SQL}) c WHERE logical IN ('provider_info', 'penalties')"""
 SURVIVOR_SQL = f"""
   SELECT processing_date, logical, source_date, MAX(source_date) OVER (PARTITION BY processing_date) AS snapshot_date, publications
   FROM (SELECT processing_date, logical, MAX(snapshot_date) AS source_date, COUNT(*) AS publications
@@ -176,8 +176,7 @@ SURVIVOR_SQL = f"""
 
 def _published(f):
     chosen = catalog.classify_files(files(f)).filter(F.col("logical").isin("provider_info", "penalties"))
-    late = (F.col("logical") == "penalties") & (F.dayofmonth("snapshot_date") > 20)
-    return chosen.filter(~late).select(
+    return chosen.select(
         "snapshot_date", F.trunc("snapshot_date", "month").alias("processing_date"), "logical", "candidates")
 
 

@@ -233,7 +233,7 @@ def _events_log(f):
 @query("quality_log", "rule:s step:s snapshot_date:s target:s rows_affected:i detail:s", f"""
   SELECT rule, step, snapshot_date, target, rows_affected, detail FROM ({LOG_SQL}) l
   WHERE run_id = (SELECT MAX(run_id) FROM ({LOG_SQL}) m) AND rule LIKE 'Q%'
-  ORDER BY rule, snapshot_date, step, target, detail, rows_affected LIMIT 200""")
+  ORDER BY rule, snapshot_date, step, target, detail, rows_affected""")
 def quality_log(f):
     return runlog.quality_log(_events_log(f))
 

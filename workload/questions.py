@@ -390,11 +390,9 @@ def matched_summary(f):
          COALESCE(AVG(reported_total_nurse_hprd) FILTER (WHERE gone), 0) AS exited_hprd_before,
          COALESCE(AVG(reported_total_nurse_hprd) FILTER (WHERE NOT gone), 0) AS stayed_hprd_before
   FROM (SELECT a.*, b.ccn IS NULL AS gone FROM (SELECT * FROM fx_facility WHERE snapshot_date_key = 19980101 AND NOT is_suspect) a
-        LEFT JOIN (SELECT ccn FROM fx_facility WHERE snapshot_date_key = 20010701 AND certified_beds % 4 <> 0) b ON b.ccn = a.ccn) x""")
+        LEFT JOIN (SELECT ccn FROM fx_facility WHERE snapshot_date_key = 20010701) b ON b.ccn = a.ccn) x""")
 def capacity_exit(f):
-    """A quarter of the later rows is left out, so that some facilities do exit."""
-    at = F.col("snapshot_date_key")
-    return cohorts.capacity_exit(f.facility.filter((at != 20010701) | (F.col("certified_beds") % 4 != 0)), 19980101, 20010701)
+    return cohorts.capacity_exit(f.facility, 19980101, 20010701)
 
 
 @query("rating_migration", "rating_from:i rating_to:i facilities:i pct_of_row:f", f"""
@@ -468,23 +466,20 @@ def risk_lift(f):
 
 # --- enforcement -----------------------------------------------------------------------------------
 
-GAPPY = "penalty_date < DATE '1996-10-01' OR penalty_date >= DATE '1998-01-01'"
 
 
 @query("fines_timeline", "year:i quarter:i year_quarter:s penalty_type:s events:i fines:i denial_days:i facilities:i era:i incomplete:b", f"""
   SELECT c.*, e.era, e.incomplete FROM (
     SELECT penalty_year AS year, penalty_quarter AS quarter, concat(CAST(penalty_year AS VARCHAR), '-Q', CAST(penalty_quarter AS VARCHAR)) AS year_quarter,
            penalty_type, COUNT(*) AS events, COALESCE(SUM(fine_amount_usd), 0) AS fines, COALESCE(SUM(payment_denial_days), 0) AS denial_days,
-           COUNT(DISTINCT ccn) AS facilities FROM fx_penalty WHERE {GAPPY} GROUP BY 1, 2, 3, 4) c
+           COUNT(DISTINCT ccn) AS facilities FROM fx_penalty GROUP BY 1, 2, 3, 4) c
   JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY era ORDER BY i DESC) <= 2 AS incomplete FROM (
           SELECT *, SUM(CASE WHEN gap > 1 THEN 1 ELSE 0 END) OVER (ORDER BY i) AS era FROM (
             SELECT *, i - LAG(i) OVER (ORDER BY i) AS gap FROM (
-              SELECT DISTINCT penalty_year AS year, penalty_quarter AS quarter, penalty_year * 4 + penalty_quarter AS i FROM fx_penalty WHERE {GAPPY}) q) g) s) e
+              SELECT DISTINCT penalty_year AS year, penalty_quarter AS quarter, penalty_year * 4 + penalty_quarter AS i FROM fx_penalty) q) g) s) e
     ON e.year = c.year AND e.quarter = c.quarter""")
 def fines_timeline(f):
-    """Events of five quarters are left out, so that there are two eras."""
-    date = F.col("penalty_date")
-    return enforcement.fines_timeline(f.penalty.filter((date < "1996-10-01") | (date >= "1998-01-01")))
+    return enforcement.fines_timeline(f.penalty)
 
 
 @query("avg_fine_by_year", "year:i events:i fines:i avg_fine:f", """

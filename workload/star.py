@@ -70,9 +70,9 @@ def _versions(f):
 
 
 def _asked(f):
-    """Questions about versions: every penalty line, some before the first sighting, some unknown."""
+    """Questions about versions: every line, some before the first sighting, some unknown."""
     key = F.col("l_suppkey") + F.when(F.col("l_orderkey") % 19 == 0, 500_000).otherwise(0)
-    return f.table("lineitem").filter(F.col("l_returnflag") == "R").select(
+    return f.table("lineitem").select(
         F.lpad(key.cast("string"), 6, "0").alias("ccn"),
         F.date_sub(F.col("l_shipdate").cast("date"), F.when(F.col("l_orderkey") % 7 == 0, 400).otherwise(0)).alias("asked"))
 
@@ -84,7 +84,7 @@ def _asked(f):
   FROM (SELECT a.ccn, a.asked, v.version_key, e.first_key
         FROM (SELECT lpad(CAST(l_suppkey + CASE WHEN l_orderkey % 19 = 0 THEN 500000 ELSE 0 END AS VARCHAR), 6, '0') AS ccn,
                      CAST(l_shipdate AS DATE) - CASE WHEN l_orderkey % 7 = 0 THEN 400 ELSE 0 END AS asked
-              FROM lineitem WHERE l_returnflag = 'R') a
+              FROM lineitem) a
         LEFT JOIN fx_numbered v ON v.ccn = a.ccn AND v.effective_date <= a.asked AND (v.expiry_date IS NULL OR a.asked < v.expiry_date)
         LEFT JOIN (SELECT ccn, MIN(version_key) AS first_key FROM fx_numbered GROUP BY ccn) e ON e.ccn = a.ccn) x
   GROUP BY ALL""".replace("fx_numbered", "(SELECT *, ROW_NUMBER() OVER (ORDER BY ccn, effective_date) AS version_key FROM fx_attrs_versions)"),
@@ -100,7 +100,7 @@ def asof(f):
   FROM (SELECT v.period AS version_key, e.first_key
         FROM (SELECT lpad(CAST(l_suppkey + CASE WHEN l_orderkey % 19 = 0 THEN 500000 ELSE 0 END AS VARCHAR), 6, '0') AS ccn,
                      CAST(l_shipdate AS DATE) - CASE WHEN l_orderkey % 7 = 0 THEN 400 ELSE 0 END AS asked
-              FROM lineitem WHERE l_returnflag = 'R') a
+              FROM lineitem) a
         LEFT JOIN (SELECT ccn, MIN(period) AS first_key FROM fx_attrs GROUP BY ccn) e ON e.ccn = a.ccn
         LEFT JOIN (SELECT ccn, MIN(period) AS period FROM fx_attrs GROUP BY ccn) v ON v.ccn = a.ccn AND v.period <= a.asked) x
   GROUP BY 1""")
