@@ -232,3 +232,21 @@ def test_parity_notices_a_changed_formula(facility):
     assert all(r.within_tolerance for r in compare.measure_parity(facility, view).collect())
     wrong = view.withColumn("m1_occupancy_rate", F.col("m1_occupancy_rate") + 0.01)
     assert [r.measure for r in compare.measure_parity(facility, wrong).collect() if not r.within_tolerance] == ["m1_occupancy_rate"]
+
+
+def test_concentration_counts_every_state(spark):
+    from tidemark.plans import findings
+
+    n = 150
+    facility = spark.createDataFrame(
+        [(20260701, f"S{k:03d}", 100, False) for k in range(n)],
+        "snapshot_date_key int, state_code string, certified_beds int, is_suspect boolean")
+    # the five largest totals have the lowest rate per bed
+    from unittest import mock
+    rows = spark.createDataFrame([(f"S{k:03d}", 100 if k < 145 else 100_000, 1000 if k < 145 else 20_000, (10.0 if k < 145 else 0.2)) for k in range(n)],
+                                 "state_code string, total_beds long, m5_fine_usd long, fine_per_bed double")
+    with mock.patch.object(findings, "fines_per_bed_by_state", lambda *_: rows):
+        found = findings.finding_concentration(facility, facility).first().asDict()
+    assert n in found.values()
+    share = 5 * 20_000 / (5 * 20_000 + 145 * 1000)
+    assert any(isinstance(v, float) and abs(v - share) < 1e-9 for v in found.values())

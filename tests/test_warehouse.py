@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tests import snapshots
 from tidemark.plans import checks, compare, dimensions, publish, runlog, semantic
 from tidemark.plans.facts import PENALTY_FACT, fact_penalty
+from tidemark.sources import text
 
 
 @pytest.fixture(scope="module")
@@ -64,10 +66,52 @@ def test_views_join_every_fact_row(spark, built):
 
 def test_checks_pass_and_log_is_written(spark, built):
     log = spark.read.parquet(f"{built[1]}/run_log")
-    assert log.filter("rule = 'fk'").count() == 11 and log.filter("rows_affected > 0").count() == 0
+    assert log.filter("rule = 'fk'").count() == 11 and log.filter("step = 'load' and rows_affected > 0").count() == 0
     assert log.columns == [c.split()[0] for c in runlog.SCHEMA.split(", ")]
 
 
+def test_cleaning_rules_are_logged(spark, built):
+    log = spark.read.parquet(f"{built[1]}/run_log")
+    fired = {r.rule for r in runlog.quality_log(log).collect()}
+    assert fired == {f"Q{k}" for k in range(1, 9)}
+    repeats = log.filter("rule = 'Q2' and target = 'provider_info' and detail like 'repeated%'").collect()
+    assert [(r.snapshot_date, r.rows_affected) for r in repeats] == [("2019-01-01", 1)]
+    assert {r.detail for r in log.filter("rule = 'Q2' and target = 'penalties' and detail like '%sightings%'").collect()} == {"7 sightings of 5 events"}
+    assert log.filter("rule = 'Q5'").first().target == "ownership_type"
+    assert not Path(built[1], "staged", "run-1").exists()
+
+
+def test_quoted_line_breaks_and_short_rows(spark, tmp_path, rows):
+    source = tmp_path / "source"
+    snapshots.providers(source, "2026-07-29", "2026", [
+        snapshots.provider(f"0150{k:02d}", provider_name=f"Home\n of, {k}" if k % 3 == 0 else f"Home {k}") for k in range(12)], "2026-07-01")
+    snapshots.providers(source, "2026-08-29", "2026", [snapshots.provider(f"0150{k:02d}") for k in range(12)], "2026-08-01")
+    broken = source / "2026-08-29" / "NH_ProviderInfo_Jun2026.csv"
+    broken.write_text(broken.read_text("latin-1") + '"015099","short"\n', "latin-1")
+    kinds = {l.path.split("/")[-2]: l.quoted_breaks for l in text.layouts(spark, [str(source)+"/2026-07-29/NH_ProviderInfo_Jun2026.csv", str(broken)])}
+    assert kinds == {"2026-07-29": True, "2026-08-29": False}
+    root = str(tmp_path / "warehouse")
+    publish.build_warehouse(spark, str(source), root, "r", "2026-01-01T00:00:00")
+    fact = publish.read_table(spark, root, "fact_snapshot")
+    assert rows(fact.filter("snapshot_date_key = 20260701"), "ccn", "certified_beds") == [(f"0150{k:02d}", 60) for k in range(12)]
+    names = publish.read_table(spark, root, "dim_facility").filter("provider_name = 'HOME OF, 3'")
+    assert names.count() == 1
+    log = spark.read.parquet(f"{root}/run_log").filter("detail like 'fields do not match%'").collect()
+    assert [(r.target, r.rows_affected) for r in log] == [("provider_info", 1)]
+
+
+def test_views_start_no_job(spark, built):
+    dims = {n: table(spark, built[1], n) for n in (
+        "dim_date", "dim_facility", "dim_geography", "dim_ownership", "dim_chain", "dim_penalty_type")}
+    facts = table(spark, built[1], "fact_snapshot"), table(spark, built[1], "fact_penalty")
+    context = spark.sparkContext
+    context.setJobGroup("views", "views")
+    semantic.facility_view(facts[0], dims)
+    semantic.penalty_view(facts[1], dims)
+    assert list(context.statusTracker().getJobIdsForGroup("views")) == []
+    context.setJobGroup("", "")
+
+
 def test_gate_keeps_readers_on_the_old_release(spark, built, tmp_path):
     root = built[1]
     bad = {"dim_ownership": table(spark, root, "dim_ownership").unionByName(

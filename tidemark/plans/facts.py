@@ -92,6 +92,12 @@ def attributes_at(rows: DataFrame, dims: dict[str, DataFrame], position: list[st
         "ccn", F.col(TIME).alias("stamp"), "geography_key", "ownership_key", "chain_key")
 
 
+def attributes_of(snapshots: DataFrame) -> DataFrame:
+    """The same from a written snapshot fact, whose keys are looked up already."""
+    stamp = F.to_date(F.col("snapshot_date_key").cast("string"), "yyyyMMdd")
+    return snapshots.select("ccn", stamp.alias("stamp"), "geography_key", "ownership_key", "chain_key")
+
+
 def fact_penalty(
     sightings: DataFrame | None, attributes: DataFrame, dims: dict[str, DataFrame],
     columns: EventColumns = EventColumns(),

@@ -34,14 +34,25 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id
     Checks read the written tables, so each table is computed once. The run log
     is appended whether or not the gate opens.
     """
+    written = {name: write_table(frame, root, run_id, name) for name, frame in tables.items()}
+    return switch(spark, written, root, run_id, logged_at, extra_log)
+
+
+def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFrame:
+    """Write one table of a release that no reader follows yet, and read it back."""
+    release = f"{root}/releases/{run_id}"
+    rows = checks.conform(frame, DECLARED[name], name) if name in DECLARED else frame
+    by = [PARTITIONS[name]] if name in PARTITIONS else []
+    # rebalancing splits a hot period over several writers and merges small ones
+    writer = rows.hint("rebalance", *by).write.mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")
+    return frame.sparkSession.read.schema(rows.schema).parquet(f"{release}/{name}")
+
+
+def switch(spark: SparkSession, written: dict[str, DataFrame], root: str, run_id: str, logged_at: str,
+           extra_log: list[DataFrame] = ()) -> str:
+    """Validate the written tables of a release, log, and point readers to it."""
     release = f"{root}/releases/{run_id}"
-    for name, frame in tables.items():
-        rows = checks.conform(frame, DECLARED[name], name) if name in DECLARED else frame
-        by = [PARTITIONS[name]] if name in PARTITIONS else []
-        # rebalancing splits a hot period over several writers and merges small ones
-        writer = rows.hint("rebalance", *by).write.mode("errorifexists")
-        (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")
-    written = {n: spark.read.schema(t.schema).parquet(f"{release}/{n}") for n, t in tables.items()}
     # a metric row per rule: small, and needed twice
     metrics = checks.validate(written).collect()
     frame = spark.createDataFrame(
@@ -83,25 +94,36 @@ def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, lo
                     population: DataFrame | None = None, periods: list | None = None) -> str:
     """Text snapshots to a published star.
 
-    Dimensions are written first and read back, which cuts lineage and makes the
-    facts use exactly the stored surrogate keys.
+    The text is parsed once into staged rows; tables are written straight into
+    the release, which readers see only after the checks. Facts start from the
+    written dimensions, so they use exactly the stored surrogate keys, and the
+    penalty fact takes its keys from the written snapshot fact. What the cleaning
+    rules did is logged with the checks. Staged rows are deleted at the end.
     """
-    from tidemark.plans import dimensions, facts
+    from tidemark.plans import cleaning_log, dimensions, facts
     from tidemark.sources.text import POSITION, load_snapshots
 
     position = list(POSITION)
-    providers, penalties, _ = load_snapshots(spark, source, periods)
-    staged = f"{root}/staged/{run_id}"
-    dims = {}
-    for name, frame in dimensions.build_dimensions(providers, penalties, position).items():
-        frame.write.mode("errorifexists").parquet(f"{staged}/{name}")
-        dims[name] = spark.read.parquet(f"{staged}/{name}")
-    attributes = facts.attributes_at(providers, dims, position)
+    staging = f"{root}/staged/{run_id}"
+    providers, penalties, survivors = load_snapshots(spark, source, periods, staging)
+    written = {name: write_table(frame, root, run_id, name) for name, frame in
+               dimensions.build_dimensions(providers, penalties, position).items()}
+    dims = dict(written)
+    written["fact_snapshot"] = write_table(facts.fact_snapshot(providers, dims, position), root, run_id, "fact_snapshot")
+    attributes = facts.attributes_of(written["fact_snapshot"])
     sightings = None if penalties is None else facts.penalty_sightings(penalties, position)
     columns = facts.EventColumns(position=tuple(position))
-    tables = {
-        **dims, "fact_snapshot": facts.fact_snapshot(providers, dims, position),
-        "fact_penalty": facts.fact_penalty(sightings, attributes, dims, columns)}
+    written["fact_penalty"] = write_table(
+        facts.fact_penalty(sightings, attributes, dims, columns), root, run_id, "fact_penalty")
     if population is not None:
-        tables["ref_state_population"] = population
-    return publish(spark, tables, root, run_id, logged_at)
+        written["ref_state_population"] = write_table(population, root, run_id, "ref_state_population")
+    log = cleaning_log.of_build(providers, penalties, survivors, written)
+    release = switch(spark, written, root, run_id, logged_at, log)
+    delete(spark, staging)
+    return release
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package on whatever file system it lies."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

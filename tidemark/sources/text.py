@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import fixed_values as V
@@ -11,15 +14,17 @@ from tidemark.operators.votes import parse_date_vote
 from tidemark.sources import catalog
 
 POSITION = ("file_block", "row_in_block")
+MALFORMED = "malformed"
 
 
 def ingest_text_scan(spark: SparkSession, paths, columns: list[str] | None = None, *,
-                     multiline: bool = False) -> DataFrame:
+                     multiline: bool = False, malformed: bool = False) -> DataFrame:
     """Scan delimited files as text only; usual "no value" tokens become null.
 
     Files are split unless ``multiline`` is asked for (quoted line breaks), so a
     large file is read by many tasks. Two position columns keep file order: they
     only ever compare rows of one file, where they do not depend on the plan.
+    ``malformed`` adds a flag for rows that do not have the columns' number of fields.
     """
     reader = (
         spark.read.option("header", True).option("encoding", V.TEXT_ENCODING)
@@ -28,22 +33,60 @@ def ingest_text_scan(spark: SparkSession, paths, columns: list[str] | None = Non
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("mode", "PERMISSIVE").option("enforceSchema", True)
     )
+    broken = "__broken"
     if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        listed = [*columns, broken] if malformed else columns
+        reader = reader.option("columnNameOfCorruptRecord", broken).schema(
+            T.StructType([T.StructField(c, T.StringType()) for c in listed]))
     raw = reader.csv(paths)
-    names = raw.columns
+    names = [c for c in raw.columns if c != broken]
     return raw.select(
         *[null_tokens_to_null(F.col(f"`{c}`")).alias(c) for c in names],
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias(POSITION[0]),
         F.monotonically_increasing_id().alias(POSITION[1]),
+        *([F.col(broken).isNotNull().alias(MALFORMED)] if columns and malformed else []),
     )
 
 
+@dataclass(frozen=True)
+class Layout:
+    """What one look at a file tells: its header, and whether it quotes line breaks."""
+
+    path: str
+    header: tuple[str, ...]
+    quoted_breaks: bool
+
+
+def layouts(spark: SparkSession, paths: list[str]) -> list[Layout]:
+    """Header and kind of every file, by two text scans over all files together.
+
+    A line with an odd number of quote characters is part of a value that goes
+    on, or of a stray quote; either way the file must be read by the multi-line
+    reader. All others stay splittable. One small row per file reaches the driver.
+    """
+    if not paths:
+        return []
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    # in bytes: the text is not UTF-8
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
+    files = lines.groupBy("path").agg(F.min(F.when(F.col("block") == 0, F.col("at"))).alias("at"),
+                                      F.max(quotes % 2 == 1).alias("odd"))
+    first = lines.join(files, ["path", "at"]).select(
+        "path", "odd", F.decode(F.col("value").cast("binary"), V.TEXT_ENCODING).alias("line"))
+    found = []
+    for r in first.orderBy("path").collect():
+        spans = r.line.count('"') % 2 == 1
+        found.append(Layout(r.path, tuple(header_of(spark, r.path) if spans else next(csv.reader([r.line]), [])), r.odd))
+    return found
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file; only its first line is read."""
     return (
-        spark.read.option("header", True).option("encoding", V.TEXT_ENCODING)
+        spark.read.option("header", True).option("encoding", V.TEXT_ENCODING).option("multiLine", True)
         .option("inferSchema", False).csv(path).columns
     )
 
@@ -117,22 +160,23 @@ def processing_dates(rows: DataFrame, position: list[str], period: str = "snapsh
     ).withColumn("label_differs", F.col("processing_date") != F.col(period).cast("date"))
 
 
-def read_logical(spark: SparkSession, chosen: DataFrame, logical: str, *,
-                 multiline: bool = False) -> DataFrame | None:
+def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
+                 found: list[Layout] | None = None) -> DataFrame | None:
     """All chosen files of one logical table as one canonical frame.
 
     The file list is small (one per period); files with equal headers are scanned
-    together. Every row carries its period and its position in the file.
+    together, those with quoted line breaks by the multi-line reader. Every row
+    carries its period, its position in the file and whether it was malformed.
     """
-    paths = [r.path for r in chosen.filter(F.col("logical") == logical)
-             .orderBy("snapshot_date").select("path").toLocalIterator()]
-    by_header: dict[tuple, list[str]] = {}
-    for path in paths:
-        by_header.setdefault(tuple(header_of(spark, path)), []).append(path)
+    if found is None:
+        found = layouts_of(spark, chosen, logical)
+    alike: dict[tuple, list[str]] = {}
+    for layout in found:
+        alike.setdefault((layout.header, layout.quoted_breaks), []).append(layout.path)
     parts = [
-        canonicalize(ingest_text_scan(spark, group, list(header), multiline=multiline), logical,
-                     keep=["file_path", *POSITION])
-        for header, group in by_header.items()
+        canonicalize(ingest_text_scan(spark, group, list(header), multiline=quoted, malformed=True), logical,
+                     keep=["file_path", *POSITION, MALFORMED])
+        for (header, quoted), group in alike.items()
     ]
     if not parts:
         return None
@@ -144,20 +188,35 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str, *,
     return rows.withColumn("zip_code", normalize_zip("zip_code")) if "zip_code" in rows.columns else rows
 
 
-def load_snapshots(spark: SparkSession, root: str, periods: list | None = None, *,
-                   multiline: bool = False) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+def layouts_of(spark: SparkSession, chosen: DataFrame, logical: str) -> list[Layout]:
+    return layouts(spark, [r.path for r in chosen.filter(F.col("logical") == logical)
+                           .orderBy("snapshot_date").select("path").collect()])
+
+
+def load_snapshots(spark: SparkSession, root: str, periods: list | None = None,
+                   staging: str | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Provider rows, penalty rows and the surviving-file table of a folder.
 
     Rows carry ``snapshot_date`` (the period's label) and ``processing_date``
-    (the time axis). Republished periods are collapsed file by file.
+    (the time axis). Republished periods are collapsed file by file; superseded
+    penalty files are not read. With ``staging`` each kind is parsed once, written
+    there by period, and everything after reads what was written.
     """
+    def once(rows, name):
+        if staging is None:
+            return rows
+        path = f"{staging}/{name}"
+        rows.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
     files = catalog.only_periods(catalog.list_files(spark, root), periods)
     chosen = catalog.classify_files(files)
     usable = catalog.usable_periods(chosen).filter("has_provider").select("snapshot_date")
     chosen = lookup_join(chosen, usable, "snapshot_date", "left_semi")
-    providers = read_logical(spark, chosen, V.REQUIRED_FILE, multiline=multiline)
+    providers = read_logical(spark, chosen, V.REQUIRED_FILE)
     if providers is None:
         raise ValueError(f"no period below {root} has a {V.REQUIRED_FILE} file")
+    providers = once(providers, "provider_rows")
     axis = processing_dates(providers, list(POSITION)).select("snapshot_date", "processing_date")
     survivors = catalog.collapse_republished(
         lookup_join(chosen.select("snapshot_date", "logical"), axis, "snapshot_date", "inner"))
@@ -168,7 +227,10 @@ def load_snapshots(spark: SparkSession, root: str, periods: list | None = None,
             "snapshot_date", "processing_date")
         return lookup_join(kept, label, "snapshot_date", "inner")
 
-    penalties = read_logical(spark, chosen, "penalties", multiline=multiline)
+    serving = survivors.select("logical", F.col("source_date").alias("snapshot_date"))
+    penalties = read_logical(spark, lookup_join(chosen, serving, ["logical", "snapshot_date"], "left_semi"), "penalties")
+    if penalties is not None:
+        penalties = once(penalties, "penalty_rows")
     return (of_period(providers, V.REQUIRED_FILE),
             of_period(penalties, "penalties") if penalties is not None else None,
             survivors)

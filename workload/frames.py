@@ -11,13 +11,15 @@ from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import fixed_values as V
 from tidemark.functions import clean
 from tidemark.operators.dedup import EventColumns, window_dedup
 from tidemark.operators.lookups import lookup_join
-from tidemark.plans import dimensions, facts
+from tidemark.plans import dimensions, facts, publish
 from tidemark.plans.dimensions import covid_period
 from tidemark.plans.roster import facility_roster
-from tidemark.session import stored, tune
+from tidemark.session import scratch_path, stored, tune
+from tidemark.sources.text import era_columns
 
 SIGHTING_POSITION = ("l_orderkey", "l_linenumber", "l_partkey", "cents")
 SIGHTING = EventColumns(position=SIGHTING_POSITION)
@@ -314,6 +316,41 @@ class Frames:
         attributes = facts.attributes_at(self.staged_provider, self.dims, ["source_row"])
         return facts.penalty_fact_of(self.events, attributes, self.dims, SIGHTING)
 
+    @cached_property
+    def published(self) -> str:
+        """Root of a warehouse built from text snapshots of the provider and sighting rows.
+
+        One folder per period, one file per kind, in the newest layout. The names
+        of a fifth of the facilities hold a quoted line break. The impossible
+        turnover of the fixture is 0 here, flagged but let through by the checks.
+        """
+        source, root = scratch_path(self.spark, "snapshots"), scratch_path(self.spark, "warehouse")
+        broken = F.when(F.col("source_row") % 5 == 0, F.regexp_replace("provider_name", "  ", "\n")).otherwise(F.col("provider_name"))
+        rows = self.staged_provider.withColumns({"provider_name": broken, "__period": F.col("processing_date"), "total_nursing_turnover_pct": F.when(
+            F.col("total_nursing_turnover_pct") == "250", "0").otherwise(F.col("total_nursing_turnover_pct"))})
+        self._write_text(rows, "provider_info", ["source_row"], source, "NH_ProviderInfo_Jun2026.csv")
+        seen = self.staged_sighting.withColumn("__period", F.col("stamp")).withColumn("processing_date", F.col("stamp"))
+        self._write_text(seen, "penalties", list(SIGHTING_POSITION), source, "NH_Penalties_Jun2026.csv")
+        publish.build_warehouse(self.spark, source, root, "run-1", "2026-01-01T00:00:00")
+        return root
+
+    def _write_text(self, rows: DataFrame, logical: str, order: list[str], root: str, name: str) -> None:
+        """``root/<period>/<name>`` for every period, in row order, under the newest headers."""
+        header = era_columns(logical, V.ERA_NAMES[0])
+        folder = scratch_path(self.spark, "text")
+        shown = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(h) for c, h in header.items()]
+        rows.repartition("__period").sortWithinPartitions("__period", *order).select(
+            F.col("__period").cast("string").alias("__period"), *shown).write.partitionBy("__period").option("header", True).option(
+            "encoding", V.TEXT_ENCODING).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(folder)
+        # one small catalogue step per period: give the files the names a publisher gives them
+        paths = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        system = paths(folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for part in system.globStatus(paths(f"{folder}/*/part-*")):
+            period = part.getPath().getParent().getName().split("=", 1)[1]
+            system.mkdirs(paths(f"{root}/{period}"))
+            system.rename(part.getPath(), paths(f"{root}/{period}/{name}"))
+
     @lru_cache(maxsize=8)
     def roster(self, period: int | None = None) -> DataFrame:
         """One row per facility of a period, stored: questions pass over it often."""

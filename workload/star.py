@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dedup
 from tidemark.operators.ordering import dense_key as number_rows
 from tidemark.operators.versions import asof_lookup, scd2_build
-from tidemark.plans import dimensions, facts, semantic
+from tidemark.plans import dimensions, facts, publish, runlog, semantic
 from workload.ctes import squeezed
 from workload.frames import SIGHTING
 from workload.registry import query
@@ -137,6 +137,21 @@ FACT1 = ("snapshot_date_key:i facility_key:i geography_key:i ownership_key:i cha
          "cycle1_total_deficiencies:i is_suspect:b")
 
 
+@query("published_snapshot", FACT1, """
+  SELECT * REPLACE (CASE WHEN total_nursing_turnover_pct > 200 THEN 0 ELSE total_nursing_turnover_pct END AS total_nursing_turnover_pct)
+  FROM fx_fact_snapshot""")
+def published_snapshot(f):
+    """The snapshot fact as readers see it after a build from text with quoted line breaks."""
+    return publish.read_table(f.spark, f.published, "fact_snapshot")
+
+
+@query("published_log", "rule:s logged:b", " UNION ALL ".join(f"SELECT 'Q{k}' AS rule, TRUE AS logged" for k in range(1, 9)))
+def published_log(f):
+    """Which cleaning rules the log of that build holds."""
+    log = runlog.quality_log(f.spark.read.parquet(f"{f.published}/run_log"))
+    return log.groupBy("rule").agg(F.count("*").alias("n")).select("rule", (F.col("n") > 0).alias("logged"))
+
+
 @query("fact_snapshot", FACT1, "SELECT * FROM fx_fact_snapshot")
 def fact_snapshot(f):
     return f.fact_snapshot_rows
