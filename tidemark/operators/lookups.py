@@ -107,11 +107,14 @@ def salted_join(
 
 def key_lookup(
     facts: DataFrame, dim: DataFrame, on: dict[str, str] | list[str] | str, key: str,
-    into: str | None = None, default: int = V.UNKNOWN_KEY, **options,
+    into: str | None = None, default: int = V.UNKNOWN_KEY,
 ) -> DataFrame:
     """Attach a dimension key by its natural key, null-safe; absent becomes -1.
 
-    ``on`` maps fact column -> dimension column (or lists equal names).
+    ``on`` maps fact column -> dimension column (or lists equal names). A
+    dimension holds a natural key once, so nothing runs beforehand: the size of its
+    files decides between broadcast and shuffle, and adaptive execution splits a
+    key that very many facts share.
     """
     if isinstance(on, str):
         on = {on: on}
@@ -120,5 +123,5 @@ def key_lookup(
     into = into or key
     side = dim.filter(F.col(key) != V.UNKNOWN_KEY).select(
         *[F.col(d).alias(f) for f, d in on.items()], F.col(key).alias("__key"))
-    joined = lookup_join(facts, side, list(on), "left", null_safe=True, **options)
+    joined = _equi(facts, side, list(on), "left", True)
     return joined.withColumn(into, F.coalesce("__key", F.lit(default)).cast("bigint")).drop("__key")

@@ -71,6 +71,22 @@ def classify_files(f):
     return catalog.classify_files(files(f))
 
 
+@query("catalog_of_kind", "snapshot_date:d path:s candidates:i", f"SELECT * EXCLUDE logical FROM ({CHOSEN_SQL}) c WHERE logical = 'penalties'")
+def catalog_of_kind(f):
+    """The files of one kind, in order of their periods."""
+    return catalog.of_kind(catalog.classify_files(files(f)), "penalties", "logical").orderBy("snapshot_date")
+
+
+@query("only_periods", "snapshot_date:d path:s k:i", f"""
+  SELECT snapshot_date, path, k FROM ({FILES_SQL}) f WHERE snapshot_date IN (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders UNION ALL
+    SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders)""")
+def only_periods(f):
+    """The files of the periods that a reader names: here the first and the last."""
+    listed = files(f)
+    ends = listed.agg(F.min("snapshot_date").alias("a"), F.max("snapshot_date").alias("b")).first()
+    return catalog.only_periods(listed, [ends.a, ends.b])
+
+
 @query("usable_periods", "snapshot_date:d has_provider:b has_penalties:b files:i status:s", f"""
   SELECT *, CASE WHEN NOT has_provider THEN 'skipped' WHEN NOT has_penalties THEN 'no penalties' ELSE 'complete' END AS status
   FROM (SELECT snapshot_date, COUNT(*) FILTER (WHERE logical = 'provider_info') > 0 AS has_provider,

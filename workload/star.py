@@ -1,11 +1,15 @@
 """Dimensions, facts, versions, as-of lookups and the window dedup."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from tidemark.functions import clean
 from tidemark.operators import dedup
 from tidemark.operators.ordering import dense_key as number_rows
 from tidemark.operators.versions import asof_lookup, scd2_build
-from tidemark.plans import dimensions, facts, publish, runlog, semantic
+from tidemark.operators.lookups import join_unique
+from tidemark.plans import checks, dimensions, facts, publish, runlog, semantic
 from workload.ctes import squeezed
 from workload.frames import SIGHTING
 from workload.registry import query
@@ -145,6 +149,38 @@ def published_snapshot(f):
     return publish.read_table(f.spark, f.published, "fact_snapshot")
 
 
+@query("published_ownership", "ownership_key:i ownership_type:s ownership_group:s is_for_profit:b", "SELECT * FROM fx_dim_ownership")
+def published_ownership(f):
+    """A dimension read back with its stored keys from that build."""
+    return publish.read_table(f.spark, f.published, "dim_ownership")
+
+
+@query("gate_refuses_release", "rule:s target:s violations:i followed:s", """
+  SELECT 'turnover_is_percent' AS rule, 'fact_snapshot' AS target, COUNT(*) AS violations, 'run-1' AS followed
+  FROM fx_fact_snapshot WHERE total_nursing_turnover_pct > 200""")
+def gate_refuses_release(f):
+    """A release with impossible turnover is logged and refused: readers stay on the one before."""
+    root, run = f.published, f"bad-{uuid.uuid4().hex}"
+    try:
+        publish.publish(f.spark, {**f.dims, "fact_snapshot": f.fact_snapshot}, root, run, "2026-01-02T00:00:00")
+    except checks.GateClosed:
+        pass
+    followed = publish.current_release(f.spark, root).rsplit("/", 1)[-1]
+    log = f.spark.read.parquet(f"{root}/run_log")
+    return log.filter((F.col("run_id") == run) & (F.col("rows_affected") > 0)).select(
+        "rule", "target", F.col("rows_affected").alias("violations"), F.lit(followed).alias("followed"))
+
+
+@query("calendar_check", "first_day:d last_day:d days:i missing_days:i leap_days:i", """
+  SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days, date_diff('day', MIN(d), MAX(d)) + 1 - COUNT(*) AS missing_days,
+         COUNT(*) FILTER (WHERE month(d) = 2 AND day(d) = 29) AS leap_days
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) x""")
+def calendar_check(f):
+    """Span, gaps and leap days of the calendar rows that orders refer to."""
+    days = f.table("orders").select(clean.date_key(F.col("o_orderdate").cast("date")).alias("date_key")).distinct()
+    return checks.calendar_check(join_unique(dimensions.dim_date(f.spark), days, "date_key", "left_semi"))
+
+
 @query("published_log", "rule:s logged:b", " UNION ALL ".join(f"SELECT 'Q{k}' AS rule, TRUE AS logged" for k in range(1, 9)))
 def published_log(f):
     """Which cleaning rules the log of that build holds."""
