@@ -112,6 +112,20 @@ def test_views_start_no_job(spark, built):
     context.setJobGroup("", "")
 
 
+def test_a_window_of_fines_prunes_years(spark, built):
+    from tidemark.plans import roster
+
+    dims = {n: table(spark, built[1], n) for n in (
+        "dim_date", "dim_facility", "dim_geography", "dim_ownership", "dim_chain", "dim_penalty_type")}
+    fact = table(spark, built[1], "fact_penalty")
+    penalty = semantic.penalty_view(fact, dims)
+    seen = roster.in_window(penalty, F.lit("2026-07-01").cast("date"))
+    assert sorted(r.penalty_year for r in seen.collect()) == [2026]
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_year" in plan
+    assert [r.penalty_year for r in penalty.select("penalty_year").distinct().orderBy("penalty_year").collect()] == [2018, 2019, 2026]
+
+
 def test_gate_keeps_readers_on_the_old_release(spark, built, tmp_path):
     root = built[1]
     bad = {"dim_ownership": table(spark, root, "dim_ownership").unionByName(

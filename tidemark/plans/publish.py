@@ -13,7 +13,12 @@ from tidemark.plans import checks, runlog
 from tidemark.plans.facts import FACILITY_FACT, PENALTY_FACT
 
 DECLARED = {"fact_snapshot": FACILITY_FACT, "fact_penalty": PENALTY_FACT}
-PARTITIONS = {"fact_snapshot": "snapshot_date_key"}
+PARTITIONS = {"fact_snapshot": "snapshot_date_key", "fact_penalty": "event_year"}
+
+
+def event_year():
+    """Partition column of the penalty fact beside the declared ones; unknown dates have no year."""
+    return F.when(F.col("penalty_date_key") > 0, F.floor(F.col("penalty_date_key") / 10000).cast("int"))
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -43,6 +48,8 @@ def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFram
     release = f"{root}/releases/{run_id}"
     rows = checks.conform(frame, DECLARED[name], name) if name in DECLARED else frame
     by = [PARTITIONS[name]] if name in PARTITIONS else []
+    if name == "fact_penalty":
+        rows = rows.withColumn("event_year", event_year())
     # rebalancing splits a hot period over several writers and merges small ones
     writer = rows.hint("rebalance", *by).write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")

@@ -67,7 +67,11 @@ def facility_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 
 def penalty_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Penalty fact joined with six dimensions."""
+    """Penalty fact joined with six dimensions.
+
+    The year of a published fact is its partition column, so that filters on it
+    prune partitions; other facts take it from the calendar.
+    """
     joined = _star(fact, [
         (dims["dim_date"], "penalty_date_key", {
             "full_date": "penalty_date", "year": "penalty_year", "quarter": "penalty_quarter",
@@ -80,8 +84,8 @@ def penalty_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         (dims["dim_penalty_type"], "penalty_type_key", _same("penalty_type", "is_monetary")),
     ])
     return joined.select(
-        "penalty_event_key", "penalty_date", "penalty_year", "penalty_quarter",
-        "penalty_year_month", "us_fiscal_year", "covid_period", "ccn", "provider_name",
+        "penalty_event_key", "penalty_date", F.col("event_year" if "event_year" in fact.columns else "penalty_year").alias("penalty_year"),
+        "penalty_quarter", "penalty_year_month", "us_fiscal_year", "covid_period", "ccn", "provider_name",
         "bed_size_band", "state_code", "state_name", "census_region", "ownership_group",
         "chain_name", "chain_size_band", "penalty_type", "is_monetary", "fine_id",
         "fine_id_source", "fine_amount_usd", "payment_denial_days", "penalty_count")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -50,13 +52,31 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing else ever writes there."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+#: Scratch paths of this application, for ``clean``.
+_MADE: list[str] = []
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the scratch tables of this application; call it when no result is read any more."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    deleted = 0
+    while _MADE:
+        path = paths(_MADE.pop())
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        deleted += bool(system.delete(path, True))
+    return deleted
 
 
 def stored(frame: DataFrame, name: str, partition: str | None = None) -> DataFrame:
