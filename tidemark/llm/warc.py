@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.common import put
 from tidemark.session import scratch_path
 
 SLICE = 1 << 16
@@ -65,16 +66,17 @@ def record(page: str | None, url: str | None, payload: bytes, sha1_hex: str, ref
 def decided(pages: DataFrame, page_id: str, url: str, html: str, least: int) -> DataFrame:
     """Pages with their payload and, for revisits, the page that is the response.
 
-    Only digests and lengths are grouped, map-side first; payloads join only the
-    digests that occur more than once, a join that adaptive execution splits
-    where a payload is hot or turns into a broadcast where few repeat.
+    Only digests and lengths are grouped, map-side first. The digests that occur
+    more than once are written as a table, so the join with the payloads knows its
+    size: few are broadcast below Spark's size limit, many are joined by a shuffle
+    that adaptive execution splits where a payload is hot.
     """
     rows = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload")).withColumns({
                             "sha1": F.sha1("payload"), "bytes": F.octet_length("payload").cast("long")})
     leaders = rows.where(F.col("bytes") >= least).groupBy("sha1", "bytes").agg(
         F.max("id").alias("first_of"), F.count(F.lit(1)).alias("times")).where("times > 1 and first_of is not null").drop("times")
-    joined = rows.join(leaders, ["sha1", "bytes"], "left")
+    joined = rows.join(put(leaders, "repeated-payloads"), ["sha1", "bytes"], "left")
     # a row without an id cannot be named, so nothing refers to it, but it may refer
     other = F.col("first_of").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_of"))
     return joined.select(F.col("id").cast("string").alias("page"), "url", "payload", "sha1", "bytes",
