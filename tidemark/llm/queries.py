@@ -71,7 +71,7 @@ def op8_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every whole text, by a model of the labels outside the held-out fifth."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
-    return toxicity.score(docs.select("doc_id", "text"), model).select(
+    return toxicity.score(docs.select("doc_id", "text"), model, columns=["doc_id"]).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -185,17 +185,19 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return fit([(y, i, v) for _, y, i, v in rows], settings)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score", columns: list[str] | None = None) -> DataFrame:
     """Every row with a double ``name`` in [0, 1]: the softmax's share of the toxic class over the whole text.
 
     A null or empty text, or one of punctuation only, has an empty bag and gets
     the share that the bias alone gives. Rows, repeated or not, are scored one by
-    one; other columns, whatever their names, stay.
+    one; other columns, whatever their names, stay. ``columns`` names those to
+    return beside the score, all by default: texts that nobody reads stay behind.
     """
     spark = docs.sparkSession
     # settings.buckets doubles: a bound that does not depend on the data
     told = spark.sparkContext.broadcast((model.pulls(), float(model.bias[1]) - float(model.bias[0])))
     s, schema = model.settings, docs.schema
+    kept = docs.columns if columns is None else columns
 
     def run(batches):
         pull, bias = told.value
@@ -215,6 +217,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
                     cache.clear()
                 logit = bias + (total / n if n else 0.0)
                 out.append(1.0 / (1.0 + float(np.exp(-np.clip(logit, -500, 500)))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, pa.float64())], [*kept, name])
 
-    return docs.mapInArrow(run, T.StructType([*schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*[schema[c] for c in kept], T.StructField(name, T.DoubleType())]))
