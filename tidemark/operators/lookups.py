@@ -61,6 +61,14 @@ def join_unique(left: DataFrame, right: DataFrame, on: list[str] | str, how: str
     return _equi(left, right, [on] if isinstance(on, str) else list(on), how, null_safe)
 
 
+def join_range(left: DataFrame, right: DataFrame, on: str, inside: Column) -> DataFrame:
+    """Left join on a key and a range, of which every left row meets at most one.
+
+    Nothing runs beforehand: file sizes and runtime statistics choose the strategy.
+    """
+    return _equi(left, right, [on], "left", False, inside)
+
+
 def lookup_join(
     large: DataFrame, small: DataFrame, on: list[str] | str, how: str = "left", *,
     null_safe: bool = False, residual: Column | None = None, rows: int | None = None,

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.operators import lookups
-from tidemark.session import durable
+from tidemark.session import durable, stored
 
 
 def _columns(order) -> list[Column]:
@@ -97,7 +97,7 @@ def exact_quantiles(
 
     Equal values are merged first. ``bounded`` says the value domain is small by
     construction (star ratings, one row per state). Otherwise the merged values
-    are read once if they are few, and a distributed selection takes over past
+    are written and counted, and a distributed selection takes over past
     ``limit`` of them.
     """
     by = list(by)
@@ -106,11 +106,11 @@ def exact_quantiles(
         frame.filter(F.col(value).isNotNull())
         .groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
     )
-    few = counts if bounded else lookups.pinned(counts, limit)
-    if few is not None:
-        return few.groupBy(*by).agg(
+    if not bounded:
+        counts = stored(counts, "merged-values")
+    if bounded or counts.count() <= limit:
+        return counts.groupBy(*by).agg(
             F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias(into))
-    counts = durable(counts)
     ranked = sliced_total(counts, ["__v"], "__before", by=by, weight=F.col("__n"), slice_rows=limit)
     sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
     ranked = (lookups.lookup_join(ranked, sizes, by, "inner", null_safe=True) if by

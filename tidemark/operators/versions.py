@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark import fixed_values as V
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_range, lookup_join
 from tidemark.operators.ordering import first_per_key
 
 
@@ -87,7 +87,9 @@ def asof_lookup(
 
     Dates no version covers get the first version, unknown members get -1. The
     join has an equality on the key and a range as residual; each fact meets
-    exactly one range. ``status`` names an optional match/clamped/missing column.
+    exactly one range, and adaptive execution may split a hot member. ``status``
+    names an optional match/clamped/missing column; other options (``rows``,
+    ``hot_rows``) ask for a lookup that is checked and salted beforehand.
     """
     into = into or surrogate
     known = versions.filter(F.col(surrogate) != V.UNKNOWN_KEY)
@@ -95,7 +97,8 @@ def asof_lookup(
     when = F.col(f"l.{at}").cast("date")
     inside = (F.col("r.__from").isNull() | (F.col("r.__from") <= when)) & (
         F.col("r.__to").isNull() | (when < F.col("r.__to")))
-    joined = lookup_join(facts, ranges, key, "left", residual=inside, **options)
+    joined = (lookup_join(facts, ranges, key, "left", residual=inside, **options) if options
+              else join_range(facts, ranges, key, inside))
     out = joined.withColumn(into, F.coalesce("__sk", F.lit(V.UNKNOWN_KEY)).cast("bigint"))
     if status:
         out = out.withColumn(status, F.when(F.col("__sk").isNull(), "missing")

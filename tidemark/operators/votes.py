@@ -1,7 +1,8 @@
 """Decisions taken once per column and period, then applied to every row.
 
-Each decision is one aggregate; its few rows are joined back as a checked lookup,
-so the rows themselves are never shuffled by period.
+Each decision is one aggregate, written as a table of one row per period. It is
+joined back by a plain join: the size of its files is known when the plan is made,
+so it is broadcast while it is small and the rows are not shuffled by period.
 """
 
 from __future__ import annotations
@@ -13,12 +14,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.clean import col, flag_domain, strip
-from tidemark.operators.lookups import lookup_join
+from tidemark.operators.lookups import join_unique
 from tidemark.operators.ordering import exact_quantiles
+from tidemark.session import stored
 
 _FORMATS = V.DATE_FORMATS
 
 
+def _decided(frame: DataFrame, decisions: DataFrame, by: list[str]) -> DataFrame:
+    return join_unique(frame, stored(decisions, "decisions"), by, null_safe=True)
+
+
 def parse_as(text: Column, index: int) -> Column:
     pattern, shape = _FORMATS[index]
     return F.when(text.rlike(shape), F.try_to_date(text, pattern))
@@ -66,7 +72,7 @@ def parse_date_vote(frame: DataFrame, column: str, into: str, by: list[str],
     """Parse a text date with the one format its whole column voted for."""
     votes = date_votes(frame, column, by) if votes is None else votes
     choice = votes.select(*by, F.col("format_index").alias("__f"))
-    joined = lookup_join(frame, choice, by, null_safe=True)
+    joined = _decided(frame, choice, by)
     text = strip(column)
     value = reduce(
         lambda later, i: F.when(F.col("__f") == i, parse_as(text, i)).otherwise(later),
@@ -74,20 +80,21 @@ def parse_date_vote(frame: DataFrame, column: str, into: str, by: list[str],
     return joined.withColumn(into, value).drop("__f")
 
 
-def _presence(frame: DataFrame, column: Column, by: list[str]) -> DataFrame:
+def presence(frame: DataFrame, column: Column, by: list[str]) -> DataFrame:
+    """Whether a period carries any value of a column."""
     return frame.groupBy(*by).agg(F.max(column.isNotNull()).alias("__present"))
 
 
 def normalize_flag_domain(frame: DataFrame, column: str, into: str, by: list[str]) -> DataFrame:
     """Blank means "None" only in periods whose file carries the column."""
-    joined = lookup_join(frame, _presence(frame, col(column), by), by, null_safe=True)
+    joined = _decided(frame, presence(frame, col(column), by), by)
     return joined.withColumn(into, flag_domain(column, F.col("__present"))).drop("__present")
 
 
 def tri_state(frame: DataFrame, name: Column, raw: str, key: Column, into: str,
-              by: list[str]) -> DataFrame:
+              by: list[str], present: DataFrame | None = None) -> DataFrame:
     """Column absent in the period -> -1, blank -> 0, found -> its key, else -1."""
-    joined = lookup_join(frame, _presence(frame, col(raw), by), by, null_safe=True)
+    joined = _decided(frame, presence(frame, col(raw), by) if present is None else present, by)
     value = (
         F.when(~F.col("__present"), V.UNKNOWN_KEY)
         .when(name.isNull(), V.INDEPENDENT_KEY)
@@ -108,8 +115,7 @@ def fix_unit_drift(frame: DataFrame, value: str, into: str, by: list[str],
                    decisions: DataFrame | None = None, **options) -> DataFrame:
     """Scale a period to percent when its median says it was stored as a proportion."""
     decisions = unit_medians(frame, value, by, **options) if decisions is None else decisions
-    joined = lookup_join(frame, decisions.select(*by, F.col("factor").alias("__f")), by,
-                         null_safe=True)
+    joined = _decided(frame, decisions.select(*by, F.col("factor").alias("__f")), by)
     # multiply only where asked, so untouched periods keep their exact value
     return joined.withColumn(
         into, F.when(F.col("__f") == 100.0, F.col(value) * 100.0).otherwise(F.col(value))

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark import fixed_values as V
 from tidemark.functions import clean
 from tidemark.operators.dedup import EventColumns, window_dedup
-from tidemark.operators.lookups import key_lookup, lookup_join
+from tidemark.operators.lookups import join_unique, key_lookup
 from tidemark.operators.ordering import dense_key, first_per_key
 from tidemark.operators.versions import asof_lookup
-from tidemark.operators.votes import fix_unit_drift, parse_date_vote, tri_state
+from tidemark.operators.votes import fix_unit_drift, parse_date_vote, presence, tri_state
 
 TIME = "processing_date"
 
@@ -42,19 +42,20 @@ def with_ownership_key(rows: DataFrame, dim: DataFrame) -> DataFrame:
     return key_lookup(probe, dim, {"__type": "ownership_type"}, "ownership_key").drop("__type")
 
 
-def with_chain_key(rows: DataFrame, dim: DataFrame) -> DataFrame:
+def with_chain_key(rows: DataFrame, dim: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``source``: rows that tell whether a period has the column at all, if not ``rows``."""
     probe = rows.withColumn("__name", clean.normalize_text("chain_name", upper=True))
     names = dim.select(F.col("chain_name").alias("__name"), F.col("chain_key").alias("__found"))
-    found = lookup_join(probe, names, "__name")
+    found = join_unique(probe, names, "__name")
     return tri_state(found, F.col("__name"), "chain_name", F.col("__found"), "chain_key",
-                     [TIME]).drop("__name", "__found")
+                     [TIME], presence(rows if source is None else source, F.col("chain_name"), [TIME])).drop("__name", "__found")
 
 
-def snapshot_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def snapshot_keys(rows: DataFrame, dims: dict[str, DataFrame], source: DataFrame | None = None) -> DataFrame:
     """Provider rows with geography, ownership and chain keys."""
     keyed = with_geography_key(rows, dims["dim_geography"])
     keyed = with_ownership_key(keyed, dims["dim_ownership"])
-    return with_chain_key(keyed, dims["dim_chain"])
+    return with_chain_key(keyed, dims["dim_chain"], source)
 
 
 def fact_snapshot(rows: DataFrame, dims: dict[str, DataFrame], position: list[str]) -> DataFrame:
@@ -63,7 +64,7 @@ def fact_snapshot(rows: DataFrame, dims: dict[str, DataFrame], position: list[st
     typed = first.withColumns({c: clean.to_whole(c) for c in _WHOLE}).withColumns(
         {c: clean.to_number(c) for c in _DECIMAL})
     scaled = fix_unit_drift(typed, "total_nursing_turnover_pct", "total_nursing_turnover_pct", [TIME])
-    keyed = snapshot_keys(scaled, dims)
+    keyed = snapshot_keys(scaled, dims, rows)
     keyed = asof_lookup(keyed, dims["dim_facility"], "ccn", TIME, "facility_key")
     return keyed.withColumns({
         "snapshot_date_key": clean.date_key(TIME),
@@ -88,7 +89,7 @@ def penalty_sightings(rows: DataFrame, position: list[str]) -> DataFrame:
 def attributes_at(rows: DataFrame, dims: dict[str, DataFrame], position: list[str]) -> DataFrame:
     """Keys of every (facility, period): the first row of a repeated facility."""
     first = first_per_key(rows, [TIME, "ccn"], position)
-    return snapshot_keys(first, dims).select(
+    return snapshot_keys(first, dims, rows).select(
         "ccn", F.col(TIME).alias("stamp"), "geography_key", "ownership_key", "chain_key")
 
 
@@ -113,7 +114,7 @@ def penalty_fact_of(
     columns: EventColumns = EventColumns(),
 ) -> DataFrame:
     """Events with their dimension keys: those of the period of the kept sighting."""
-    events = lookup_join(events, attributes, ["ccn", "stamp"], null_safe=True)
+    events = join_unique(events, attributes, ["ccn", "stamp"], null_safe=True)
     unknown = F.lit(V.UNKNOWN_KEY).cast("bigint")
     events = events.withColumns({
         k: F.coalesce(k, unknown) for k in ("geography_key", "ownership_key", "chain_key")})
