@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests import snapshots
 from tidemark.plans import checks, compare, dimensions, publish, runlog, semantic
 from tidemark.plans.facts import PENALTY_FACT, fact_penalty
+from tidemark.session import stored
 from tidemark.sources import text
 
 
@@ -112,6 +113,32 @@ def test_views_start_no_job(spark, built):
     context.setJobGroup("", "")
 
 
+def test_facts_plan_without_jobs_beside_writes(spark, built, monkeypatch):
+    from tidemark.operators import ordering, votes
+    from tidemark.plans import facts
+
+    context = spark.sparkContext
+
+    def writing(frame, *rest):
+        context.setJobGroup("writes", "writes")
+        out = stored(frame, *rest)
+        context.setJobGroup("plan", "plan")
+        return out
+
+    for module in (ordering, votes):
+        monkeypatch.setattr(module, "stored", writing)
+    dims = {n: table(spark, built[1], n) for n in ("dim_facility", "dim_geography", "dim_ownership", "dim_chain")}
+    names = ["ccn", "provider_name", "city", "state_code", "zip_code", "ownership_type", "chain_name", *facts._WHOLE, *facts._DECIMAL]
+    rows = spark.createDataFrame([("015009", *["1"] * (len(names) - 1))], ", ".join(f"{n} string" for n in names)).withColumns(
+        {"processing_date": F.lit("2026-07-01").cast("date"), "source_row": F.lit(1)})
+    context.setJobGroup("plan", "plan")
+    frame = facts.fact_snapshot(rows, dims, ["source_row"])
+    # the size of the merged values behind the medians: a count of a stored table
+    assert len(context.statusTracker().getJobIdsForGroup("plan")) <= 2
+    context.setJobGroup("", "")
+    assert frame.count() == 1
+
+
 def test_a_window_of_fines_prunes_years(spark, built):
     from tidemark.plans import roster
 

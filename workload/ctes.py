@@ -457,3 +457,26 @@ CTES["fx_fines_now"] = """
   FROM fx_penalty WHERE penalty_date >= DATE '1998-07-01' AND penalty_date <= DATE '2001-07-01' GROUP BY ccn"""
 CTES["fx_roster_now"] = roster_sql("snapshot_date_key = 20010701", "fx_fines_now")
 CTES["fx_scored_now"] = scored_sql("fx_roster_now")
+
+# --- the same views and the roster over the star: facts joined with dimensions --------
+CTES["fx_star_facility"] = """
+  SELECT f.*, t.full_date AS snapshot_date, t.year AS snapshot_year, t.year_month AS snapshot_year_month, d.provider_name,
+         d.special_focus_status, d.abuse_icon, g.state_code, g.state_name, g.census_region, o.ownership_type, o.ownership_group,
+         o.is_for_profit, c.chain_name, c.chain_size_band, c.is_independent
+  FROM fx_fact_snapshot f, fx_dim_date t, fx_dim_facility d, fx_dim_geography g, fx_dim_ownership o, fx_dim_chain c
+  WHERE t.date_key = f.snapshot_date_key AND d.facility_key = f.facility_key AND g.geography_key = f.geography_key
+    AND o.ownership_key = f.ownership_key AND c.chain_key = f.chain_key"""
+CTES["fx_star_penalty"] = """
+  SELECT f.*, t.full_date AS penalty_date, t.year AS penalty_year, g.state_code, o.ownership_group, c.chain_size_band, k.penalty_type
+  FROM fx_fact_penalty f, fx_dim_date t, fx_dim_facility d, fx_dim_geography g, fx_dim_ownership o, fx_dim_chain c, fx_dim_penalty_type k
+  WHERE t.date_key = f.penalty_date_key AND d.facility_key = f.facility_key AND g.geography_key = f.geography_key
+    AND o.ownership_key = f.ownership_key AND c.chain_key = f.chain_key AND k.penalty_type_key = f.penalty_type_key"""
+
+
+def on_star(sql: str) -> str:
+    """A statement over the flat views as one over the star."""
+    return re.sub(r"\bfx_(facility|penalty|latest|fines|roster)\b", r"fx_star_\1", sql)
+
+
+for _name in ("fx_latest", "fx_fines", "fx_roster"):
+    CTES[on_star(_name)] = on_star(CTES[_name])

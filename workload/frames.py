@@ -15,7 +15,7 @@ from tidemark import fixed_values as V
 from tidemark.functions import clean
 from tidemark.operators.dedup import EventColumns, window_dedup
 from tidemark.operators.lookups import lookup_join
-from tidemark.plans import dimensions, facts, publish
+from tidemark.plans import dimensions, facts, publish, semantic
 from tidemark.plans.dimensions import covid_period
 from tidemark.plans.roster import facility_roster
 from tidemark.session import scratch_path, stored, tune
@@ -316,6 +316,15 @@ class Frames:
         attributes = facts.attributes_at(self.staged_provider, self.dims, ["source_row"])
         return facts.penalty_fact_of(self.events, attributes, self.dims, SIGHTING)
 
+    @property
+    def star_facility(self) -> DataFrame:
+        """The facility view of the star: the snapshot fact joined with its dimensions."""
+        return semantic.facility_view(self.fact_snapshot, self.dims)
+
+    @property
+    def star_penalty(self) -> DataFrame:
+        return semantic.penalty_view(self.fact_penalty, self.dims)
+
     @cached_property
     def published(self) -> str:
         """Root of a warehouse built from text snapshots of the provider and sighting rows.

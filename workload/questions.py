@@ -6,6 +6,7 @@ from tidemark import fixed_values as V
 from tidemark.plans import (
     cohorts, enforcement, gradients, risk, roster, segments, states,
 )
+from workload.ctes import on_star
 from workload.registry import query
 
 NEWEST = "snapshot_date_key = (SELECT k FROM fx_latest)"
@@ -142,6 +143,12 @@ def segment_compare(f):
     return segments.segment_compare(f.facility, f.penalty, "ownership_group")
 
 
+@query("star_segment_compare", SEGMENT, on_star(segment_sql("ownership_group")))
+def star_segment_compare(f):
+    """Segments over the star: both facts joined with their dimensions."""
+    return segments.segment_compare(f.star_facility, f.star_penalty, "ownership_group")
+
+
 @query("segment_compare_type", SEGMENT, segment_sql("ownership_type"))
 def segment_compare_type(f):
     return segments.segment_compare(f.facility, f.penalty, "ownership_type")
@@ -191,6 +198,12 @@ def facility_roster(f):
     return roster.facility_roster(f.facility, f.penalty)
 
 
+@query("star_roster", ROSTER, "SELECT * FROM fx_star_roster")
+def star_roster(f):
+    """The roster over the star: both facts joined with their dimensions."""
+    return roster.facility_roster(f.star_facility, f.star_penalty)
+
+
 @query("facility_roster_filtered", ROSTER, "SELECT * FROM fx_roster_1998 WHERE state_code IN ('NATION_1', 'NATION_3', 'NATION_7') AND ownership_group = 'For profit'")
 def facility_roster_filtered(f):
     chosen = roster.Filters(states=["NATION_1", "NATION_3", "NATION_7"], ownership=["For profit"], include_suspect=False)
