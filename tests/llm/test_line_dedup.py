@@ -77,3 +77,17 @@ def test_awkward_rows_and_empty_table(spark):
     frame = docs(spark)
     assert line_dedup.remove_repeated(frame).count() == frame.count()
     assert line_dedup.remove_repeated(docs(spark, [])).collect() == []
+
+
+def test_blank_lines_between_paragraphs_do_not_hide_a_copy(spark):
+    rng = random.Random(21)
+    passage = [sentence(rng, 15) for _ in range(20)]
+    own = [[sentence(rng, 9) for _ in range(4)] for _ in range(2)]
+    rows = [(0, "\n\n".join(passage), "s"), (1, "\n\n".join(passage), "s"), (2, "\n\n\n".join(passage), "s"),
+            (3, "\n\n".join(own[0] + passage + own[1]), "s"), (4, "\n\n" + passage[0] + "\n\n", "s")]
+    assert all("\n".join(c) == t for t, c in chunks_of(spark, [t for _, t, _ in rows]).items())
+    got = {r.doc_id: r for r in line_dedup.remove_repeated(docs(spark, rows)).collect()}
+    left = {i: [line for line in got[i].text.split("\n") if line] for i in got}
+    assert got[0].text == rows[0][1] and got[4].text == rows[4][1]
+    assert left[1] == [] and left[2] == []          # copies of a whole text lose every paragraph
+    assert set(own[0] + own[1]) <= set(left[3]) and len(left[3]) <= 8 + 10

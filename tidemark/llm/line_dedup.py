@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks of lines, in DataFrame functions only.
 
-Lines are hashed, a rolling hash runs over the hashes of neighbouring lines, and
-a chunk ends where that rolling hash is a local minimum. The cut depends on a few
+Lines that hold a word are hashed (blank lines go along with the line before
+them), a rolling hash runs over the hashes of neighbouring ones, and a chunk ends
+where that rolling hash is a local minimum. The cut depends on a few
 lines around it and on nothing before, so a passage that sits at another place in
 another text is cut alike. Chunks of several lines that occur more than once in
 the corpus are compared byte by byte and removed everywhere but at their first
@@ -14,6 +15,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import packed, put
 
+#: A line with this holds a word; the others are blank.
+WORDED = r"[^\x20\x09-\x0D]"
+#: What a piece of a text is.
+CHUNK = 0
+
 
 def _rolling(hashes: Column, window: int) -> Column:
     """Cyclic polynomial over the last ``window`` line hashes, at every line."""
@@ -28,36 +34,81 @@ def _rolling(hashes: Column, window: int) -> Column:
     return F.transform(hashes, at)
 
 
-def chunked(docs: DataFrame, text: Column, window: int) -> DataFrame:
-    """Add ``_chunks``: per chunk its lines joined again, and how many of them hold a word."""
+def cut(docs: DataFrame, text: Column, window: int) -> DataFrame:
+    """Add ``_unit``, the worded lines; ``_raw``, each with the blank lines after it (the first also with those before it);
+    ``_hash`` of the units; and ``_ends``, the last unit of every chunk.
+
+    Blank lines take no part in hashes and cuts. A text without a worded line has no unit, one raw part and one chunk.
+    """
+    def line(i):   # with index i from zero
+        return F.element_at("_lines", (i + 1).cast("int"))
+
     lines = docs.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
-    hashed = lines.withColumn("_hash", F.transform("_lines", lambda line: F.xxhash64(line)))
-    rolled = hashed.withColumn("_roll", _rolling(F.col("_hash"), window))
     n = F.size("_lines")
+    placed = lines.withColumn("_at", F.filter(F.sequence(F.lit(0), n - 1), lambda i: line(i).rlike(WORDED)))
+    units = F.size("_at")
+
+    def raw(i, u):
+        start = F.when(u > 0, i).otherwise(F.lit(0))
+        end = F.when(u < units - 1, F.element_at("_at", F.least(u + 2, units).cast("int"))).otherwise(n)
+        return F.array_join(F.slice("_lines", start + 1, end - start), "\n")
+
+    parted = placed.withColumn("_unit", F.when(units == n, F.col("_lines")).otherwise(F.transform("_at", line))).withColumn(
+        "_raw", F.when(units == n, F.col("_lines")).when(units == 0, F.array(F.array_join("_lines", "\n"))).otherwise(F.transform("_at", raw)))
+    rolled = parted.withColumn("_hash", F.transform("_unit", lambda u: F.xxhash64(u))).withColumn("_roll", _rolling(F.col("_hash"), window))
 
-    def roll(i):   # of the line with index i from zero
+    def roll(i):
         return F.element_at("_roll", (i + 1).cast("int"))
 
-    inner = F.when(n >= 4, F.sequence(F.lit(1), n - 3)).otherwise(F.array().cast("array<int>"))
+    inner = F.when(units >= 4, F.sequence(F.lit(1), units - 3)).otherwise(F.array().cast("array<int>"))
     cuts = F.filter(inner, lambda i: (roll(i) < roll(i - 1)) & (roll(i) <= roll(i + 1)))
-    ended = rolled.withColumn("_ends", F.concat(cuts, F.array(n - 1)))
+    return rolled.withColumn("_ends", F.concat(cuts, F.array(F.size("_raw") - 1))).drop("_lines", "_at", "_roll")
+
+
+def _start(k: Column) -> Column:
+    """First unit of the chunk with index ``k``."""
+    return F.when(k > 0, F.element_at("_ends", F.greatest(k, F.lit(1)).cast("int")) + 1).otherwise(F.lit(0))
+
+
+def chunked(docs: DataFrame, text: Column, window: int) -> DataFrame:
+    """Add ``_chunks``: per chunk its lines joined again, and how many of them hold a word."""
+    def chunk(end, k):
+        start = _start(k)
+        return F.struct(F.array_join(F.slice("_raw", start + 1, end - start + 1), "\n").alias("body"),
+                        F.size(F.slice("_unit", start + 1, end - start + 1)).alias("worded"))
+
+    return cut(docs, text, window).withColumn("_chunks", F.transform("_ends", chunk)).drop("_unit", "_raw", "_hash", "_ends")
+
+
+def _pieces(least_lines: int) -> Column:
+    """What is looked for elsewhere: chunks, as spans of units with hash and length."""
+    def bytes_of(start, m):
+        return F.octet_length(F.array_join(F.slice("_unit", start + 1, m), "\n"))
 
     def chunk(end, k):
-        start = F.when(k > 0, F.element_at("_ends", k.cast("int")) + 1).otherwise(F.lit(0))
-        part = F.slice("_lines", start + 1, end - start + 1)
-        return F.struct(F.array_join(part, "\n").alias("body"),
-                        F.size(F.filter(part, lambda line: line.rlike(r"[^\x20\x09-\x0D]"))).alias("worded"))
+        start = _start(k)
+        m = F.least(end + 1, F.size("_unit")) - start
+        return F.struct(F.lit(CHUNK).alias("kind"), start.alias("k"), m.alias("m"),
+                        F.xxhash64(F.lit(CHUNK), F.slice("_hash", start + 1, m)).alias("h"), bytes_of(start, m).alias("n"))
+
+    return F.filter(F.transform("_ends", chunk), lambda c: c["m"] >= least_lines)
+
 
-    return ended.withColumn("_chunks", F.transform("_ends", chunk)).drop("_lines", "_hash", "_roll", "_ends")
+def _away() -> Column:
+    """The units that go, each once."""
+    spans = F.transform("_gone", lambda g: F.sequence(g["k"], g["k"] + g["m"] - 1))
+    return F.array_distinct(F.flatten(spans))
 
 
 def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 2, least_lines: int = 2) -> DataFrame:
     """Every row of ``docs`` with its text less repeated chunks; new columns ``n_chunks`` and ``n_removed`` (long).
 
-    A chunk takes part if at least ``least_lines`` of its lines hold a word. Of
-    equal chunks that at the smallest id stays, at its first place in that text;
-    all others go. Equality is that of the bytes: hashes only name candidates,
-    and a hash that two different chunks share removes neither of them.
+    A chunk takes part if it has at least ``least_lines`` lines that hold a word.
+    Of equal chunks that at the smallest id stays, at its first place in that text;
+    all others go, with the blank lines after their lines. Equality is that of the
+    bytes of the worded lines: hashes only name candidates, and a hash that two
+    different chunks share removes neither of them. ``n_removed`` counts chunks
+    that lost lines.
 
     Null texts stay null, empty ones empty, and a text all of whose chunks go
     becomes empty; no row is dropped. Rows equal in id and text are one document
@@ -75,42 +126,43 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a document is its id and text; two hashes stand for the text
     base = packed(docs).select("row", F.struct(F.coalesce(own_id.cast("string"), F.lit("")).alias("id"),
                                                F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")).alias("_doc"))
-    cut = chunked(base, body, window)
-    places = F.filter(F.transform("_chunks", lambda c, k: F.struct(
-        k.cast("int").alias("k"), F.xxhash64(c["body"]).alias("h"), F.length(c["body"]).alias("n"), c["worded"].alias("worded"))),
-        lambda c: c["worded"] >= least_lines)
-    occurrences = cut.select("_doc", F.explode(places).alias("at")).select("_doc", "at.k", "at.h", "at.n")
+    occurrences = cut(base, body, window).select("_doc", F.explode(_pieces(least_lines)).alias("at")).select("_doc", "at.*")
     repeated = put(occurrences.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "n"), "chunk-hashes")
-    flagged = occurrences.join(repeated, ["h", "n"]).groupBy("_doc").agg(F.collect_set("k").alias("_ks"))
+    flagged = occurrences.join(repeated, ["h", "n"]).groupBy("_doc").agg(F.collect_set(F.struct("kind", "k", "m")).alias("_ks"))
     marked = put(base.join(flagged, "_doc", "left"), "chunked")
 
-    held = chunked(marked.where("_ks is not null"), body, window).withColumn("_id", own_id)
-    suspects = held.select("_doc", "_id", F.explode(F.transform("_ks", lambda k: F.struct(
-        k.alias("k"), F.element_at("_chunks", k + 1)["body"].alias("body")))).alias("at")).select(
-        "_doc", "_id", "at.k", "at.body", F.xxhash64("at.body").alias("h"), F.length("at.body").alias("n"))
+    held = marked.where("_ks is not null")
+    suspects = cut(held, body, window).select("_doc", own_id.alias("_id"), F.explode(F.when(F.size("_unit") > 0, F.transform("_ks", lambda p: F.struct(
+        p["kind"].alias("kind"), p["k"].alias("k"), p["m"].alias("m"), F.array_join(F.slice("_unit", p["k"] + 1, p["m"]), "\n").alias("body"))))).alias("at")).select(
+        "_doc", "_id", "at.*").withColumn("h", F.xxhash64("kind", "body")).withColumn("n", F.octet_length("body"))
     # byte comparison: one class per body; a hash shared by different bodies is left alone
-    classes = suspects.groupBy("body").agg(F.min("_id").alias("owner"), F.count(F.lit(1)).alias("times"))
-    verdicts = classes.groupBy(F.xxhash64("body").alias("h"), F.length("body").alias("n")).agg(
+    classes = suspects.groupBy("kind", "body").agg(F.min("_id").alias("owner"), F.count(F.lit(1)).alias("times"))
+    verdicts = classes.groupBy(F.xxhash64("kind", "body").alias("h"), F.octet_length("body").alias("n")).agg(
         F.count(F.lit(1)).alias("classes"), F.min("owner").alias("owner"), F.max("times").alias("times")).where("classes = 1 and times > 1")
     judged = suspects.drop("body").join(verdicts, ["h", "n"])
     per_doc = judged.groupBy("_doc").agg(F.array_sort(F.collect_set(F.struct(
-        "h", "n", "k", F.col("_id").eqNullSafe(F.col("owner")).alias("home")))).alias("_judged"))
+        "h", "n", "k", "m", "kind", F.col("_id").eqNullSafe(F.col("owner")).alias("home")))).alias("_judged"))
 
     def stays(j, i):   # sorted by hash and place: the first of a run is the first place
         before = F.element_at("_judged", F.greatest(i, F.lit(1)).cast("int"))
         return j["home"] & ((i == 0) | (before["h"] != j["h"]) | (before["n"] != j["n"]))
 
-    gone = F.transform(F.filter(F.transform("_judged", lambda j, i: F.struct(j["k"].alias("k"), stays(j, i).alias("stays"))),
-                                lambda j: ~j["stays"]), lambda j: j["k"])
+    gone = F.transform(F.filter(F.transform("_judged", lambda j, i: F.struct(
+        j["kind"].alias("kind"), j["k"].alias("k"), j["m"].alias("m"), stays(j, i).alias("stays"))),
+        lambda j: ~j["stays"]), lambda j: F.struct(j["kind"].alias("kind"), j["k"].alias("k"), j["m"].alias("m")))
     removal = per_doc.select("_doc", gone.alias("_gone")).where(F.size("_gone") > 0)
 
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_chunks") - 1), F.coalesce("_gone", F.array().cast("array<int>")))
-    rewritten = F.array_join(F.transform(kept, lambda k: F.element_at("_chunks", k + 1)["body"]), "\n")
-    touched = held.join(removal, "_doc", "left").select(
-        "row", F.when(F.size("_gone") > 0, rewritten).otherwise(body).alias("_new"),
-        F.size("_chunks").alias("_n"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("_m"))
-    plain = chunked(marked.where("_ks is null"), body, window).select(
-        "row", body.alias("_new"), F.size("_chunks").alias("_n"), F.lit(0).alias("_m"))
+    # texts are cut again after the join, so that they cross the shuffle once
+    joined = cut(held.join(removal, "_doc", "left"), body, window)
+    away = joined.withColumn("_away", F.when(F.col("_gone").isNotNull(), _away()).otherwise(F.array().cast("array<int>")))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), "_away")
+    rewritten = F.array_join(F.transform(kept, lambda u: F.element_at("_raw", u + 1)), "\n")
+    chunk_of = F.flatten(F.transform("_ends", lambda end, k: F.array_repeat(k, end - _start(k) + 1)))
+    touched = away.withColumn("_chunk_of", chunk_of).select(
+        "row", F.when(F.size("_away") > 0, rewritten).otherwise(body).alias("_new"), F.size("_ends").alias("_n"),
+        F.when(F.size("_chunk_of") > 0, F.size(F.array_distinct(F.transform("_away", lambda u: F.element_at("_chunk_of", u + 1))))).alias("_m"))
+    plain = cut(marked.where("_ks is null"), body, window).select(
+        "row", body.alias("_new"), F.size("_ends").alias("_n"), F.lit(0).alias("_m"))
     columns = [F.col("_new").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return plain.unionAll(touched).select(
         *columns, F.when(F.col("_new").isNull(), 0).otherwise(F.col("_n")).cast("long").alias("n_chunks"), F.col("_m").cast("long").alias("n_removed"))
