@@ -23,8 +23,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chunks of lines that occur earlier in the corpus leave their texts; every document stays."""
-    cleaned = line_dedup.remove_repeated(docs.select(COLUMNS))
+    """Chunks of lines, and passages of 50 words and more, that occur earlier in the corpus leave their texts; every document stays."""
+    cleaned = line_dedup.remove_repeated(docs.select(COLUMNS), least_words=50)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 

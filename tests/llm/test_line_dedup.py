@@ -91,3 +91,78 @@ def test_blank_lines_between_paragraphs_do_not_hide_a_copy(spark):
     assert got[0].text == rows[0][1] and got[4].text == rows[4][1]
     assert left[1] == [] and left[2] == []          # copies of a whole text lose every paragraph
     assert set(own[0] + own[1]) <= set(left[3]) and len(left[3]) <= 8 + 10
+
+
+def plain_passages(spark, rows, least):
+    """Chunks, pairs and long lines over whole texts, without hashes; ids are distinct and not null, no line is blank."""
+    cut = chunks_of(spark, sorted({t for _, t, _ in rows if t}))
+    pieces = {}
+    for i, t, _ in rows:
+        lines, at, found = t.split("\n") if t else [], 0, []
+        for body in cut[t] if t else []:
+            m = len(body.split("\n"))
+            if m >= 2:
+                found.append(("chunk", at, m, body))
+            at += m
+        found += [("pair", k, 2, "\n".join(lines[k:k + 2])) for k in range(len(lines) - 1)]
+        found += [("line", k, 1, line) for k, line in enumerate(lines) if len(line.split()) >= least]
+        pieces[i] = lines, found
+    first = {}
+    for i in sorted(pieces):
+        for kind, k, m, body in sorted(pieces[i][1]):
+            first.setdefault((kind, body), (i, k))
+    out = {}
+    for i, (lines, found) in pieces.items():
+        again = [(kind, k, m) for kind, k, m, body in found if first[kind, body] != (i, k)]
+        away = {u for kind, k, m in again if kind != "pair" for u in range(k, k + m)}
+        linked = {k for kind, k, _ in again if kind == "pair"}
+        u = 0
+        while u < len(lines):
+            end = u
+            while end in linked:
+                end += 1
+            if end > u and sum(len(line.split()) for line in lines[u:end + 1]) >= least:
+                away |= set(range(u, end + 1))
+            u = end + 1
+        out[i] = "\n".join(line for u, line in enumerate(lines) if u not in away)
+    return out
+
+
+def test_passages_of_one_to_eight_lines_inside_different_texts_go_whole(spark):
+    rng = random.Random(31)
+    rows, planted = [], {}
+    for m in range(1, 9):
+        for _ in range(6):
+            passage = [sentence(rng, 60 // m + 1) for _ in range(m)]
+            for _ in range(2):
+                around = [[sentence(rng, 8) for _ in range(5)] for _ in range(2)]
+                rows.append((len(rows), "\n".join(around[0] + passage + around[1]), "s"))
+            planted[len(rows) - 1] = around
+    got = {r.doc_id: r for r in line_dedup.remove_repeated(docs(spark, rows), least_words=50).collect()}
+    for i, t, _ in rows:
+        assert got[i].text == ("\n".join(planted[i][0] + planted[i][1]) if i in planted else t)
+        assert (got[i].n_removed > 0) == (i in planted)
+
+
+def test_passages_match_a_plain_statement(spark):
+    rng = random.Random(32)
+    for least in (4, 12, 30):
+        stock = [sentence(rng, rng.choice((1, 2, 3, 8, 40))) for _ in range(25)]
+        rows = [(i, "\n".join(rng.choice(stock) if rng.random() < 0.6 else sentence(rng, 5) for _ in range(rng.randrange(1, 14))), "s") for i in range(60)]
+        rows += [(100 + i, t, "s") for i, t, _ in passages(12)] + [(200, "", "s"), (201, "\n".join([stock[0]] * 9), "s")]
+        got = {r.doc_id: r.text for r in line_dedup.remove_repeated(docs(spark, rows), least_words=least).collect()}
+        assert got == plain_passages(spark, rows, least)
+
+
+def test_passages_with_blank_lines_null_ids_and_empty_tables(spark):
+    rng = random.Random(33)
+    passage = [sentence(rng, 20) for _ in range(3)]
+    long = sentence(rng, 55)
+    rows = [(0, "a b\n\n" + "\n\n".join(passage) + "\n\nc d", "s"), (1, "\n" + "\n".join(passage) + "\n\n\ne f", "s"),
+            (2, long, "s"), (3, "g\n" + long + "\n\nh", "s"), (None, "i\n" + long, "s"), (None, None, "s"), (4, "\n\n", "s"), (5, "\n\n", "s")]
+    got = line_dedup.remove_repeated(docs(spark, rows), least_words=50).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(
+        [(0, rows[0][1]), (1, "e f"), (2, long), (3, "g\nh"), (None, "i"), (None, None), (4, "\n\n"), (5, "\n\n")])
+    frame = docs(spark)
+    assert line_dedup.remove_repeated(frame, least_words=50).count() == frame.count()
+    assert line_dedup.remove_repeated(docs(spark, []), least_words=50).collect() == []

@@ -7,6 +7,10 @@ lines around it and on nothing before, so a passage that sits at another place i
 another text is cut alike. Chunks of several lines that occur more than once in
 the corpus are compared byte by byte and removed everywhere but at their first
 place.
+
+Chunks alone lose short passages and the ends of long ones. ``least_words`` adds
+an exact step: pairs of neighbouring lines and single long lines are compared in
+the same way, and repeated pairs that touch are one passage.
 """
 
 from __future__ import annotations
@@ -17,8 +21,8 @@ from tidemark.llm.common import packed, put
 
 #: A line with this holds a word; the others are blank.
 WORDED = r"[^\x20\x09-\x0D]"
-#: What a piece of a text is.
-CHUNK = 0
+#: What a piece of a text is: a chunk, a line and the next one, one long line.
+CHUNK, PAIR, LINE = 0, 1, 2
 
 
 def _rolling(hashes: Column, window: int) -> Column:
@@ -80,8 +84,12 @@ def chunked(docs: DataFrame, text: Column, window: int) -> DataFrame:
     return cut(docs, text, window).withColumn("_chunks", F.transform("_ends", chunk)).drop("_unit", "_raw", "_hash", "_ends")
 
 
-def _pieces(least_lines: int) -> Column:
-    """What is looked for elsewhere: chunks, as spans of units with hash and length."""
+def _words(line: Column) -> Column:
+    return F.regexp_count(line, F.lit(f"{WORDED}+"))
+
+
+def _pieces(least_lines: int, least_words: int | None) -> Column:
+    """What is looked for elsewhere: chunks, pairs of lines and long lines, as spans of units with hash and length."""
     def bytes_of(start, m):
         return F.octet_length(F.array_join(F.slice("_unit", start + 1, m), "\n"))
 
@@ -91,16 +99,49 @@ def _pieces(least_lines: int) -> Column:
         return F.struct(F.lit(CHUNK).alias("kind"), start.alias("k"), m.alias("m"),
                         F.xxhash64(F.lit(CHUNK), F.slice("_hash", start + 1, m)).alias("h"), bytes_of(start, m).alias("n"))
 
-    return F.filter(F.transform("_ends", chunk), lambda c: c["m"] >= least_lines)
-
-
-def _away() -> Column:
-    """The units that go, each once."""
-    spans = F.transform("_gone", lambda g: F.sequence(g["k"], g["k"] + g["m"] - 1))
-    return F.array_distinct(F.flatten(spans))
-
-
-def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 2, least_lines: int = 2) -> DataFrame:
+    def unit(of, i):
+        return F.element_at(of, (i + 1).cast("int"))
+
+    def pair(i):
+        return F.struct(F.lit(PAIR).alias("kind"), i.alias("k"), F.lit(2).alias("m"), F.xxhash64(F.lit(PAIR), unit("_hash", i), unit("_hash", i + 1)).alias("h"),
+                        (F.octet_length(unit("_unit", i)) + F.octet_length(unit("_unit", i + 1)) + 1).alias("n"))
+
+    def line(i):
+        return F.struct(F.lit(LINE).alias("kind"), i.alias("k"), F.lit(1).alias("m"), F.xxhash64(F.lit(LINE), unit("_hash", i)).alias("h"),
+                        F.octet_length(unit("_unit", i)).alias("n"))
+
+    chunks = F.filter(F.transform("_ends", chunk), lambda c: c["m"] >= least_lines)
+    if least_words is None:
+        return chunks
+    last = F.size("_unit") - 1
+    none = F.array().cast("array<int>")
+    pairs = F.transform(F.when(last >= 1, F.sequence(F.lit(0), last - 1)).otherwise(none), pair)
+    # so many words have at least so many characters; only then they are counted
+    long = F.filter(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(none), lambda i: (
+        F.octet_length(unit("_unit", i)) >= 2 * least_words - 1) & (_words(unit("_unit", i)) >= least_words))
+    return F.concat(chunks, pairs, F.transform(long, line))
+
+
+def _away(least_words: int | None) -> Column:
+    """The units that go, each once: those of chunks and long lines, and passages of repeated pairs with enough words."""
+    whole = F.transform(F.filter("_gone", lambda g: g["kind"] != PAIR), lambda g: F.sequence(g["k"], g["k"] + g["m"] - 1))
+    if least_words is None:
+        return F.array_distinct(F.flatten(whole))
+    pairs = F.transform(F.filter("_gone", lambda g: g["kind"] == PAIR), lambda g: g["k"])
+    first = F.array_sort(F.array_except(pairs, F.transform(pairs, lambda k: k + 1)))
+    last = F.array_sort(F.array_except(pairs, F.transform(pairs, lambda k: k - 1)))
+    passages = F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), (b + 1).alias("b")))
+
+    def enough(p):
+        return F.aggregate(F.slice("_unit", p["a"] + 1, p["b"] - p["a"] + 1), F.lit(0), lambda n, line: n + _words(line)) >= least_words
+
+    # the size names ``_unit`` outside the lambda too: the optimizer then leaves it a column, computed once per text
+    runs = F.transform(F.when(F.size("_unit") > 0, F.filter(passages, enough)), lambda p: F.sequence(p["a"], p["b"]))
+    return F.array_distinct(F.flatten(F.concat(whole, runs)))
+
+
+def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 2, least_lines: int = 2,
+                    least_words: int | None = None) -> DataFrame:
     """Every row of ``docs`` with its text less repeated chunks; new columns ``n_chunks`` and ``n_removed`` (long).
 
     A chunk takes part if it has at least ``least_lines`` lines that hold a word.
@@ -110,6 +151,12 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     different chunks share removes neither of them. ``n_removed`` counts chunks
     that lost lines.
 
+    With ``least_words`` short passages and the ends of long ones go as well: a line
+    of at least so many words that occurs before, and every run of lines of at
+    least so many words in which each line and its next occur before as
+    neighbours, be it in one text or in several. First places are told as for chunks.
+    So whatever goes stays once, line by line, at an earlier place. Words are parted by white space.
+
     Null texts stay null, empty ones empty, and a text all of whose chunks go
     becomes empty; no row is dropped. Rows equal in id and text are one document
     and are treated alike (both keep the first place), as are different texts under
@@ -117,7 +164,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ids keeps its first place in each of their texts. An empty table gives an empty one; other columns, whatever
     their names, stay as they are.
 
-    What is shuffled: one small row per chunk (hash and place), then the rows
+    What is shuffled: one small row per chunk, and with ``least_words`` per line (hash and place), then the rows
     that hold a candidate, once; the rest of the texts is only read. A chunk that
     a third of all texts share is counted and compared in map-side aggregates.
     """
@@ -126,7 +173,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a document is its id and text; two hashes stand for the text
     base = packed(docs).select("row", F.struct(F.coalesce(own_id.cast("string"), F.lit("")).alias("id"),
                                                F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")).alias("_doc"))
-    occurrences = cut(base, body, window).select("_doc", F.explode(_pieces(least_lines)).alias("at")).select("_doc", "at.*")
+    occurrences = cut(base, body, window).select("_doc", F.explode(_pieces(least_lines, least_words)).alias("at")).select("_doc", "at.*")
     repeated = put(occurrences.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "n"), "chunk-hashes")
     flagged = occurrences.join(repeated, ["h", "n"]).groupBy("_doc").agg(F.collect_set(F.struct("kind", "k", "m")).alias("_ks"))
     marked = put(base.join(flagged, "_doc", "left"), "chunked")
@@ -154,7 +201,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # texts are cut again after the join, so that they cross the shuffle once
     joined = cut(held.join(removal, "_doc", "left"), body, window)
-    away = joined.withColumn("_away", F.when(F.col("_gone").isNotNull(), _away()).otherwise(F.array().cast("array<int>")))
+    away = joined.withColumn("_away", F.when(F.col("_gone").isNotNull(), _away(least_words)).otherwise(F.array().cast("array<int>")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), "_away")
     rewritten = F.array_join(F.transform(kept, lambda u: F.element_at("_raw", u + 1)), "\n")
     chunk_of = F.flatten(F.transform("_ends", lambda end, k: F.array_repeat(k, end - _start(k) + 1)))

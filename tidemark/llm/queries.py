@@ -52,8 +52,8 @@ def op5_snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the line chunks that occur earlier in the corpus."""
-    return line_dedup.remove_repeated(table(spark, folder, "documents")).select("doc_id", "n_chunks", "n_removed", "text")
+    """Every document without the line chunks, and the passages of 50 words and more, that occur earlier in the corpus."""
+    return line_dedup.remove_repeated(table(spark, folder, "documents"), least_words=50).select("doc_id", "n_chunks", "n_removed", "text")
 
 
 def op7_hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
