@@ -75,3 +75,14 @@ def test_whole_texts_are_read():
     word = "ab" * 100
     assert sum(toxicity.tokens(word).values()) == 5
     assert toxicity.tokens("Bad, BAD! (bad)") == {"bad": 3}
+
+
+def test_a_long_fitted_text_keeps_its_whole_bag(spark):
+    long = " ".join(f"w{i * 7919 % 99991}x{i}" for i in range(6000))
+    frame = docs(spark, [(1, long, "s"), (2, "short text", "s")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    s = toxicity.Settings()
+    got = {r.order: r for r in toxicity.training_bags(frame, labels, "doc_id", "text", "toxic", s).collect()}
+    ids, shares = toxicity.bag(long, s, {})
+    assert len(ids) > 10000 and got["1"].ids == ids.tolist() and got["1"].shares == shares.tolist()
+    assert abs(sum(got["1"].shares) - 1.0) < 1e-3

@@ -31,8 +31,6 @@ class Settings:
     batch: int = 32
     #: at most this many labelled texts are fitted, the smallest by hash of their id
     sample: int = 5000
-    #: a fitted text is represented by at most this many distinct n-grams, the smallest by hash
-    features: int = 10000
     seed: int = 11
 
 
@@ -84,9 +82,8 @@ def bag(text: str | None, s: Settings, cache: dict[str, np.ndarray]) -> tuple[np
 def training_bags(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, s: Settings) -> DataFrame:
     """``(order, label, ids, shares)`` of the fitted sample; texts become bags on the executors.
 
-    Of a text with more distinct n-grams than ``features`` those with the
-    smallest hash are kept: a bound on what the driver receives, for fitting
-    only. Scoring always reads every n-gram.
+    Bags are whole: every n-gram of a fitted text counts, and their distinct
+    ids are at most ``buckets``.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(
         F.max(label).cast("int").alias("_label"))
@@ -98,20 +95,14 @@ def training_bags(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
         cache: dict = {}
         for batch in batches:
             found = [bag(t.as_py(), s, cache) for t in batch.column("_text")]
-            cut = [(i, v) if len(i) <= s.features else _smallest(i, v, s) for i, v in found]
             yield pa.RecordBatch.from_arrays([
                 batch.column(doc_id).cast(pa.string()), batch.column("_label"),
-                pa.array([i for i, _ in cut], pa.list_(pa.int32())), pa.array([v for _, v in cut], pa.list_(pa.float32()))],
+                pa.array([i for i, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.list_(pa.float32()))],
                 ["order", "label", "ids", "shares"])
 
     return texts.mapInArrow(run, "order string, label int, ids array<int>, shares array<float>")
 
 
-def _smallest(ids: np.ndarray, shares: np.ndarray, s: Settings):
-    order = np.sort(np.argsort((ids.astype(np.uint64) * np.uint64(0x9E3779B1)) % np.uint64(1 << 32), kind="stable")[:s.features])
-    return ids[order], shares[order]
-
-
 @dataclass
 class Model:
     embeddings: np.ndarray
