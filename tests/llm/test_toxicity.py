@@ -86,3 +86,12 @@ def test_a_long_fitted_text_keeps_its_whole_bag(spark):
     ids, shares = toxicity.bag(long, s, {})
     assert len(ids) > 10000 and got["1"].ids == ids.tolist() and got["1"].shares == shares.tolist()
     assert abs(sum(got["1"].shares) - 1.0) < 1e-3
+
+
+def test_an_id_carried_by_many_rows_stays_within_the_sample(spark):
+    rows = [(1, f"text number {i} of one id", "s") for i in range(50)] + [(1, "the same text", "s")] * 50 + [(2, "another", "s"), (3, None, "s")] * 3
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    bags = lambda n: toxicity.training_bags(docs(spark, rows), labels, "doc_id", "text", "toxic", toxicity.Settings(sample=n)).collect()
+    assert len(bags(10)) == 10
+    every = bags(5000)
+    assert sorted(r.order for r in every) == ["1"] * 51 + ["2", "3"] and {r.order: r.label for r in every} == {"1": 1, "2": 0, "3": 0}

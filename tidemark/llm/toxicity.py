@@ -29,7 +29,7 @@ class Settings:
     epochs: int = 6
     rate: float = 0.5
     batch: int = 32
-    #: at most this many labelled texts are fitted, the smallest by hash of their id
+    #: at most this many labelled texts are fitted, the smallest by hash of their id, equal rows once
     sample: int = 5000
     seed: int = 11
 
@@ -83,13 +83,19 @@ def training_bags(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     """``(order, label, ids, shares)`` of the fitted sample; texts become bags on the executors.
 
     Bags are whole: every n-gram of a fitted text counts, and their distinct
-    ids are at most ``buckets``.
+    ids are at most ``buckets``. Rows equal in id and text are one text; an id with
+    several texts has one bag for each, and all together are at most ``sample``.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(
         F.max(label).cast("int").alias("_label"))
     chosen = known.orderBy(F.xxhash64(F.col(doc_id).cast("string"), F.lit(s.seed)), doc_id).limit(s.sample)
     # at most ``sample`` rows of two numbers: small enough to broadcast by the bound
-    texts = docs.select(F.col(doc_id), F.col(text).alias("_text")).join(F.broadcast(chosen), doc_id)
+    texts = docs.select(F.col(doc_id), F.col(text).alias("_text")).join(F.broadcast(chosen), doc_id).withColumns(
+        {"_a": F.xxhash64("_text"), "_b": F.xxhash64(F.lit(1), "_text")})
+    keys = [doc_id, "_a", "_b"]
+    # an id may be carried by many rows: the bound is applied again to distinct texts
+    bounded = texts.select(*keys).distinct().orderBy(F.xxhash64(F.col(doc_id).cast("string"), F.lit(s.seed)), *keys).limit(s.sample)
+    texts = texts.join(F.broadcast(bounded), keys).dropDuplicates(keys)
 
     def run(batches):
         cache: dict = {}
