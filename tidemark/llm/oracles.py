@@ -130,5 +130,56 @@ SELECT f.conv_id, f.n::BIGINT AS n_turns, f.by IS NULL AS kept, f.by AS covered_
 FROM facts f JOIN whole w USING (conv_id)
 """
 
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, b.label = a.label AS alike,
+        CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS pos FROM s WHERE alike) WHERE pos <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def _terms(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+LEAKS = f"""
+WITH i AS (SELECT item_id, {_terms('text')} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[pos:pos + 9], ' ') AS w
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS pos FROM i WHERE len(ws) > 0)),
+d AS (SELECT row_number() OVER () AS row, doc_id, {_terms('text')} AS ws FROM documents),
+place AS (SELECT row, n, pos, array_to_string(ws[pos:pos + n - 1], ' ') AS w
+          FROM (SELECT row, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos FROM d, (SELECT DISTINCT n FROM win) WHERE len(ws) >= n)),
+hit AS (SELECT row, place.n, pos, item_id FROM place JOIN win ON win.n = place.n AND win.w = place.w),
+words AS (SELECT row, count(DISTINCT w) AS n_hit FROM (SELECT row, unnest(range(pos, pos + n)) AS w FROM hit) GROUP BY 1),
+owners AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+           FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN owners USING (row)
+"""
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_terms('text')} AS ws FROM documents),
+c AS (SELECT count(*) AS n, sum(len(ws))::BIGINT AS l FROM d WHERE len(ws) > 0),
+m AS (SELECT row, doc_id, 10 + (90 * len(ws)::BIGINT * c.n) // c.l AS m FROM d, c WHERE len(ws) > 0),
+asked AS (SELECT DISTINCT item_id, unnest({_terms('text')}) AS t FROM benchmark),
+tf AS (SELECT row, t, count(*) AS tf FROM (SELECT row, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY 1, 2),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * c.n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), c),
+s AS (SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM asked JOIN tf USING (t) JOIN w USING (t) JOIN m USING (row) GROUP BY 1, 2, 3)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
-    "op1_pareto_mix": MIX, "op2_embedding_near_dups": NEAR, "op3_divergence_quality": _quality(), "op4_warc_round_trip": WARC, "op5_snapshot_collapse": CHAT}
+    "op1_pareto_mix": MIX, "op2_embedding_near_dups": NEAR, "op3_divergence_quality": _quality(), "op4_warc_round_trip": WARC, "op5_snapshot_collapse": CHAT,
+    "op11_slot_hard_negatives": NEGATIVES, "op12_wu_manber_contamination": LEAKS, "op13_bit_sliced_search": SEARCH}

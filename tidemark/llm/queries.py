@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, line_dedup, mixing, packing, pstable, quality, sharding, simhash, toxicity, warc
+from tidemark.llm import (chat, contamination, lexical, line_dedup, mixing, negatives, packing, pstable, quality, sharding, simhash, toxicity,
+                          warc)
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES  # noqa: F401  (read by the entry module)
 
@@ -86,6 +87,27 @@ def op10_simhash_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_slot_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its positives; a seventh of the labels is moved on first."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_wu_manber_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and items of the benchmark's windows in every whole document."""
+    found = contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), columns=["doc_id"])
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["begin"]))
+    return found.select("row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def op13_bit_sliced_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents of highest score for every item of the benchmark."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_pareto_mix, op2_embedding_near_dups, op3_divergence_quality, op4_warc_round_trip, op5_snapshot_collapse, op6_line_chunk_dedup,
-    op7_hash_tree_shards, op8_subword_toxicity, op9_best_fit_packing, op10_simhash_near_dups)}
+    op7_hash_tree_shards, op8_subword_toxicity, op9_best_fit_packing, op10_simhash_near_dups,
+    op11_slot_hard_negatives, op12_wu_manber_contamination, op13_bit_sliced_search)}
