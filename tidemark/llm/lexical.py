@@ -1,8 +1,7 @@
 """Ranked lexical search over bit-sliced Bloom signatures.
 
 The index holds documents in blocks of similar size. A document's signature says
-which terms it may hold, and how often (once, twice, four times, eight times or
-more); a block stores its signatures by bit, so the documents that may hold a
+which terms it may hold, and how often (a level per count of ``LEVELS``); a block stores its signatures by bit, so the documents that may hold a
 term are an AND of a few rows. For every item, the rows' weights summed over terms
 and counts give each document a score it cannot exceed. Documents whose bound
 reaches the k-th best score known are scored exactly from their texts; all others
@@ -26,7 +25,9 @@ from tidemark.llm.common import put
 from tidemark.llm.terms import Terms, Vocabulary, hashes, mixed, pieces, portions, runs, terms, words
 
 #: Counts that have an entry of their own in a signature, bits per entry, rows that a term sets.
-LEVELS, BITS, PROBES = (1, 2, 4, 8), 10, 4
+LEVELS, BITS, PROBES = (1, 2, 3, 4, 6, 8, *(1 << b for b in range(4, 16))), 10, 4
+#: An item's known score comes from so many times k documents, those of highest bound.
+SEEDS = 4
 #: Documents and entries of a block; bits of the widest signature. A wider document has none: it is always scored.
 BLOCK_DOCS, BLOCK_ENTRIES, WIDEST = 4096, 1 << 20, 1 << 22
 #: Bytes of items searched for at once; (document, item) pairs that are sent to all tasks at most.
@@ -192,6 +193,8 @@ class Query:
         short = self.vocabulary.hash >> np.uint64(16)
         present, before = [], None
         for level in LEVELS:
+            if level > n.max():
+                break
             at = _probes(short, level, width)
             here = rows[at[:, 0]]
             for j in range(1, PROBES):
@@ -202,8 +205,11 @@ class Query:
         for i, used in enumerate(self.items):
             bound = np.zeros(len(n))
             for step, bits in zip(steps, present):
-                for at in range(0, len(used), 2048):
-                    few = used[at:at + 2048]
+                held = used[bits[used].any(axis=1)]
+                if not len(held):
+                    break       # a count includes the smaller ones
+                for at in range(0, len(held), 2048):
+                    few = held[at:at + 2048]
                     bound += step * (weight[few] @ np.unpackbits(bits[few], axis=1, count=len(n)))
             yield i, bound
 
@@ -238,7 +244,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id
     tables give no rows; other columns, whatever their names, are not read.
 
     The documents are read three times and never shuffled: for the index, for the
-    scores of each item's ``k`` documents of highest bound, whose k-th best exact
+    scores of each item's ``SEEDS * k`` documents of highest bound, whose k-th best exact
     score is then known to be reached, and for the scores of every document whose
     bound reaches that. The documents to score are sent to all tasks if they are at
     most ``pairs`` pairs with an item, else joined by a shuffle. Items beyond
@@ -275,8 +281,10 @@ def _searched(flat: DataFrame, rows: pa.Table, k: int, names: dict, pairs: int)
     kind = names["doc_id"]
     pair = T.StructType([T.StructField("item", T.IntegerType()), T.StructField("id", kind), T.StructField("bound", T.DoubleType())])
 
+    few = SEEDS * k
+
     def candidates(reached: np.ndarray | None):
-        """Pairs whose bound reaches the item's known score, or, with none known, a task's k pairs of highest bound per item."""
+        """Pairs whose bound reaches the item's known score, or, with none known, a task's few pairs of highest bound per item."""
         def run(batches):
             best: dict[int, tuple] = {}
             for batch in batches:
@@ -290,14 +298,14 @@ def _searched(flat: DataFrame, rows: pa.Table, k: int, names: dict, pairs: int)
                                 out.append((item, at, bound[at]))
                             continue
                         at = np.flatnonzero(bound > 0)
-                        if len(at) > k:
-                            at = at[np.argpartition(bound[at], -k)[-k:]]
+                        if len(at) > few:
+                            at = at[np.argpartition(bound[at], -few)[-few:]]
                         if len(at):
                             had = best.get(item)
                             bound, mine = bound[at], ids.take(pa.array(at))
                             if had:
                                 bound, mine = np.concatenate([had[0], bound]), pa.concat_arrays([had[1], mine])
-                            top = np.argsort(-bound, kind="stable")[:k]
+                            top = np.argsort(-bound, kind="stable")[:few]
                             best[item] = bound[top], mine.take(pa.array(top))
                     if out:
                         yield _pairs([(i, ids.take(pa.array(at)), b) for i, at, b in out])
@@ -306,7 +314,7 @@ def _searched(flat: DataFrame, rows: pa.Table, k: int, names: dict, pairs: int)
         return blocks.mapInArrow(run, pair)
 
     first = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("bound"), F.col("id").asc_nulls_last()))
-    seeds = candidates(None).withColumn("at", first).where(F.col("at") <= k).drop("at")
+    seeds = candidates(None).withColumn("at", first).where(F.col("at") <= few).drop("at")
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.col("id").asc_nulls_last()))
     at_kth = _scored(flat, seeds, query, pairs).withColumn("rank", rank).where(F.col("rank") == k)
     reached = np.zeros(len(listed), np.int64)
