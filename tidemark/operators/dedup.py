@@ -66,25 +66,39 @@ def _reported_last(c: EventColumns) -> Column:
         F.col(c.date).isNull(), F.col(c.date), *[F.col(p) for p in c.position])
 
 
-def by_natural_key(keyed: DataFrame, c: EventColumns) -> DataFrame:
-    """Collapse sightings to natural keys: one row per key, its last sighting.
+def key_states(keyed: DataFrame, c: EventColumns) -> DataFrame:
+    """What is known of every natural key: last sighting, first official id reported, and counts.
 
-    The first official id ever reported replaces the row's own (so earlier
-    sightings inherit a later id). Also the counts the accounting needs.
+    ``last``, ``first_id``, ``sightings`` and ``with_id`` of the same key over other
+    periods can be merged by maximum, minimum and sums.
     """
     has_id = F.col(c.official_id).isNotNull()
     event = [*c.group[1:], "occurrence"]
     reported = [c.stamp, *c.position]          # total order inside one natural key
     rest = [x for x in keyed.columns if x not in (*event, *reported, c.official_id)]
-    first_id = F.min(F.when(has_id, F.struct(*reported, c.official_id)))
     return keyed.groupBy(*event).agg(
-        F.max(F.struct(*reported, *rest)).alias("__last"), first_id.alias("__first"),
-        F.count("*").alias("sightings"), F.count(F.when(has_id, 1)).alias("with_id"),
-    ).select(
-        *event, "__last.*", F.col(f"__first.{c.official_id}").alias(c.official_id), "sightings",
+        F.max(F.struct(*reported, *rest)).alias("last"),
+        F.min(F.when(has_id, F.struct(*reported, c.official_id))).alias("first_id"),
+        F.count("*").alias("sightings"), F.count(F.when(has_id, 1)).alias("with_id"))
+
+
+def unfolded(states: DataFrame, c: EventColumns) -> DataFrame:
+    """One row per natural key: its last sighting, with the first official id ever reported for it."""
+    event = [*c.group[1:], "occurrence"]
+    return states.select(
+        *event, "last.*", F.col(f"first_id.{c.official_id}").alias(c.official_id), "sightings",
         "with_id").withColumn("natural_key", natural_key(c))
 
 
+def by_natural_key(keyed: DataFrame, c: EventColumns) -> DataFrame:
+    """Collapse sightings to natural keys: one row per key, its last sighting.
+
+    The first official id ever reported replaces the row's own (so earlier
+    sightings inherit a later id). Also the counts the accounting needs.
+    """
+    return unfolded(key_states(keyed, c), c)
+
+
 def window_dedup(sightings: DataFrame, c: EventColumns = EventColumns(), **options) -> DataFrame:
     """Keep the last sighting of every event.
 

@@ -11,7 +11,7 @@ from tidemark import fixed_values as V
 from tidemark.functions.clean import normalize_id, normalize_zip, null_tokens_to_null
 from tidemark.operators.lookups import lookup_join
 from tidemark.operators.votes import parse_date_vote
-from tidemark.sources import catalog
+from tidemark.sources import catalog, records
 
 POSITION = ("file_block", "row_in_block")
 MALFORMED = "malformed"
@@ -21,8 +21,8 @@ def ingest_text_scan(spark: SparkSession, paths, columns: list[str] | None = Non
                      multiline: bool = False, malformed: bool = False) -> DataFrame:
     """Scan delimited files as text only; usual "no value" tokens become null.
 
-    Files are split unless ``multiline`` is asked for (quoted line breaks), so a
-    large file is read by many tasks. Two position columns keep file order: they
+    Files are split unless ``multiline`` is asked for, so a large file is read by
+    many tasks; ``ingest_quoted_scan`` splits files with quoted line breaks, too. Two position columns keep file order: they
     only ever compare rows of one file, where they do not depend on the plan.
     ``malformed`` adds a flag for rows that do not have the columns' number of fields.
     """
@@ -49,6 +49,12 @@ def ingest_text_scan(spark: SparkSession, paths, columns: list[str] | None = Non
     )
 
 
+def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """The same rows for files that quote line breaks, which are split as well (see ``records``)."""
+    found = records.ingest_quoted_scan(spark, paths, columns, MALFORMED)
+    return found.withColumns({c: null_tokens_to_null(F.col(f"`{c}`")) for c in columns})
+
+
 @dataclass(frozen=True)
 class Layout:
     """What one look at a file tells: its header, and whether it quotes line breaks."""
@@ -62,8 +68,8 @@ def layouts(spark: SparkSession, paths: list[str]) -> list[Layout]:
     """Header and kind of every file, by two text scans over all files together.
 
     A line with an odd number of quote characters is part of a value that goes
-    on, or of a stray quote; either way the file must be read by the multi-line
-    reader. All others stay splittable. One small row per file reaches the driver.
+    on, or of a stray quote; either way its lines have to be put together to
+    records. All others are read line by line. One small row per file reaches the driver.
     """
     if not paths:
         return []
@@ -165,7 +171,7 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
     """All chosen files of one logical table as one canonical frame.
 
     The file list is small (one per period); files with equal headers are scanned
-    together, those with quoted line breaks by the multi-line reader. Every row
+    together, those with quoted line breaks record by record. Every row
     carries its period, its position in the file and whether it was malformed.
     """
     if found is None:
@@ -174,7 +180,8 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
     for layout in found:
         alike.setdefault((layout.header, layout.quoted_breaks), []).append(layout.path)
     parts = [
-        canonicalize(ingest_text_scan(spark, group, list(header), multiline=quoted, malformed=True), logical,
+        canonicalize(ingest_quoted_scan(spark, group, list(header)) if quoted else
+                     ingest_text_scan(spark, group, list(header), malformed=True), logical,
                      keep=["file_path", *POSITION, MALFORMED])
         for (header, quoted), group in alike.items()
     ]

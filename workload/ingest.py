@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as V
+from tidemark.operators.ordering import number_in_group
 from tidemark.session import scratch_path
 from tidemark.sources import catalog, population, text
 from workload.registry import query
@@ -264,3 +265,25 @@ def json_rows_sum(f):
                    F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
     payloads = f.table("customer").select(F.to_json(F.array(header, line)).alias("payload"))
     return population.json_rows_sum(payloads, "payload", 2023)
+
+
+@query("quoted_breaks_scan", "bucket:i place:i o_orderkey:i note:s", r"""
+  SELECT o_orderkey % 10 AS bucket, row_number() OVER (PARTITION BY o_orderkey % 10 ORDER BY o_orderkey) - 1 AS place, o_orderkey,
+         CASE o_orderkey % 5 WHEN 0 THEN concat('plain ', o_orderpriority) WHEN 1 THEN concat('two', chr(10), 'lines ', o_orderpriority)
+           WHEN 2 THEN concat('says "hi", then', chr(10), chr(10), 'stops') WHEN 3 THEN concat('"', chr(10), '" ', o_orderstatus)
+           ELSE concat('comma, ', o_orderpriority) END AS note
+  FROM orders""")
+def quoted_breaks_scan(f):
+    """Order notes with line breaks, quotes and commas, written as ten files, read back in blocks, in file order."""
+    key, note = F.col("o_orderkey"), F.col("o_orderpriority")
+    notes = f.table("orders").select(
+        (key % 10).alias("bucket"), key.cast("string").alias("o_orderkey"),
+        F.when(key % 5 == 0, F.concat(F.lit("plain "), note)).when(key % 5 == 1, F.concat(F.lit("two\nlines "), note))
+        .when(key % 5 == 2, 'says "hi", then\n\nstops').when(key % 5 == 3, F.concat(F.lit('"\n" '), "o_orderstatus"))
+        .otherwise(F.concat(F.lit("comma, "), note)).alias("note"))
+    folder = scratch_path(f.spark, "notes")
+    (notes.repartition(10, "bucket").sortWithinPartitions("bucket", key.cast("bigint")).write.partitionBy("bucket").option("header", True)
+     .option("encoding", V.TEXT_ENCODING).option("escape", '"').csv(folder))
+    read = text.ingest_quoted_scan(f.spark, [folder], ["o_orderkey", "note"])
+    placed = number_in_group(read, ["file_path"], list(text.POSITION), "place")
+    return placed.withColumn("bucket", F.regexp_extract("file_path", "bucket=([0-9]+)", 1))

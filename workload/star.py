@@ -5,11 +5,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean
-from tidemark.operators import dedup
+from tidemark.operators import dedup, increments
 from tidemark.operators.ordering import dense_key as number_rows
 from tidemark.operators.versions import asof_lookup, scd2_build
 from tidemark.operators.lookups import join_unique
 from tidemark.plans import checks, dimensions, facts, publish, runlog, semantic
+from tidemark.session import stored
 from workload.ctes import squeezed
 from workload.frames import SIGHTING
 from workload.registry import query
@@ -60,6 +61,25 @@ def scd2(f):
     return scd2_build(f.attrs, "ccn", "period", ["size_band", "focus", "icon"])
 
 
+@query("scd2_merge", "ccn:s size_band:s focus:s icon:b effective_date:d expiry_date:d is_current:b", "SELECT * FROM fx_attrs_versions")
+def scd2_merge(f):
+    """The same versions, built from three stretches of periods that are merged one after the other."""
+    tracked = ["size_band", "focus", "icon"]
+    stretches = between(f.attrs, "period", ["1995-01-01", "1998-01-01"])
+    first = scd2_build(stretches[0], "ccn", "period", tracked)
+    versions = stored(number_rows(first, ["ccn", "effective_date"], "version_key"), "versions")
+    for newer in stretches[1:]:
+        versions = stored(increments.scd2_merge(versions, newer, "ccn", "period", tracked, "version_key"), "versions")
+    return versions
+
+
+def between(frame, column, cuts):
+    """Rows before the first cut, between the cuts, and from the last on."""
+    edges = [None, *cuts, None]
+    return [frame.where((F.lit(True) if a is None else F.col(column) >= a) & (F.lit(True) if b is None else F.col(column) < b))
+            for a, b in zip(edges[:-1], edges[1:])]
+
+
 @query("dense_key", "key:i o_orderdate:d o_orderkey:i",
        "SELECT ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS key, o_orderdate, o_orderkey FROM orders")
 def dense_key(f):
@@ -211,6 +231,20 @@ def window_dedup(f):
     return dedup.window_dedup(f.sighting, SIGHTING)
 
 
+@query("window_dedup_merge", EVENT, "SELECT * FROM fx_event")
+def window_dedup_merge(f):
+    """The same events, from an identity index that three stretches of periods are merged into."""
+    first, *rest = [increments.event_index(part, SIGHTING) for part in between(f.staged_sighting, "stamp", ["1997-01-01", "2000-04-01"])]
+    index = stored(first, "event-index")
+    events = stored(number_rows(increments.events_of(index, SIGHTING), ["identity", "fine_id_source"], "event_key"), "events")
+    for part in rest:
+        newer = stored(part, "event-index")
+        after = stored(increments.merged_index(index, newer, SIGHTING), "event-index")
+        events = stored(increments.upserted_events(events, index, after, newer, c=SIGHTING), "events")
+        index = after
+    return events
+
+
 @query("dedup_report", "rows_before:i events_after:i repeats:i natural_keys:i collapsed_by_id:i backfilled_ids:i "
        "events_by_id:i events_by_natural_key:i repeat_share:f", """
   SELECT *, rows_before - events_after AS repeats, natural_keys - events_after AS collapsed_by_id,
