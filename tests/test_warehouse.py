@@ -19,6 +19,18 @@ def built(spark, tmp_path_factory):
     return source, root
 
 
+def rows_of_star(spark, root):
+    """The flat views of a published star, without surrogate keys: what readers see."""
+    dims = {n: publish.read_table(spark, root, n) for n in (
+        "dim_date", "dim_facility", "dim_geography", "dim_ownership", "dim_chain", "dim_penalty_type")}
+    out = []
+    for view in (semantic.facility_view(publish.read_table(spark, root, "fact_snapshot"), dims),
+                 semantic.penalty_view(publish.read_table(spark, root, "fact_penalty"), dims), *dims.values()):
+        shown = [c for c in sorted(view.columns) if not c.endswith("_key") or c.endswith("date_key")]
+        out.append((shown, sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in view.select(*shown).collect()], key=str)))
+    return out
+
+
 def table(spark, root, name):
     return publish.read_table(spark, root, name)
 

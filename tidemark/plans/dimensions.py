@@ -44,27 +44,43 @@ def covid_period(date):
     )
 
 
+PLACE = ["zip_code", "city", "state_code"]
+
+
 def dim_geography(rows: DataFrame, position: list[str]) -> DataFrame:
     """One row per place: last known text, mean coordinates, state lookups."""
-    keyed = rows.select(
+    keyed = located(rows, position)
+    places = scd1_latest(keyed, PLACE, [TIME, *position],
+                         ["county_parish", "urban_flag"], ["latitude", "longitude"])
+    keyed = dense_key(described(places), place_order(), "geography_key")
+    return prepend_unknown(keyed, "geography_key")
+
+
+def place_order() -> list:
+    return [F.col("state_code"), F.col("zip_code"), F.col("city").asc_nulls_last()]
+
+
+def located(rows: DataFrame, position: list[str]) -> DataFrame:
+    """Provider rows with a usable place."""
+    return rows.select(
         *[c.alias(n) for n, c in clean.geography_key_columns().items()],
         clean.normalize_text("county_parish").alias("county_parish"), "urban_flag",
         clean.to_number("latitude").alias("latitude"),
         clean.to_number("longitude").alias("longitude"), TIME, *position,
     ).filter(F.col("zip_code").isNotNull() & F.col("state_code").isNotNull())
-    places = scd1_latest(keyed, ["zip_code", "city", "state_code"], [TIME, *position],
-                         ["county_parish", "urban_flag"], ["latitude", "longitude"])
+
+
+def described(places: DataFrame, *more: str) -> DataFrame:
+    """Places with the names and regions of their states; ``more`` columns stay."""
     urban = clean.normalize_yes_no("urban_flag")
-    described = places.select(
+    return places.select(
+        *more,
         "zip_code", "city", "county_parish", "state_code",
         clean.state_name(F.col("state_code")).alias("state_name"),
         clean.census_region(F.col("state_code")).alias("census_region"),
         F.when(urban, "Urban").when(~urban, "Rural").otherwise(V.UNKNOWN_LABEL).alias("urban_rural"),
         "latitude", "longitude",
     )
-    keyed = dense_key(described, [F.col("state_code"), F.col("zip_code"),
-                                  F.col("city").asc_nulls_last()], "geography_key")
-    return prepend_unknown(keyed, "geography_key")
 
 
 def unmapped_state_codes(geography: DataFrame) -> DataFrame:
@@ -88,27 +104,35 @@ def dim_ownership(rows: DataFrame) -> DataFrame:
         "ownership_key", is_for_profit=False)
 
 
-def dim_chain(rows: DataFrame, position: list[str]) -> DataFrame:
-    """One row per chain, key 0 for "in no chain", key -1 for "not known"."""
+def chains_seen(rows: DataFrame, position: list[str]) -> DataFrame:
+    """Last known id and size of every chain named in the rows."""
     named = rows.select(
         clean.normalize_text("chain_name", upper=True).alias("chain_name"),
         clean.normalize_text("chain_id").alias("chain_id"),
         clean.to_whole("num_facilities_in_chain").alias("num_facilities_in_chain"),
         TIME, *position,
     ).filter(F.col("chain_name").isNotNull())
-    chains = scd1_latest(named, ["chain_name"], [TIME, *position],
-                         ["chain_id", "num_facilities_in_chain"])
-    keyed = dense_key(chains, ["chain_name"], "chain_key").select(
-        "chain_key", "chain_id", "chain_name",
-        F.col("num_facilities_in_chain").cast("int").alias("num_facilities_in_chain"),
-        bands.chain_band("num_facilities_in_chain").alias("chain_size_band"),
-        F.lit(False).alias("is_independent"))
+    return scd1_latest(named, ["chain_name"], [TIME, *position],
+                       ["chain_id", "num_facilities_in_chain"])
+
+
+def dim_chain(rows: DataFrame, position: list[str]) -> DataFrame:
+    """One row per chain, key 0 for "in no chain", key -1 for "not known"."""
+    keyed = banded(dense_key(chains_seen(rows, position), ["chain_name"], "chain_key"))
     with_independent = add_member(
         keyed, chain_key=V.INDEPENDENT_KEY, chain_name=V.INDEPENDENT_NAME,
         num_facilities_in_chain=1, chain_size_band=V.INDEPENDENT_BAND, is_independent=True)
     return prepend_unknown(with_independent, "chain_key", chain_id=None, is_independent=False)
 
 
+def banded(chains: DataFrame) -> DataFrame:
+    return chains.select(
+        "chain_key", "chain_id", "chain_name",
+        F.col("num_facilities_in_chain").cast("int").alias("num_facilities_in_chain"),
+        bands.chain_band("num_facilities_in_chain").alias("chain_size_band"),
+        F.lit(False).alias("is_independent"))
+
+
 def dim_penalty_type(penalties: DataFrame | None, spark: SparkSession | None = None) -> DataFrame:
     """Penalty types seen; the two known ones where no period has the file."""
     if penalties is None:

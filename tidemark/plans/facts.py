@@ -111,9 +111,12 @@ def fact_penalty(
 
 def penalty_fact_of(
     events: DataFrame, attributes: DataFrame, dims: dict[str, DataFrame],
-    columns: EventColumns = EventColumns(),
+    columns: EventColumns = EventColumns(), key: str | None = None,
 ) -> DataFrame:
-    """Events with their dimension keys: those of the period of the kept sighting."""
+    """Events with their dimension keys: those of the period of the kept sighting.
+
+    ``key`` names a column of the events that holds their keys already.
+    """
     events = join_unique(events, attributes, ["ccn", "stamp"], null_safe=True)
     unknown = F.lit(V.UNKNOWN_KEY).cast("bigint")
     events = events.withColumns({
@@ -124,6 +127,8 @@ def penalty_fact_of(
         "penalty_date_key": clean.date_key("penalty_date"),
         "penalty_count": F.lit(1).cast("bigint"),
     })
+    if key:
+        return dated.withColumn("penalty_event_key", F.col(key)).select(*PENALTY_FACT)
     order = ["penalty_date_key", F.col("ccn").asc_nulls_last(), "penalty_type_key", "stamp",
              *columns.position]
     return dense_key(dated, order, "penalty_event_key").select(*PENALTY_FACT)

@@ -1,13 +1,21 @@
 """Publishing a set of tables: build beside, check, then switch.
 
-A release is a folder of tables written once and never changed. Readers follow
-the newest row of an append-only pointer table, so a failed build leaves what
-they see untouched.
+A release is a folder of tables written once and never changed. Generation n is a
+manifest file that names the tables of all readers: their folders, schemas, and
+the key version, the run that numbered the dimension keys they hold. Manifests are
+created exclusively: a build that started from generation n can only publish n + 1,
+so of two builds at once one is refused and nothing is lost silently. A failed
+build leaves what readers see untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+import uuid
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.plans import checks, runlog
 from tidemark.plans.facts import FACILITY_FACT, PENALTY_FACT
@@ -21,26 +29,26 @@ def event_year():
     return F.when(F.col("penalty_date_key") > 0, F.floor(F.col("penalty_date_key") / 10000).cast("int"))
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+class StaleRelease(RuntimeError):
+    """Another build published since this one started."""
 
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in (missing.getCondition() or ""):
-            return None
-        raise
+
+class StaleKeys(ValueError):
+    """A fact holds keys of another numbering of the dimensions than the published one."""
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str,
-            logged_at: str, extra_log: list[DataFrame] = ()) -> str:
+            logged_at: str, extra_log: list[DataFrame] = (), base: int | None = None, inherit: bool = False) -> str:
     """Write, validate what was written, log, and switch readers to it.
 
     Checks read the written tables, so each table is computed once. The run log
-    is appended whether or not the gate opens.
+    is appended whether or not the gate opens. ``base`` is the generation the build
+    started from, the present one by default. With ``inherit`` readers keep the
+    tables of that generation that are not given here.
     """
+    base = generation(spark, root) if base is None else base
     written = {name: write_table(frame, root, run_id, name) for name, frame in tables.items()}
-    return switch(spark, written, root, run_id, logged_at, extra_log)
+    return switch(spark, written, root, run_id, logged_at, extra_log, base, inherit=inherit)
 
 
 def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFrame:
@@ -57,8 +65,15 @@ def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFram
 
 
 def switch(spark: SparkSession, written: dict[str, DataFrame], root: str, run_id: str, logged_at: str,
-           extra_log: list[DataFrame] = ()) -> str:
-    """Validate the written tables of a release, log, and point readers to it."""
+           extra_log: list[DataFrame] = (), base: int | None = None, *, inherit: bool = False, key_version: str | None = None,
+           segments: dict[str, list[str]] | None = None, **facts) -> str:
+    """Validate the written tables of a release, log, and publish them as the generation after ``base``.
+
+    ``key_version`` is the run that numbered the keys, this one by default.
+    ``segments`` names earlier folders that a table goes on from; ``facts`` are
+    further entries of the manifest.
+    """
+    base = generation(spark, root) if base is None else base
     release = f"{root}/releases/{run_id}"
     # a metric row per rule: small, and needed twice
     metrics = checks.validate(written).collect()
@@ -66,12 +81,70 @@ def switch(spark: SparkSession, written: dict[str, DataFrame], root: str, run_id
         metrics, "rule string, target string, rows_checked bigint, violations bigint, detail string")
     append_log(runlog.run_log([*extra_log, runlog.log_checks(frame)], run_id, logged_at), root)
     checks.gate(frame)
-    spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(logged_at).alias("published_at"),
-        F.lit(release).alias("release")).coalesce(1).write.mode("append").parquet(f"{root}/pointer")
+    kept = (manifest(spark, root, base) or {}).get("tables", {}) if inherit else {}
+    tables = {name: {"folders": [*(segments or {}).get(name, []), f"{release}/{name}"], "schema": table.schema.jsonValue(),
+                     "key_version": key_version or run_id} for name, table in written.items()}
+    claim(spark, root, {"generation": base + 1, "run_id": run_id, "published_at": logged_at, "release": release,
+                        "tables": {**kept, **tables}, **facts})
     return release
 
 
+def _path(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def generation(spark: SparkSession, root: str) -> int:
+    """The number of the newest manifest; 0 before anything is published."""
+    folder, system = _path(spark, f"{root}/generations")
+    if not system.exists(folder):
+        return 0
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    return max([int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")], default=0)
+
+
+def manifest(spark: SparkSession, root: str, number: int | None = None) -> dict | None:
+    """What a generation, the newest by default, consists of."""
+    number = generation(spark, root) if number is None else number
+    if not number:
+        return None
+    file, system = _path(spark, f"{root}/generations/{number:010d}.json")
+    stream = system.open(file)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def claim(spark: SparkSession, root: str, content: dict) -> None:
+    """Create the manifest of a generation, whole or not at all, or raise if the generation exists.
+
+    The file is written beside and then named: by a hard link on a local file
+    system, elsewhere by a rename that does not replace. Both fail if the name is
+    taken, whoever took it and whenever.
+    """
+    jvm = spark.sparkContext._jvm
+    name = f"{root}/generations/{content['generation']:010d}.json"
+    draft, system = _path(spark, f"{root}/generations/.{uuid.uuid4().hex}")
+    final = jvm.org.apache.hadoop.fs.Path(name)
+    stream = system.create(draft, False)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+    try:
+        if system.getUri().getScheme() == "file":
+            nio = lambda path: jvm.java.nio.file.Paths.get(path.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+            jvm.java.nio.file.Files.createLink(nio(final), nio(draft))
+        else:
+            system = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            system.rename(draft, final, spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+    except Py4JJavaError as failed:
+        if "FileAlreadyExists" not in failed.java_exception.getClass().getName():
+            raise
+        raise StaleRelease(f"generation {content['generation']} was published by another build") from None
+    finally:
+        delete(spark, f"{root}/generations/{draft.getName()}")
+
+
 def append_log(log: DataFrame, root: str) -> None:
     log.write.mode("append").parquet(f"{root}/run_log")
 
@@ -83,18 +156,44 @@ def copy_log(spark: SparkSession, root: str, run_id: str, target: str) -> None:
 
 
 def current_release(spark: SparkSession, root: str) -> str | None:
-    pointer = _read_or_none(spark, f"{root}/pointer")
-    if pointer is None:
-        return None
-    return pointer.agg(F.max_by("release", F.struct("published_at", "run_id")).alias("r")).first().r
+    found = manifest(spark, root)
+    return found and found["release"]
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the release readers are switched to; facts join these stored keys."""
-    release = current_release(spark, root)
-    if release is None:
+    """A table of the generation readers are switched to; facts join these stored keys.
+
+    A fact whose key version is not that of every published dimension is refused:
+    its keys mean other members.
+    """
+    found = manifest(spark, root)
+    if found is None:
         raise ValueError(f"nothing is published below {root}")
-    return spark.read.parquet(f"{release}/{name}")
+    if name not in found["tables"]:
+        raise ValueError(f"{found['release']} has no table {name}")
+    versions = {n: t["key_version"] for n, t in found["tables"].items()}
+    stale = sorted(n for n, v in versions.items() if n.startswith("dim_") and v != versions[name])
+    if name.startswith("fact_") and stale:
+        raise StaleKeys(f"{name} holds keys of {versions[name]}, but {', '.join(stale)} were numbered again; rebuild it")
+    return table_of(spark, found, name)
+
+
+def table_of(spark: SparkSession, found: dict, name: str) -> DataFrame:
+    """A table of a manifest, whatever its key version; its schema is known, so no file is opened to plan it."""
+    entry = found["tables"][name]
+    schema = T.StructType.fromJson(entry["schema"])
+    return reduce(lambda a, b: a.unionByName(b), [spark.read.schema(schema).parquet(f) for f in entry["folders"]])
+
+
+def key_versions(spark: SparkSession, root: str) -> DataFrame:
+    """Every published fact with its rows, its key version, and whether dimensions were numbered again since."""
+    found = manifest(spark, root)
+    dims = {n: t["key_version"] for n, t in found["tables"].items() if n.startswith("dim_")}
+    newest = spark.createDataFrame(sorted(dims.items()), "dim string, key_version string")
+    parts = [checks.key_version_check(
+        table_of(spark, found, n).withColumn("key_version", F.lit(t["key_version"])), newest).withColumn("target", F.lit(n))
+        for n, t in sorted(found["tables"].items()) if n.startswith("fact_")]
+    return checks.union_all(parts)
 
 
 def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, logged_at: str,
@@ -110,7 +209,7 @@ def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, lo
     from tidemark.plans import cleaning_log, dimensions, facts
     from tidemark.sources.text import POSITION, load_snapshots
 
-    position = list(POSITION)
+    position, base = list(POSITION), generation(spark, root)
     staging = f"{root}/staged/{run_id}"
     providers, penalties, survivors = load_snapshots(spark, source, periods, staging)
     written = {name: write_table(frame, root, run_id, name) for name, frame in
@@ -125,12 +224,17 @@ def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, lo
     if population is not None:
         written["ref_state_population"] = write_table(population, root, run_id, "ref_state_population")
     log = cleaning_log.of_build(providers, penalties, survivors, written)
-    release = switch(spark, written, root, run_id, logged_at, log)
+    release = switch(spark, written, root, run_id, logged_at, log, base)
     delete(spark, staging)
     return release
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _path(spark, path)
+    return system.exists(folder)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package on whatever file system it lies."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, system = _path(spark, path)
+    system.delete(folder, True)
