@@ -94,9 +94,11 @@ def merged_dimensions(old: dict[str, DataFrame] | None, places: DataFrame, rows:
     }
 
 
-def pending_periods(spark: SparkSession, source: str, merged: DataFrame | None) -> list:
-    """Labels of usable periods below a folder whose files are not in the account of merged ones."""
+def pending_periods(spark: SparkSession, source: str, merged: DataFrame | None, until: str | None = None) -> list:
+    """Labels of usable periods below a folder, up to ``until``, whose files are not in the account of merged ones."""
     chosen = catalog.classify_files(catalog.list_files(spark, source))
+    if until is not None:
+        chosen = chosen.where(F.col("snapshot_date") <= until)
     usable = catalog.usable_periods(chosen).filter("has_provider").select("snapshot_date")
     files = chosen.join(usable, "snapshot_date", "left_semi").select("snapshot_date", "logical").filter(
         F.col("logical").isin(V.REQUIRED_FILE, "penalties"))
@@ -106,8 +108,9 @@ def pending_periods(spark: SparkSession, source: str, merged: DataFrame | None)
     return [r.snapshot_date for r in files.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
 
 
-def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, logged_at: str, *, rebuild: bool = False, **noted) -> str | None:
-    """Merge the periods below ``source`` that are not in the warehouse yet and publish the next generation.
+def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, logged_at: str, *, rebuild: bool = False,
+                     until: str | None = None, **noted) -> str | None:
+    """Merge the periods below ``source``, up to ``until``, that are not in the warehouse yet and publish the next generation.
 
     Nothing is published if there are none. Periods that do not come after all
     merged ones (an older one, one republished, or a file added to one) change
@@ -118,7 +121,7 @@ def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, l
     found = publish.manifest(spark, root, base)
     grown = found is not None and "state_periods" in found["tables"] and not rebuild
     old = {n: publish.table_of(spark, found, n) for n in found["tables"]} if grown else {}
-    pending = pending_periods(spark, source, old.get("state_periods"))
+    pending = pending_periods(spark, source, old.get("state_periods"), until)
     if not pending:
         return None
     position = list(POSITION)
@@ -129,7 +132,7 @@ def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, l
         newest = old["state_periods"].agg(F.max(TIME)).first()[0]
         if carried.agg(F.min(TIME)).first()[0] <= newest:
             publish.delete(spark, staging)
-            return extend_warehouse(spark, source, root, run_id, logged_at, rebuild=True, **noted)
+            return extend_warehouse(spark, source, root, run_id, logged_at, rebuild=True, until=until, **noted)
 
     # every file of the new periods is accounted for, also one that a later publication replaced
     chosen = catalog.classify_files(catalog.list_files(spark, source)).where(F.col("snapshot_date").isin(pending)).select("snapshot_date", "logical")

@@ -17,6 +17,7 @@ from tidemark.operators.dedup import EventColumns, window_dedup
 from tidemark.operators.lookups import lookup_join
 from tidemark.plans import dimensions, facts, publish, semantic
 from tidemark.plans.dimensions import covid_period
+from tidemark.plans.increments import extend_warehouse
 from tidemark.plans.roster import facility_roster
 from tidemark.session import scratch_path, stored, tune
 from tidemark.sources.text import era_columns
@@ -326,21 +327,35 @@ class Frames:
         return semantic.penalty_view(self.fact_penalty, self.dims)
 
     @cached_property
-    def published(self) -> str:
-        """Root of a warehouse built from text snapshots of the provider and sighting rows.
+    def snapshots(self) -> str:
+        """Text snapshots of the provider and sighting rows.
 
         One folder per period, one file per kind, in the newest layout. The names
         of a fifth of the facilities hold a quoted line break. The impossible
         turnover of the fixture is 0 here, flagged but let through by the checks.
         """
-        source, root = scratch_path(self.spark, "snapshots"), scratch_path(self.spark, "warehouse")
+        source = scratch_path(self.spark, "snapshots")
         broken = F.when(F.col("source_row") % 5 == 0, F.regexp_replace("provider_name", "  ", "\n")).otherwise(F.col("provider_name"))
         rows = self.staged_provider.withColumns({"provider_name": broken, "__period": F.col("processing_date"), "total_nursing_turnover_pct": F.when(
             F.col("total_nursing_turnover_pct") == "250", "0").otherwise(F.col("total_nursing_turnover_pct"))})
         self._write_text(rows, "provider_info", ["source_row"], source, "NH_ProviderInfo_Jun2026.csv")
         seen = self.staged_sighting.withColumn("__period", F.col("stamp")).withColumn("processing_date", F.col("stamp"))
         self._write_text(seen, "penalties", list(SIGHTING_POSITION), source, "NH_Penalties_Jun2026.csv")
-        publish.build_warehouse(self.spark, source, root, "run-1", "2026-01-01T00:00:00")
+        return source
+
+    @cached_property
+    def published(self) -> str:
+        """Root of a warehouse built from all text snapshots at once."""
+        root = scratch_path(self.spark, "warehouse")
+        publish.build_warehouse(self.spark, self.snapshots, root, "run-1", "2026-01-01T00:00:00")
+        return root
+
+    @cached_property
+    def grown(self) -> str:
+        """Root of a warehouse that the same snapshots were merged into in three goes."""
+        root = scratch_path(self.spark, "grown")
+        for go, until in enumerate(("1994-12-31", "1998-06-30", None)):
+            extend_warehouse(self.spark, self.snapshots, root, f"go-{go}", "2026-01-01T00:00:00", until=until)
         return root
 
     def _write_text(self, rows: DataFrame, logical: str, order: list[str], root: str, name: str) -> None:
@@ -348,8 +363,9 @@ class Frames:
         header = era_columns(logical, V.ERA_NAMES[0])
         folder = scratch_path(self.spark, "text")
         shown = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(h) for c, h in header.items()]
-        rows.repartition("__period").sortWithinPartitions("__period", *order).select(
-            F.col("__period").cast("string").alias("__period"), *shown).write.partitionBy("__period").option("header", True).option(
+        # the writer keeps the order of rows that are sorted by its partition column as it is written
+        named = rows.withColumn("__period", F.col("__period").cast("string"))
+        named.repartition("__period").sortWithinPartitions("__period", *order).select("__period", *shown).write.partitionBy("__period").option("header", True).option(
             "encoding", V.TEXT_ENCODING).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False).csv(folder)
         # one small catalogue step per period: give the files the names a publisher gives them

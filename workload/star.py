@@ -10,7 +10,7 @@ from tidemark.operators.ordering import dense_key as number_rows
 from tidemark.operators.versions import asof_lookup, scd2_build
 from tidemark.operators.lookups import join_unique
 from tidemark.plans import checks, dimensions, facts, publish, runlog, semantic
-from tidemark.session import stored
+from tidemark.session import scratch_path, stored
 from workload.ctes import squeezed
 from workload.frames import SIGHTING
 from workload.registry import query
@@ -191,6 +191,73 @@ def gate_refuses_release(f):
         "rule", "target", F.col("rows_affected").alias("violations"), F.lit(followed).alias("followed"))
 
 
+SEEN = ("snapshot_date_key:i ccn:s certified_beds:i avg_residents_per_day:f resident_days:f overall_rating:i is_suspect:b "
+        "provider_name:s bed_size_band:s effective_date:d zip_code:s city:s county_parish:s latitude:f ownership_type:s chain_name:s chain_id:s")
+
+
+@query("incremental_build", SEEN, """
+  SELECT f.*, d.provider_name, d.bed_size_band, d.effective_date, g.zip_code, g.city, g.county_parish, g.latitude, o.ownership_type, c.chain_name, c.chain_id
+  FROM fx_fact_snapshot f JOIN fx_dim_facility d USING (facility_key) JOIN fx_dim_geography g USING (geography_key)
+  JOIN fx_dim_ownership o USING (ownership_key) JOIN fx_dim_chain c USING (chain_key)""")
+def incremental_build(f):
+    """What readers see after the periods were merged in three goes: keys are other numbers, all else is as in one build."""
+    read = lambda name: publish.read_table(f.spark, f.grown, name)
+    rows = read("fact_snapshot")
+    for dim, key in (("dim_facility", "facility_key"), ("dim_geography", "geography_key"), ("dim_ownership", "ownership_key"), ("dim_chain", "chain_key")):
+        table = read(dim)
+        rows = rows.join(table.drop("ccn"), key)
+    return rows
+
+
+@query("incremental_events", "penalty_date_key:i ccn:s penalty_type:s fine_id:s fine_id_source:s fine_amount_usd:i payment_denial_days:i "
+       "effective_date:d ownership_type:s", """
+  SELECT f.*, t.penalty_type, d.effective_date, o.ownership_type FROM fx_fact_penalty f JOIN fx_dim_penalty_type t USING (penalty_type_key)
+  JOIN fx_dim_facility d USING (facility_key) JOIN fx_dim_ownership o USING (ownership_key)""")
+def incremental_events(f):
+    """The penalty fact of that warehouse, from an identity index upserted three times."""
+    read = lambda name: publish.read_table(f.spark, f.grown, name)
+    rows = read("fact_penalty")
+    for dim, key in (("dim_facility", "facility_key"), ("dim_penalty_type", "penalty_type_key"), ("dim_ownership", "ownership_key")):
+        rows = rows.join(read(dim).drop("ccn"), key)
+    return rows
+
+
+@query("publish_race", "run:s built:i followed:i refused:b", """
+  SELECT run, CASE run WHEN 'first' THEN n ELSE profit END AS built, CASE run WHEN 'third' THEN profit ELSE n END AS followed, run = 'second' AS refused
+  FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_for_profit) AS profit FROM fx_dim_ownership) d, (VALUES ('first'), ('second'), ('third')) AS r(run)""")
+def publish_race(f):
+    """Two builds start from one generation: the second is refused and may start again from what the first published."""
+    root, table = scratch_path(f.spark, "race"), f.dims["dim_ownership"]
+    base, rows = publish.generation(f.spark, root), []
+    for run, frame, start in (("first", table, base), ("second", table.where("is_for_profit"), base), ("third", table.where("is_for_profit"), None)):
+        try:
+            publish.publish(f.spark, {"dim_ownership": frame}, root, run, "2026-01-01T00:00:00", base=start)
+            refused = False
+        except publish.StaleRelease:
+            refused = True
+        built = f.spark.read.parquet(f"{root}/releases/{run}/dim_ownership").count()
+        rows.append((run, built, publish.read_table(f.spark, root, "dim_ownership").count(), refused))
+    return f.spark.createDataFrame(rows, "run string, built long, followed long, refused boolean")
+
+
+@query("stale_release_refused", "target:s key_version:s fact_rows:i stale:b refused:b", """
+  SELECT 'fact_snapshot' AS target, 'old' AS key_version, COUNT(*) AS fact_rows, TRUE AS stale, TRUE AS refused FROM fx_fact_snapshot
+  UNION ALL SELECT 'fact_penalty', 'old', COUNT(*), TRUE, TRUE FROM fx_fact_penalty""")
+def stale_release_refused(f):
+    """A release with dimensions numbered again beside facts of the old numbering: readers are refused the facts."""
+    root = scratch_path(f.spark, "mixed")
+    clean_ = f.fact_snapshot.withColumn("total_nursing_turnover_pct", F.least("total_nursing_turnover_pct", F.lit(200.0)))
+    publish.publish(f.spark, {**f.dims, "fact_snapshot": clean_, "fact_penalty": f.fact_penalty}, root, "old", "2026-01-01T00:00:00")
+    publish.publish(f.spark, f.dims, root, "new", "2026-01-02T00:00:00", inherit=True)
+    refused = []
+    for name in ("fact_snapshot", "fact_penalty"):
+        try:
+            publish.read_table(f.spark, root, name)
+        except publish.StaleKeys:
+            refused.append(name)
+    return publish.key_versions(f.spark, root).withColumn("refused", F.col("target").isin(refused))
+
+
 @query("calendar_check", "first_day:d last_day:d days:i missing_days:i leap_days:i", """
   SELECT MIN(d) AS first_day, MAX(d) AS last_day, COUNT(*) AS days, date_diff('day', MIN(d), MAX(d)) + 1 - COUNT(*) AS missing_days,
          COUNT(*) FILTER (WHERE month(d) = 2 AND day(d) = 29) AS leap_days
