@@ -80,7 +80,8 @@ def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_b")).select(
         "doc_id", (F.octet_length("_b") + 1).cast("long").alias("size"), F.crc32("_b").cast("long").alias("text_crc32"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key"))
-    for name, t in (("shard", tree or tree_of(shards)), ("grown_shard", grown or tree_of(shards + 1))):
+    # one more shard than there are full racks for is a region of its own, whatever the number of shards
+    for name, t in (("shard", tree or tree_of(shards, base=shards)), ("grown_shard", grown or tree_of(shards + 1, base=shards))):
         rows = place(rows, F.col("_key"), t, seed, name)
     placed = put(rows.drop("_key"), "placed")
     slices = max(1, -(-placed.count() // (shards * slice_rows)))
