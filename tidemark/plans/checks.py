@@ -67,36 +67,77 @@ def check_not_null(frame: DataFrame, keys: list[str], target: str) -> DataFrame:
                   count_where(some_null))
 
 
+def set_counts(frame: DataFrame, sets: list[list[str]]) -> tuple[DataFrame, list[int]]:
+    """Rows of every value of several sets of columns, from one scan of the frame, and the number that names each set.
+
+    Rows have ``__set``, ``n`` and all columns, those outside the set null.
+    """
+    columns = list(dict.fromkeys(c for one in sets for c in one))
+    named = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in one) for one in sets]
+    chosen = [list(one) for one in dict.fromkeys(tuple(one) for one in sets)]
+    return frame.select(*columns).groupingSets(chosen, *columns).agg(
+        F.grouping_id(*columns).cast("int").alias("__set"), F.count("*").alias("n")), named
+
+
+def _rule_rows(frame: DataFrame, rules: list[tuple], counted: DataFrame) -> DataFrame:
+    """A metric row per rule ``(rule, target, set, figure)``; a table without rows has zeros."""
+    listed = frame.sparkSession.createDataFrame(rules, "rule string, target string, __set int, figure string")
+    figures = [c for c in counted.columns if c not in ("__set", "rows", "detail")]
+    picked = F.coalesce(*[F.when(F.col("figure") == c, F.col(c)) for c in figures], F.lit(0)).cast("bigint")
+    detail = F.col("detail") if "detail" in counted.columns else F.lit("")
+    # a row per set of columns
+    return listed.join(F.broadcast(counted), "__set", "left").select(
+        "rule", "target", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows_checked"), picked.alias("violations"), detail.alias("detail"))
+
+
+def check_table_keys(frame: DataFrame, name: str) -> DataFrame:
+    """Primary key unique and known, natural key unique: all from one scan of the table."""
+    keys = {rule: of[name] for rule, of in (("primary_key", PRIMARY_KEYS), ("natural_key", NATURAL_KEYS)) if name in of}
+    grouped, named = set_counts(frame, list(keys.values()))
+    lacking = F.lit(False)
+    for number, columns in zip(named, keys.values()):
+        lacking = F.when(F.col("__set") == number, reduce(lambda a, b: a | b, [F.col(k).isNull() for k in columns])).otherwise(lacking)
+    counted = grouped.groupBy("__set").agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("surplus"), F.sum(F.when(lacking, F.col("n"))).alias("lacking"))
+    rules = []
+    for number, (rule, columns) in zip(named, keys.items()):
+        target = f"{name}({','.join(columns)})"
+        rules.append((rule, target, number, "surplus"))
+        if rule == "primary_key":
+            rules.append(("not_null", target, number, "lacking"))
+    return _rule_rows(frame, rules, counted)
+
+
 def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for name, frame in tables.items():
-        if name in PRIMARY_KEYS:
-            parts += [check_unique(frame, PRIMARY_KEYS[name], name, "primary_key"),
-                      check_not_null(frame, PRIMARY_KEYS[name], name)]
-        if name in NATURAL_KEYS:
-            parts.append(check_unique(frame, NATURAL_KEYS[name], name, "natural_key"))
-    return union_all(parts)
+    return union_all([check_table_keys(frame, name) for name, frame in tables.items() if name in PRIMARY_KEYS or name in NATURAL_KEYS])
 
 
 def fk_orphans(fact: DataFrame, dim: DataFrame, column: str, key: str, target: str) -> DataFrame:
-    """Fact rows without a member, and rows at Unknown.
+    """Fact rows without a member, and rows at Unknown."""
+    return _orphans(fact, {column: (dim, key)}, lambda _: target)
+
+
+def _orphans(fact: DataFrame, keys: dict[str, tuple[DataFrame, str]], target) -> DataFrame:
+    """The same for all foreign keys of a fact from one scan.
 
-    The fact is reduced to its distinct keys first, so a hot key is one row.
+    The fact is reduced to the distinct values of every key first, so a hot key is one row.
     """
-    used = fact.groupBy(F.col(column).alias("__k")).agg(F.count("*").alias("n"))
-    members = dim.select(F.col(key).alias("__k"), F.lit(True).alias("__member"))
-    joined = join_unique(used, members, "__k")
-    unknown = zero_sum(F.when(F.col("__k") == V.UNKNOWN_KEY, F.col("n")))
-    return metric(
-        joined, "fk", target, F.sum("n"), F.sum(F.when(F.col("__member").isNull(), F.col("n"))),
-        F.concat(unknown.cast("string"), F.lit(" at Unknown")))
+    grouped, named = set_counts(fact, [[c] for c in keys])
+    value = F.coalesce(*[F.when(F.col("__set") == n, F.col(c)) for n, c in zip(named, keys)])
+    used = grouped.select("__set", value.alias("__k"), "n")
+    members = union_all([dim.select(F.lit(n).alias("__set"), F.col(key).alias("__k"), F.lit(True).alias("__member"))
+                         for n, (dim, key) in zip(named, keys.values())])
+    joined = join_unique(used, members, ["__set", "__k"])
+    counted = joined.groupBy("__set").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(F.col("__member").isNull(), F.col("n"))).alias("orphans"),
+        F.concat(zero_sum(F.when(F.col("__k") == V.UNKNOWN_KEY, F.col("n"))).cast("string"), F.lit(" at Unknown")).alias("detail"))
+    rows = _rule_rows(fact, [("fk", target(c), n, "orphans") for n, c in zip(named, keys)], counted)
+    return rows.withColumn("detail", F.coalesce("detail", F.lit("0 at Unknown")))
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([
-        fk_orphans(tables[fact], tables[dim], column, key, f"{fact}.{column}")
-        for fact, keys in FOREIGN_KEYS.items() if fact in tables
-        for column, (dim, key) in keys.items()])
+        _orphans(tables[fact], {c: (tables[dim], key) for c, (dim, key) in keys.items()}, lambda c, fact=fact: f"{fact}.{c}")
+        for fact, keys in FOREIGN_KEYS.items() if fact in tables])
 
 
 # --- versions -------------------------------------------------------------------
