@@ -14,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 # a sample of every family; TIDEMARK_ALL_QUERIES=1 compares all of them
 SAMPLE = ["ingest_text_scan", "collapse_republished", "unpivot_population", "parse_date_vote", "fix_unit_drift",
-          "scd2_build", "asof_lookup", "window_dedup", "key_audit", "dense_key", "fact_snapshot", "fact_penalty", "star_kpis",
+          "scd2_build", "scd2_merge", "asof_lookup", "window_dedup", "window_dedup_merge", "publish_race", "key_audit", "dense_key", "fact_snapshot", "fact_penalty", "star_kpis",
           "v_facility_monthly", "measure_by_state_period", "kpis", "watchlist", "segment_compare", "staffing_controlled",
           "risk_backtest", "fines_timeline", "enforcement_summary", "finding_market", "check_keys", "run_log"]
 NAMES = list(QUERIES) if os.environ.get("TIDEMARK_ALL_QUERIES") else SAMPLE
