@@ -166,3 +166,19 @@ def test_passages_with_blank_lines_null_ids_and_empty_tables(spark):
     frame = docs(spark)
     assert line_dedup.remove_repeated(frame, least_words=50).count() == frame.count()
     assert line_dedup.remove_repeated(docs(spark, []), least_words=50).collect() == []
+
+
+def test_lines_that_share_a_hash_are_judged_by_their_bytes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(line_dedup, "_name", lambda line: F.pmod(F.xxhash64(line), F.lit(23)))
+    rng = random.Random(35)
+    stock = [sentence(rng, rng.choice((2, 3, 8, 40))) for _ in range(20)]
+    rows = [(i, "\n".join(rng.choice(stock) if rng.random() < 0.5 else sentence(rng, 5) for _ in range(rng.randrange(1, 12))), "s") for i in range(50)]
+    got = {r.doc_id: r.text for r in line_dedup.remove_repeated(docs(spark, rows), least_words=12).collect()}
+    assert got == plain_passages(spark, rows, 12)
+
+
+def test_a_users_column_with_the_name_of_a_count_is_kept(spark):
+    frame = spark.createDataFrame([(1, "a b\nc d", "x", "y", "z")], "doc_id long, text string, n_removed string, N_Chunks string, input_n_removed string")
+    row = line_dedup.remove_repeated(frame).collect()[0].asDict()
+    assert row == {"doc_id": 1, "text": "a b\nc d", "input_input_n_removed": "x", "input_N_Chunks": "y", "input_n_removed": "z", "n_chunks": 1, "n_removed": 0}

@@ -57,6 +57,20 @@ def packed(frame: DataFrame) -> DataFrame:
     return frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"))
 
 
+def beside(frame: DataFrame, *added: str) -> list[tuple[str, str]]:
+    """The columns of ``frame`` and the names they get beside ``added`` ones: a clashing name is prefixed ``input_``, as often as it takes."""
+    taken = {c.lower() for c in (*frame.columns, *added)}
+    names = []
+    for column in frame.columns:
+        name = column
+        if column.lower() in {a.lower() for a in added}:
+            while name.lower() in taken:
+                name = f"input_{name}"
+            taken.add(name.lower())
+        names.append((column, name))
+    return names
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], key: list[str]) -> Iterator[dict[str, pa.Array]]:
     """Runs of equal keys in a partition that is sorted by ``key``; a run may span batches."""
     rest: pa.Table | None = None

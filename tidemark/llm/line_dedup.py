@@ -17,12 +17,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import packed, put
+from tidemark.llm.common import beside, packed, put
 
 #: A line with this holds a word; the others are blank.
 WORDED = r"[^\x20\x09-\x0D]"
-#: What a piece of a text is: a chunk, a line and the next one, one long line.
-CHUNK, PAIR, LINE = 0, 1, 2
 
 
 def _rolling(hashes: Column, window: int) -> Column:
@@ -38,6 +36,11 @@ def _rolling(hashes: Column, window: int) -> Column:
     return F.transform(hashes, at)
 
 
+def _name(line: Column) -> Column:
+    """What stands for a line until bytes are compared."""
+    return F.xxhash64(line)
+
+
 def cut(docs: DataFrame, text: Column, window: int) -> DataFrame:
     """Add ``_unit``, the worded lines; ``_raw``, each with the blank lines after it (the first also with those before it);
     ``_hash`` of the units; and ``_ends``, the last unit of every chunk.
@@ -59,7 +62,7 @@ def cut(docs: DataFrame, text: Column, window: int) -> DataFrame:
 
     parted = placed.withColumn("_unit", F.when(units == n, F.col("_lines")).otherwise(F.transform("_at", line))).withColumn(
         "_raw", F.when(units == n, F.col("_lines")).when(units == 0, F.array(F.array_join("_lines", "\n"))).otherwise(F.transform("_at", raw)))
-    rolled = parted.withColumn("_hash", F.transform("_unit", lambda u: F.xxhash64(u))).withColumn("_roll", _rolling(F.col("_hash"), window))
+    rolled = parted.withColumn("_hash", F.transform("_unit", lambda u: _name(u))).withColumn("_roll", _rolling(F.col("_hash"), window))
 
     def roll(i):
         return F.element_at("_roll", (i + 1).cast("int"))
@@ -88,46 +91,118 @@ def _words(line: Column) -> Column:
     return F.regexp_count(line, F.lit(f"{WORDED}+"))
 
 
-def _pieces(least_lines: int, least_words: int | None) -> Column:
-    """What is looked for elsewhere: chunks, pairs of lines and long lines, as spans of units with hash and length."""
-    def bytes_of(start, m):
-        return F.octet_length(F.array_join(F.slice("_unit", start + 1, m), "\n"))
+def _seq(pair: bool, start: Column, m: Column) -> Column:
+    """A piece as numbers: is it a pair, and the hashes of its lines."""
+    return F.concat(F.array(F.lit(int(pair)).cast("long")), F.slice("_hash", start + 1, m))
+
+
+def _place(pair: bool, start: Column, m: Column) -> Column:
+    """A span of units in one long: first unit, number of units, is it a pair."""
+    return F.shiftleft(start.cast("long"), 32) + m.cast("long") * 2 + F.lit(int(pair))
 
-    def chunk(end, k):
-        start = _start(k)
-        m = F.least(end + 1, F.size("_unit")) - start
-        return F.struct(F.lit(CHUNK).alias("kind"), start.alias("k"), m.alias("m"),
-                        F.xxhash64(F.lit(CHUNK), F.slice("_hash", start + 1, m)).alias("h"), bytes_of(start, m).alias("n"))
 
-    def unit(of, i):
-        return F.element_at(of, (i + 1).cast("int"))
+def _span(place: Column) -> tuple[Column, Column, Column]:
+    """First unit, number of units and whether the piece is a pair."""
+    return F.shiftright(place, 32).cast("int"), F.shiftright(place, 1).bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"), place.bitwiseAND(F.lit(1).cast("long"))
 
-    def pair(i):
-        return F.struct(F.lit(PAIR).alias("kind"), i.alias("k"), F.lit(2).alias("m"), F.xxhash64(F.lit(PAIR), unit("_hash", i), unit("_hash", i + 1)).alias("h"),
-                        (F.octet_length(unit("_unit", i)) + F.octet_length(unit("_unit", i + 1)) + 1).alias("n"))
 
-    def line(i):
-        return F.struct(F.lit(LINE).alias("kind"), i.alias("k"), F.lit(1).alias("m"), F.xxhash64(F.lit(LINE), unit("_hash", i)).alias("h"),
-                        F.octet_length(unit("_unit", i)).alias("n"))
+def _pieces(least_lines: int, least_words: int | None) -> Column:
+    """What is looked for elsewhere: chunks, pairs of lines and long lines, as spans of units with a hash of the hashes of their lines."""
+    def piece(pair, start, m):
+        return F.struct(F.xxhash64(_seq(pair, start, m)).alias("h"), _place(pair, start, m).alias("place"))
+
+    def unit(i):
+        return F.element_at("_unit", (i + 1).cast("int"))
 
-    chunks = F.filter(F.transform("_ends", chunk), lambda c: c["m"] >= least_lines)
+    spans = F.transform("_ends", lambda end, k: F.struct(_start(k).alias("k"), (F.least(end + 1, F.size("_unit")) - _start(k)).alias("m")))
+    chunks = F.transform(F.filter(spans, lambda c: c["m"] >= least_lines), lambda c: piece(False, c["k"], c["m"]))
     if least_words is None:
         return chunks
     last = F.size("_unit") - 1
     none = F.array().cast("array<int>")
-    pairs = F.transform(F.when(last >= 1, F.sequence(F.lit(0), last - 1)).otherwise(none), pair)
+    pairs = F.transform(F.when(last >= 1, F.sequence(F.lit(0), last - 1)).otherwise(none), lambda i: piece(True, i, F.lit(2)))
     # so many words have at least so many characters; only then they are counted
     long = F.filter(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(none), lambda i: (
-        F.octet_length(unit("_unit", i)) >= 2 * least_words - 1) & (_words(unit("_unit", i)) >= least_words))
-    return F.concat(chunks, pairs, F.transform(long, line))
+        F.octet_length(unit(i)) >= 2 * least_words - 1) & (_words(unit(i)) >= least_words))
+    return F.concat(chunks, pairs, F.transform(long, lambda i: piece(False, i, F.lit(1))))
+
+
+def _named(held: DataFrame, text: Column, window: int) -> DataFrame:
+    """Cut the texts with candidates again; ``_found``: per candidate its hash, place, numbers and whether this id holds the first one."""
+    def found(f):
+        place = F.shiftright(f, 1)
+        start, m, pair = _span(place)
+        seq = F.concat(F.array(pair), F.slice("_hash", start + 1, m))
+        return F.struct(F.xxhash64(seq).alias("h"), place.alias("place"), f.bitwiseAND(F.lit(1).cast("long")).alias("home"), seq.alias("seq"))
+
+    # the size names ``_hash`` outside the lambda too: the optimizer then leaves it a column, computed once per text
+    return cut(held, text, window).withColumn("_found", F.when(F.size("_hash") > 0, F.transform("_flags", found)))
+
+
+def _shared_names(named: DataFrame) -> DataFrame:
+    """The byte comparison: hashes of two different lines, and hashes of two different sequences of lines.
+
+    Every line of a candidate is sent once per task, not once per piece that holds it; pieces are sent as hashes of their lines.
+    """
+    def units(f):
+        start, m, _ = _span(f["place"])
+        return F.sequence(start, start + m - 1)
+
+    lines = F.transform(F.array_distinct(F.flatten(F.transform("_found", units))), lambda u: F.struct(
+        F.lit(True).alias("line"), F.element_at("_hash", u + 1).alias("name"), F.element_at("_unit", u + 1).alias("body"),
+        F.lit(None).cast("array<bigint>").alias("seq")))
+    pieces = F.transform("_found", lambda f: F.struct(F.lit(False).alias("line"), f["h"].alias("name"), F.lit(None).cast("string").alias("body"), f["seq"].alias("seq")))
+    meant = named.select(F.explode(F.when(F.size("_unit") > 0, F.concat(lines, pieces))).alias("at")).select("at.*")
+    return meant.groupBy("line", "name", "body", "seq").agg(F.lit(1).alias("one")).groupBy("line", "name").agg(
+        F.count("one").alias("meanings")).where("meanings > 1").select("line", "name")
+
+
+def _judged_by_body(named: DataFrame, shared: DataFrame) -> DataFrame:
+    """New flags of the pieces that hold a name with two meanings, by their bytes: ``_places``, those pieces; ``_fixed``, those of them that go."""
+    names = F.explode(F.transform("_found", lambda f: F.struct(f["place"].alias("place"), F.concat(
+        F.array(F.struct(F.lit(False).alias("line"), f["h"].alias("name"))),
+        F.transform(F.slice(f["seq"], 2, F.size(f["seq"]) - 1), lambda h: F.struct(F.lit(True).alias("line"), h.alias("name")))).alias("names"))))
+    asked = named.select("_a", "_b", names.alias("at")).select("_a", "_b", "at.place", F.explode("at.names").alias("n")).select("_a", "_b", "place", "n.*")
+    doubtful = asked.join(shared, ["line", "name"]).groupBy("_a", "_b").agg(F.collect_set("place").alias("_places"))
+
+    def body(place):
+        start, m, pair = _span(place)
+        return F.struct(place.alias("place"), pair.alias("pair"), F.array_join(F.slice("_unit", start + 1, m), "\n").alias("body"))
+
+    bodies = put(named.join(doubtful, ["_a", "_b"]).select("_a", "_b", "_id", F.explode(
+        F.when(F.size("_unit") > 0, F.transform("_places", body))).alias("at")).select("_a", "_b", "_id", "at.*"), "doubtful")
+    classes = bodies.groupBy("pair", "body").agg(F.min("_id").alias("owner"), F.count(F.lit(1)).alias("times"))
+    firsts = bodies.groupBy("_a", "_b", "pair", "body").agg(F.min("place").alias("first"))
+    judged = bodies.join(classes, ["pair", "body"]).join(firsts, ["_a", "_b", "pair", "body"])
+    goes = (F.col("times") > 1) & ~(F.col("_id").eqNullSafe(F.col("owner")) & (F.col("place") == F.col("first")))
+    return judged.groupBy("_a", "_b").agg(F.collect_set("place").alias("_places"), F.collect_set(F.when(goes, F.col("place"))).alias("_fixed"))
+
+
+def _ordered() -> Column:
+    """The candidates of a text by hash and place: the first of a run is the first place."""
+    return F.array_sort(F.transform("_found", lambda f: F.struct(f["h"].alias("h"), f["place"].alias("place"), f["home"].alias("home"))))
+
+
+def _goes() -> Column:
+    """Places of the candidates that go: all but the first of its hash in a text under the first id."""
+    def stays(f, i):
+        before = F.element_at("_ordered", F.greatest(i, F.lit(1)).cast("int"))
+        return (f["home"] == 1) & ((i == 0) | (before["h"] != f["h"]))
+
+    told = F.transform("_ordered", lambda f, i: F.struct(f["place"].alias("place"), stays(f, i).alias("stays")))
+    return F.transform(F.filter(told, lambda f: ~f["stays"]), lambda f: f["place"])
 
 
 def _away(least_words: int | None) -> Column:
     """The units that go, each once: those of chunks and long lines, and passages of repeated pairs with enough words."""
-    whole = F.transform(F.filter("_gone", lambda g: g["kind"] != PAIR), lambda g: F.sequence(g["k"], g["k"] + g["m"] - 1))
+    def units(place):
+        start, m, _ = _span(place)
+        return F.sequence(start, start + m - 1)
+
+    whole = F.transform(F.filter("_gone", lambda g: _span(g)[2] == 0), units)
     if least_words is None:
         return F.array_distinct(F.flatten(whole))
-    pairs = F.transform(F.filter("_gone", lambda g: g["kind"] == PAIR), lambda g: g["k"])
+    pairs = F.transform(F.filter("_gone", lambda g: _span(g)[2] == 1), lambda g: _span(g)[0])
     first = F.array_sort(F.array_except(pairs, F.transform(pairs, lambda k: k + 1)))
     last = F.array_sort(F.array_except(pairs, F.transform(pairs, lambda k: k - 1)))
     passages = F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), (b + 1).alias("b")))
@@ -147,9 +222,9 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A chunk takes part if it has at least ``least_lines`` lines that hold a word.
     Of equal chunks that at the smallest id stays, at its first place in that text;
     all others go, with the blank lines after their lines. Equality is that of the
-    bytes of the worded lines: hashes only name candidates, and a hash that two
-    different chunks share removes neither of them. ``n_removed`` counts chunks
-    that lost lines.
+    bytes of the worded lines: hashes only name candidates. Names that turn out to
+    have two meanings are set aside, and their pieces are judged by their bytes.
+    ``n_removed`` counts chunks that lost lines.
 
     With ``least_words`` short passages and the ends of long ones go as well: a line
     of at least so many words that occurs before, and every run of lines of at
@@ -161,55 +236,39 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     becomes empty; no row is dropped. Rows equal in id and text are one document
     and are treated alike (both keep the first place), as are different texts under
     one id. Rows with a null id come after all others; a chunk found only under null
-    ids keeps its first place in each of their texts. An empty table gives an empty one; other columns, whatever
-    their names, stay as they are.
+    ids keeps its first place in each of their texts. An empty table gives an empty one. Other columns stay as they
+    are; one named ``n_chunks`` or ``n_removed`` is returned as ``input_n_chunks`` or ``input_n_removed``.
 
-    What is shuffled: one small row per chunk, and with ``least_words`` per line (hash and place), then the rows
-    that hold a candidate, once; the rest of the texts is only read. A chunk that
+    What is shuffled: a row of numbers per chunk, and with ``least_words`` per line (hash, document and place); every
+    text once; and each line of a candidate once per task that holds it. A chunk that
     a third of all texts share is counted and compared in map-side aggregates.
     """
     body = F.col("row").getField(text)
     own_id = F.col("row").getField(doc_id)
-    # a document is its id and text; two hashes stand for the text
-    base = packed(docs).select("row", F.struct(F.coalesce(own_id.cast("string"), F.lit("")).alias("id"),
-                                               F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b")).alias("_doc"))
-    occurrences = cut(base, body, window).select("_doc", F.explode(_pieces(least_lines, least_words)).alias("at")).select("_doc", "at.*")
-    repeated = put(occurrences.groupBy("h", "n").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h", "n"), "chunk-hashes")
-    flagged = occurrences.join(repeated, ["h", "n"]).groupBy("_doc").agg(F.collect_set(F.struct("kind", "k", "m")).alias("_ks"))
-    marked = put(base.join(flagged, "_doc", "left"), "chunked")
-
-    held = marked.where("_ks is not null")
-    suspects = cut(held, body, window).select("_doc", own_id.alias("_id"), F.explode(F.when(F.size("_unit") > 0, F.transform("_ks", lambda p: F.struct(
-        p["kind"].alias("kind"), p["k"].alias("k"), p["m"].alias("m"), F.array_join(F.slice("_unit", p["k"] + 1, p["m"]), "\n").alias("body"))))).alias("at")).select(
-        "_doc", "_id", "at.*").withColumn("h", F.xxhash64("kind", "body")).withColumn("n", F.octet_length("body"))
-    # byte comparison: one class per body; a hash shared by different bodies is left alone
-    classes = suspects.groupBy("kind", "body").agg(F.min("_id").alias("owner"), F.count(F.lit(1)).alias("times"))
-    verdicts = classes.groupBy(F.xxhash64("kind", "body").alias("h"), F.octet_length("body").alias("n")).agg(
-        F.count(F.lit(1)).alias("classes"), F.min("owner").alias("owner"), F.max("times").alias("times")).where("classes = 1 and times > 1")
-    judged = suspects.drop("body").join(verdicts, ["h", "n"])
-    per_doc = judged.groupBy("_doc").agg(F.array_sort(F.collect_set(F.struct(
-        "h", "n", "k", "m", "kind", F.col("_id").eqNullSafe(F.col("owner")).alias("home")))).alias("_judged"))
-
-    def stays(j, i):   # sorted by hash and place: the first of a run is the first place
-        before = F.element_at("_judged", F.greatest(i, F.lit(1)).cast("int"))
-        return j["home"] & ((i == 0) | (before["h"] != j["h"]) | (before["n"] != j["n"]))
-
-    gone = F.transform(F.filter(F.transform("_judged", lambda j, i: F.struct(
-        j["kind"].alias("kind"), j["k"].alias("k"), j["m"].alias("m"), stays(j, i).alias("stays"))),
-        lambda j: ~j["stays"]), lambda j: F.struct(j["kind"].alias("kind"), j["k"].alias("k"), j["m"].alias("m")))
-    removal = per_doc.select("_doc", gone.alias("_gone")).where(F.size("_gone") > 0)
-
-    # texts are cut again after the join, so that they cross the shuffle once
-    joined = cut(held.join(removal, "_doc", "left"), body, window)
-    away = joined.withColumn("_away", F.when(F.col("_gone").isNotNull(), _away(least_words)).otherwise(F.array().cast("array<int>")))
+    # a document is its id and text; two hashes stand for both
+    base = packed(docs).select("row", F.xxhash64(own_id, body).alias("_a"), F.xxhash64(F.lit(1), own_id, body).alias("_b"))
+    pieces = cut(base, body, window).select("_a", "_b", own_id.alias("_id"), F.explode(_pieces(least_lines, least_words)).alias("at")).select("_a", "_b", "_id", "at.*")
+    repeated = put(pieces.groupBy("h").agg(F.count(F.lit(1)).alias("times"), F.min("_id").alias("owner")).where("times > 1").select("h", "owner"), "repeated-hashes")
+    flags = pieces.join(repeated, "h").select(
+        "_a", "_b", (F.col("place") * 2 + F.col("_id").eqNullSafe(F.col("owner")).cast("long")).alias("flag"))
+    marked = put(base.join(flags.groupBy("_a", "_b").agg(F.collect_set("flag").alias("_flags")), ["_a", "_b"], "left"), "marked")
+
+    named = _named(marked.where("_flags is not null").withColumn("_id", own_id), body, window)
+    judged = named.withColumn("_ordered", _ordered()).withColumn("_gone", _goes())
+    shared = put(_shared_names(named), "shared-names")
+    if not shared.isEmpty():
+        judged = judged.join(_judged_by_body(named, shared), ["_a", "_b"], "left").withColumn("_gone", F.when(
+            F.col("_places").isNull(), F.col("_gone")).otherwise(F.concat(F.array_except("_gone", "_places"), "_fixed")))
+
+    away = judged.withColumn("_away", F.when(F.size("_gone") > 0, _away(least_words)).otherwise(F.array().cast("array<int>")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_raw") - 1), "_away")
     rewritten = F.array_join(F.transform(kept, lambda u: F.element_at("_raw", u + 1)), "\n")
     chunk_of = F.flatten(F.transform("_ends", lambda end, k: F.array_repeat(k, end - _start(k) + 1)))
     touched = away.withColumn("_chunk_of", chunk_of).select(
         "row", F.when(F.size("_away") > 0, rewritten).otherwise(body).alias("_new"), F.size("_ends").alias("_n"),
         F.when(F.size("_chunk_of") > 0, F.size(F.array_distinct(F.transform("_away", lambda u: F.element_at("_chunk_of", u + 1))))).alias("_m"))
-    plain = cut(marked.where("_ks is null"), body, window).select(
+    plain = cut(marked.where("_flags is null"), body, window).select(
         "row", body.alias("_new"), F.size("_ends").alias("_n"), F.lit(0).alias("_m"))
-    columns = [F.col("_new").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
+    columns = [F.col("_new").alias(c) if c == text else F.col("row").getField(c).alias(name) for c, name in beside(docs, "n_chunks", "n_removed")]
     return plain.unionAll(touched).select(
         *columns, F.when(F.col("_new").isNull(), 0).otherwise(F.col("_n")).cast("long").alias("n_chunks"), F.col("_m").cast("long").alias("n_removed"))
