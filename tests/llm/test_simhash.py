@@ -110,3 +110,10 @@ def test_components_of_a_path_a_hub_and_loops(spark):
     found = {r.node: r.component for r in rows}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 151)}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_deduplicate_keeps_columns_with_the_names_of_its_own(spark):
+    frame = spark.createDataFrame([(2, "a b c d", "x", 1), (1, "a b c d", "y", 2), (1, "a b c d", "y", 2)], "doc_id long, text string, _key string, row int")
+    got = simhash.deduplicate(frame)
+    assert got.columns == frame.columns
+    assert [tuple(r) for r in got.collect()] == [(1, "a b c d", "y", 2)]

@@ -95,3 +95,24 @@ def test_an_id_carried_by_many_rows_stays_within_the_sample(spark):
     assert len(bags(10)) == 10
     every = bags(5000)
     assert sorted(r.order for r in every) == ["1"] * 51 + ["2", "3"] and {r.order: r.label for r in every} == {"1": 1, "2": 0, "3": 0}
+
+
+def test_the_sample_is_bounded_by_its_n_grams_in_the_order_of_the_hash(spark):
+    rows = [(i, f"word{i} other{i} third{i}", "s") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    made = toxicity.training_bags(docs(spark, rows), labels, "doc_id", "text", "toxic", toxicity.Settings())
+    hashed = {r.order: r.h for r in made.selectExpr("order", f"xxhash64(order, {toxicity.Settings().seed}) as h").collect()}
+    sizes = {r.order: len(r.ids) for r in made.collect()}
+    order = sorted(sizes, key=lambda i: hashed[i])
+    for n in (0, 1, 7, 39, 40):
+        bound = sum(sizes[i] for i in order[:n])
+        got = {r.order for r in toxicity.within(made, toxicity.Settings(grams=bound)).collect()}
+        assert got == set(order[:max(n, 1)])
+    assert toxicity.within(made.where("false"), toxicity.Settings()).collect() == []
+
+
+def test_a_users_column_with_the_name_of_the_score_is_kept(spark):
+    m = toxicity.fit([], toxicity.Settings())
+    frame = spark.createDataFrame([(1, "a b", "mine")], "doc_id long, text string, score string")
+    assert toxicity.score(frame, m).first().asDict() == {"doc_id": 1, "text": "a b", "input_score": "mine", "score": 0.5}
+    assert toxicity.score(frame, m, columns=["score"]).first().asDict() == {"input_score": "mine", "score": 0.5}

@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import bucket_blocks, per_group, put, roots
+from tidemark.llm.common import bucket_blocks, packed, per_group, put, roots
 from tidemark.llm.components import components
 
 BITS = 64
@@ -156,8 +156,10 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """The rows of ``docs``, one of each group of near-duplicates: that with the smallest id.
 
     Null ids come last; under equal ids the row with the smaller hash of the text
-    stays, and of rows equal in id and text one. Texts are shuffled once at most,
-    against the keys of the rows that go.
+    stays, and of rows equal in id and text one. Null and empty texts have fingerprint
+    zero and are linked like any other. An empty table gives an empty one; all columns,
+    whatever their names, stay as they are. Texts are shuffled once at most, against
+    the keys of the rows that go.
     """
     def key(i, t):
         return F.struct(F.coalesce(i.cast("string"), F.lit("\u0000")).alias("i"), F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b"))
@@ -170,7 +172,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
         F.col("m.key").alias("key"))
     gone = put(keys.join(stays, "key", "left_anti").select(F.col("key").alias("_key")), "gone")
     repeated = put(keys.where("times > 1").join(stays, "key").select(F.col("key").alias("_key")), "repeated")
-    keyed = docs.withColumn("_key", key(F.col(doc_id), F.col(text))).join(gone, "_key", "left_anti")
+    row = F.col("row")
+    keyed = packed(docs).withColumn("_key", key(row.getField(doc_id), row.getField(text))).join(gone, "_key", "left_anti")
     once = keyed.join(repeated, "_key", "left_anti")
     several = keyed.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
-    return once.unionByName(several).drop("_key")
+    return once.unionByName(several).select(*[row.getField(c).alias(c) for c in docs.columns])

@@ -15,7 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+from tidemark.llm.common import beside, put
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,8 @@ class Settings:
     batch: int = 32
     #: at most this many labelled texts are fitted, the smallest by hash of their id, equal rows once
     sample: int = 5000
+    #: and at most so many distinct n-grams, counted text by text in that order: what the driver holds, 8 bytes each
+    grams: int = 30_000_000
     seed: int = 11
 
 
@@ -80,7 +84,7 @@ def bag(text: str | None, s: Settings, cache: dict[str, np.ndarray]) -> tuple[np
 
 
 def training_bags(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, s: Settings) -> DataFrame:
-    """``(order, label, ids, shares)`` of the fitted sample; texts become bags on the executors.
+    """``(order, a, b, label, ids, shares)`` of the fitted sample; texts become bags on the executors.
 
     Bags are whole: every n-gram of a fitted text counts, and their distinct
     ids are at most ``buckets``. Rows equal in id and text are one text; an id with
@@ -102,11 +106,11 @@ def training_bags(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
         for batch in batches:
             found = [bag(t.as_py(), s, cache) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([
-                batch.column(doc_id).cast(pa.string()), batch.column("_label"),
+                batch.column(doc_id).cast(pa.string()), batch.column("_a"), batch.column("_b"), batch.column("_label"),
                 pa.array([i for i, _ in found], pa.list_(pa.int32())), pa.array([v for _, v in found], pa.list_(pa.float32()))],
-                ["order", "label", "ids", "shares"])
+                ["order", "a", "b", "label", "ids", "shares"])
 
-    return texts.mapInArrow(run, "order string, label int, ids array<int>, shares array<float>")
+    return texts.mapInArrow(run, "order string, a bigint, b bigint, label int, ids array<int>, shares array<float>")
 
 
 @dataclass
@@ -165,15 +169,30 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], s: Settings) -> Model:
     return Model(emb * scale, soft, bias, s)
 
 
+def within(bags: DataFrame, s: Settings) -> DataFrame:
+    """The bags, in the order of their hashes, as long as their distinct n-grams add up to at most ``s.grams``.
+
+    This bounds what the driver holds, 8 bytes for each. Bags are made once, as a table; only their sizes, at most
+    ``s.sample`` rows, are summed in one task. Bags are taken whole, and the first in any case.
+    """
+    placed = F.struct(F.xxhash64("order", F.lit(s.seed)).alias("h"), "order", "a", "b")
+    made = put(bags, "training-bags").withColumn("_place", placed)
+    running = made.select("_place", F.sum(F.size("ids").cast("long")).over(Window.orderBy("_place")).alias("n"), F.row_number().over(Window.orderBy("_place")).alias("i"))
+    last = running.where((F.col("n") <= s.grams) | (F.col("i") == 1)).agg(F.max("_place").alias("last")).first().last
+    if last is not None:
+        made = made.where(F.col("_place") <= F.struct(*[F.lit(v) for v in last]))
+    return made.select(*bags.columns)
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           settings: Settings = Settings()) -> Model:
-    """Fit a model on at most ``settings.sample`` labelled texts, chosen by hash.
+    """Fit a model on at most ``settings.sample`` labelled texts, chosen by hash, with at most ``settings.grams`` distinct n-grams counted text by text.
 
     Rows with a null id or a label other than 0 and 1 teach nothing; an id with
     several labels counts as toxic if one of them says so; no rows at all give
     the model that answers 0.5 everywhere.
     """
-    got = training_bags(docs, labels, doc_id, text, label, settings).toArrow()
+    got = within(training_bags(docs, labels, doc_id, text, label, settings), settings).toArrow()
     rows = []
     for order, y, ids, shares in zip(got.column("order").to_pylist(), got.column("label").to_pylist(),
                                      got.column("ids"), got.column("shares")):
@@ -187,14 +206,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
     A null or empty text, or one of punctuation only, has an empty bag and gets
     the share that the bias alone gives. Rows, repeated or not, are scored one by
-    one; other columns, whatever their names, stay. ``columns`` names those to
-    return beside the score, all by default: texts that nobody reads stay behind.
+    one. ``columns`` names those to return beside the score, all by default: texts
+    that nobody reads stay behind. They stay as they are; one with the score's own name
+    is returned with the prefix ``input_``. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     # settings.buckets doubles: a bound that does not depend on the data
     told = spark.sparkContext.broadcast((model.pulls(), float(model.bias[1]) - float(model.bias[0])))
     s, schema = model.settings, docs.schema
     kept = docs.columns if columns is None else columns
+    names = dict(beside(docs, name))
+    told_columns = [*[names[c] for c in kept], name]
 
     def run(batches):
         pull, bias = told.value
@@ -214,6 +236,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
                     cache.clear()
                 logit = bias + (total / n if n else 0.0)
                 out.append(1.0 / (1.0 + float(np.exp(-np.clip(logit, -500, 500)))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, pa.float64())], [*kept, name])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, pa.float64())], told_columns)
 
-    return docs.mapInArrow(run, T.StructType([*[schema[c] for c in kept], T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*[T.StructField(names[c], schema[c].dataType) for c in kept], T.StructField(name, T.DoubleType())]))
