@@ -17,7 +17,7 @@ here = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the driver's tables
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", q)[0] for q in QUERIES} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", q)[0] for q in QUERIES} and "pipeline" in names
 
 
 @here
