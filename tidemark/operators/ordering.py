@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.operators import lookups
+from tidemark.operators.quantiles import exact_cuts
 from tidemark.session import durable, stored
 
 
@@ -57,12 +58,18 @@ def sliced_total(
 
 def dense_key(frame: DataFrame, order: list, into: str, *, first: int = 1,
               limit: int | None = None) -> DataFrame:
-    """Surrogate keys first, first+1, ... in a fixed total order."""
+    """Surrogate keys first, first+1, ... in a fixed total order.
+
+    Up to ``limit`` rows only the columns of the order are sorted in one task; the
+    numbers, two longs a row, are broadcast back to the rows by their place in the checkpoint.
+    """
     limit = lookups.HOT_ROWS if limit is None else limit
     frame = durable(frame)
     if frame.count() <= limit:
-        position = F.row_number().over(W.orderBy(*_columns(order))) - 1
-        return frame.select((position + first).cast("bigint").alias(into), "*")
+        placed = frame.withColumn("__place", F.monotonically_increasing_id())
+        number = F.row_number().over(W.orderBy(*_columns(order))) - 1 + first
+        numbers = placed.select("__place", number.cast("bigint").alias(into))
+        return placed.join(F.broadcast(numbers), "__place").select(into, *frame.columns)
     numbered = sliced_total(frame, order, into, slice_rows=limit)
     return numbered.select((F.col(into) + first).cast("bigint").alias(into), *frame.columns)
 
@@ -95,12 +102,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one array per group.
 
-    Equal values are merged first. ``bounded`` says the value domain is small by
-    construction (star ratings, one row per state). Otherwise the merged values
-    are written and counted, and a distributed selection takes over past
-    ``limit`` of them.
+    ``bounded`` says the value domain is small by construction (star ratings, one
+    row per state). Otherwise those of a whole frame come from refined histograms;
+    values of groups are merged, written and counted, and a distributed selection
+    takes over past ``limit`` of them.
     """
     by = list(by)
+    if not by and not bounded:
+        return exact_cuts(frame, {value: probs}, limit=limit).withColumnRenamed(value, into)
     limit = lookups.PIN_ROWS if limit is None else limit
     counts = (
         frame.filter(F.col(value).isNotNull())
@@ -113,8 +122,7 @@ def exact_quantiles(
             F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias(into))
     ranked = sliced_total(counts, ["__v"], "__before", by=by, weight=F.col("__n"), slice_rows=limit)
     sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
-    ranked = (lookups.lookup_join(ranked, sizes, by, "inner", null_safe=True) if by
-              else ranked.withColumn("__size", sizes.scalar()))
+    ranked = lookups.lookup_join(ranked, sizes, by, "inner", null_safe=True)
     picks = []
     for i, p in enumerate(probs):
         at = F.lit(float(p)) * (F.col("__size") - 1)

@@ -1,8 +1,11 @@
 """What the cleaning rules did in a build, rule by rule, as run log rows.
 
 Q1 keys, Q2 repeats, Q3 nulls, Q4 implausible rows, Q5 unmapped categories, Q6
-dates, Q7 columns that a period lacks, Q8 units. Every part is one aggregate over
-staged rows or written tables.
+dates, Q7 columns that a period lacks, Q8 units. Staged rows of a kind are counted
+once, in one aggregate kept as a row per period, and so is the written snapshot
+fact; the rules read those. The fact holds a facility and period once, so
+the rows it lacks are the repeated ones and no key is grouped again. Date formats
+are those the build voted for; only the medians behind the units are taken anew.
 """
 
 from __future__ import annotations
@@ -13,19 +16,49 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import clean
+from tidemark.functions.clean import suspect_reasons
 from tidemark.operators.votes import date_votes, unit_medians
 from tidemark.plans import runlog
-from tidemark.plans.runlog import entries
+from tidemark.plans.runlog import count_where, entries
+from tidemark.session import stored
 from tidemark.sources.text import MALFORMED
 
 TIME = "processing_date"
+TURNOVER = "total_nursing_turnover_pct"
 
 
-def _repeats(providers: DataFrame) -> DataFrame:
-    """Rows beyond the first of a facility and period: the first is kept."""
-    per_key = providers.groupBy(TIME, "ccn").agg(F.count("*").alias("n"))
-    surplus = per_key.groupBy(TIME).agg(F.sum(F.col("n") - 1).alias("rows")).filter("rows > 0")
-    return entries(surplus, "clean", "Q2", "provider_info", "rows", "repeated facility, first row kept", F.col(TIME))
+def profile(rows: DataFrame, logical: str) -> DataFrame:
+    """Per period: rows, malformed rows, keys of the wrong width, and the known values of every canonical column."""
+    wanted = [*V.CANONICAL_COLUMNS[logical], *(V.NULL_REPORT_FIELDS if logical == V.REQUIRED_FILE else [])]
+    fields = [c for c in dict.fromkeys(wanted) if c in rows.columns and c != TIME]
+    turnover = [F.count(clean.to_number(TURNOVER)).alias("__turnover")] if TURNOVER in fields else []
+    return rows.groupBy(TIME).agg(
+        F.count("*").alias("__rows"), count_where(F.col(MALFORMED)).alias("__malformed"),
+        count_where(F.length("ccn") != V.ID_WIDTH).alias("__wrong_width"), *turnover, *[F.count(c).alias(c) for c in fields])
+
+
+def fact_profile(facts: DataFrame) -> DataFrame:
+    """Per period: rows of the snapshot fact and flagged ones by reason."""
+    return facts.groupBy("snapshot_date_key").agg(
+        F.count("*").alias("__kept"), *[count_where(c).alias(n) for n, c in suspect_reasons().items()])
+
+
+def _keys(counted: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows, keys of the wrong width and rows beyond the first of a facility, per period."""
+    same = clean.date_key(TIME) == F.col("snapshot_date_key")
+    return counted.join(kept.select("snapshot_date_key", "__kept"), same, "left").select(
+        TIME, F.col("__rows").alias("rows"), F.col("__wrong_width").alias("wrong_width"),
+        (F.col("__rows") - F.coalesce("__kept", F.lit(0))).alias("duplicates"))
+
+
+def _repeats(keys: DataFrame) -> DataFrame:
+    return entries(keys.filter("duplicates > 0"), "clean", "Q2", "provider_info", "duplicates", "repeated facility, first row kept", F.col(TIME))
+
+
+def _nulls(counted: DataFrame) -> DataFrame:
+    known = counted.unpivot([TIME, "__rows"], V.NULL_REPORT_FIELDS, "field", "known")
+    return known.select(TIME, "field", (F.col("__rows") - F.col("known")).alias("nulls"),
+                        ((F.col("__rows") - F.col("known")) / F.col("__rows")).alias("share"))
 
 
 def _republished(survivors: DataFrame) -> DataFrame:
@@ -35,13 +68,13 @@ def _republished(survivors: DataFrame) -> DataFrame:
         F.col("processing_date"))
 
 
-def _malformed(rows: DataFrame, target: str) -> DataFrame:
-    bad = rows.groupBy(TIME).agg(runlog.count_where(F.col(MALFORMED)).alias("rows")).filter("rows > 0")
-    return entries(bad, "read", "Q2", target, "rows", "fields do not match the header, kept", F.col(TIME))
+def _malformed(counted: DataFrame, target: str) -> DataFrame:
+    return entries(counted.filter("__malformed > 0"), "read", "Q2", target, "__malformed", "fields do not match the header, kept", F.col(TIME))
 
 
-def _collapsed(penalties: DataFrame, events: DataFrame) -> DataFrame:
-    counts = penalties.agg(F.count("*").alias("s"), F.lit(0).alias("e")).unionAll(events.agg(F.lit(0), F.count("*")))
+def _collapsed(counted: DataFrame, events: DataFrame) -> DataFrame:
+    counts = counted.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("s"), F.lit(0).alias("e")).unionAll(
+        events.agg(F.lit(0), F.count("*")))
     both = counts.agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
     return entries(both, "clean", "Q2", "penalties", F.col("s") - F.col("e"), F.concat(
         F.col("s").cast("string"), F.lit(" sightings of "), F.col("e").cast("string"), F.lit(" events")))
@@ -56,30 +89,30 @@ def _unmapped(dims: dict[str, DataFrame]) -> list[DataFrame]:
             count("dim_geography", "geography_key", "state_name", "state_code")]
 
 
-def _absent(rows: DataFrame, logical: str) -> DataFrame:
+def _absent(counted: DataFrame, logical: str) -> DataFrame:
     """Canonical columns that no row of a period has: its file lacks them, or they are empty."""
-    fields = [c for c in V.CANONICAL_COLUMNS[logical] if c in rows.columns and c != TIME]
-    wide = rows.groupBy(TIME).agg(F.count("*").alias("rows"), *[F.count(c).alias(c) for c in fields])
-    empty = wide.unpivot([TIME, "rows"], fields, "field", "known").filter("known = 0")
-    return entries(empty, "read", "Q7", F.col("field"), "rows", "no value in the period", F.col(TIME))
+    fields = [c for c in V.CANONICAL_COLUMNS[logical] if c in counted.columns and c != TIME]
+    empty = counted.unpivot([TIME, "__rows"], fields, "field", "known").filter("known = 0")
+    return entries(empty, "read", "Q7", F.col("field"), "__rows", "no value in the period", F.col(TIME))
 
 
 def of_build(providers: DataFrame, penalties: DataFrame | None, survivors: DataFrame,
-             written: dict[str, DataFrame]) -> list[DataFrame]:
-    """Log rows of one build; ``written`` are the tables of the release."""
-    turnover = providers.select(TIME, clean.to_number("total_nursing_turnover_pct").alias("total_nursing_turnover_pct"))
-    known = turnover.groupBy(TIME).agg(F.count("total_nursing_turnover_pct").alias("known"))
-    facts = written["fact_snapshot"]
+             written: dict[str, DataFrame], votes: DataFrame | None = None) -> list[DataFrame]:
+    """Log rows of one build; ``written`` are the tables of the release, ``votes`` its decisions on penalty dates."""
+    counted = stored(profile(providers, V.REQUIRED_FILE), "profile")
+    kept = stored(fact_profile(written["fact_snapshot"]), "profile")
+    keys = _keys(counted, kept)
+    turnover = providers.select(TIME, clean.to_number(TURNOVER).alias(TURNOVER))
+    reasons = kept.unpivot("snapshot_date_key", list(suspect_reasons()), "reason", "rows")
     parts = [
-        runlog.log_key_quality(runlog.key_quality(providers, "ccn", [TIME]), TIME),
-        _repeats(providers), _republished(survivors), _malformed(providers, "provider_info"),
-        runlog.log_nulls(runlog.null_report(providers, V.NULL_REPORT_FIELDS, [TIME]), TIME),
-        runlog.log_suspects(runlog.suspect_report(facts, ["snapshot_date_key"]), "snapshot_date_key"),
-        *_unmapped(written), _absent(providers, V.REQUIRED_FILE),
-        runlog.log_unit_drift(unit_medians(turnover, "total_nursing_turnover_pct", [TIME]), known, TIME, "total_nursing_turnover_pct"),
+        runlog.log_key_quality(keys, TIME), _repeats(keys), _republished(survivors), _malformed(counted, "provider_info"),
+        runlog.log_nulls(_nulls(counted), TIME), runlog.log_suspects(reasons, "snapshot_date_key"),
+        *_unmapped(written), _absent(counted, V.REQUIRED_FILE),
+        runlog.log_unit_drift(unit_medians(turnover, TURNOVER, [TIME]), counted.select(TIME, F.col("__turnover").alias("known")), TIME, TURNOVER),
     ]
     if penalties is not None:
-        parts += [
-            _malformed(penalties, "penalties"), _collapsed(penalties, written["fact_penalty"]), _absent(penalties, "penalties"),
-            runlog.log_date_votes(date_votes(penalties, "penalty_date", [TIME]), TIME, "penalty_date")]
+        seen = stored(profile(penalties, "penalties"), "profile")
+        votes = date_votes(penalties, "penalty_date", [TIME]) if votes is None else votes
+        parts += [_malformed(seen, "penalties"), _collapsed(seen, written["fact_penalty"]), _absent(seen, "penalties"),
+                  runlog.log_date_votes(votes, TIME, "penalty_date")]
     return [reduce(lambda a, b: a.unionByName(b), parts)]

@@ -73,9 +73,9 @@ def fact_snapshot(rows: DataFrame, dims: dict[str, DataFrame], position: list[st
     }).select(*FACILITY_FACT)
 
 
-def penalty_sightings(rows: DataFrame, position: list[str]) -> DataFrame:
-    """Canonical penalty rows typed for the dedup."""
-    dated = parse_date_vote(rows, "penalty_date", "__date", [TIME])
+def penalty_sightings(rows: DataFrame, position: list[str], votes: DataFrame | None = None) -> DataFrame:
+    """Canonical penalty rows typed for the dedup; ``votes`` are the decisions on their dates, if known already."""
+    dated = parse_date_vote(rows, "penalty_date", "__date", [TIME], votes)
     return dated.select(
         F.col(TIME).alias("stamp"), "ccn", F.col("__date").alias("penalty_date"),
         clean.normalize_text("penalty_type").alias("penalty_type"),

@@ -17,8 +17,9 @@ from tidemark.operators import increments
 from tidemark.operators.increments import largest_key
 from tidemark.operators.ordering import dense_key
 from tidemark.operators.versions import prepend_unknown, scd1_latest
+from tidemark.operators.votes import date_votes
 from tidemark.plans import cleaning_log, dimensions, facts, publish
-from tidemark.session import durable
+from tidemark.session import durable, stored
 from tidemark.sources import catalog
 from tidemark.sources.text import POSITION, load_snapshots
 
@@ -150,8 +151,10 @@ def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, l
     written["fact_snapshot"] = old["fact_snapshot"].unionByName(added) if grown else added
 
     columns = facts.EventColumns(position=tuple(position))
+    votes = None
     if penalties is not None:
-        newer = durable(increments.event_index(facts.penalty_sightings(penalties, position), columns))
+        votes = stored(date_votes(penalties, "penalty_date", [TIME]), "votes")
+        newer = durable(increments.event_index(facts.penalty_sightings(penalties, position, votes), columns))
         if "state_events" in old:
             state["state_index"] = write(increments.merged_index(old["state_index"], newer, columns), "state_index")
             events = increments.upserted_events(old["state_events"], old["state_index"], state["state_index"], newer, c=columns)
@@ -168,7 +171,7 @@ def extend_warehouse(spark: SparkSession, source: str, root: str, run_id: str, l
         penalty = facts.empty_penalty_fact(spark)
     written["fact_penalty"] = write(penalty, "fact_penalty")
 
-    log = cleaning_log.of_build(providers, penalties, carried, {**written, "fact_snapshot": added})
+    log = cleaning_log.of_build(providers, penalties, carried, {**written, "fact_snapshot": added}, votes)
     release = publish.switch(spark, {**written, **state}, root, run_id, logged_at, log, base, segments={"fact_snapshot": segments},
                              key_version=found["tables"]["dim_facility"]["key_version"] if grown else run_id, **noted)
     publish.delete(spark, staging)

@@ -206,7 +206,9 @@ def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, lo
     penalty fact takes its keys from the written snapshot fact. What the cleaning
     rules did is logged with the checks. Staged rows are deleted at the end.
     """
+    from tidemark.operators.votes import date_votes
     from tidemark.plans import cleaning_log, dimensions, facts
+    from tidemark.session import stored
     from tidemark.sources.text import POSITION, load_snapshots
 
     position, base = list(POSITION), generation(spark, root)
@@ -217,13 +219,14 @@ def build_warehouse(spark: SparkSession, source: str, root: str, run_id: str, lo
     dims = dict(written)
     written["fact_snapshot"] = write_table(facts.fact_snapshot(providers, dims, position), root, run_id, "fact_snapshot")
     attributes = facts.attributes_of(written["fact_snapshot"])
-    sightings = None if penalties is None else facts.penalty_sightings(penalties, position)
+    votes = None if penalties is None else stored(date_votes(penalties, "penalty_date", ["processing_date"]), "votes")
+    sightings = None if penalties is None else facts.penalty_sightings(penalties, position, votes)
     columns = facts.EventColumns(position=tuple(position))
     written["fact_penalty"] = write_table(
         facts.fact_penalty(sightings, attributes, dims, columns), root, run_id, "fact_penalty")
     if population is not None:
         written["ref_state_population"] = write_table(population, root, run_id, "ref_state_population")
-    log = cleaning_log.of_build(providers, penalties, survivors, written)
+    log = cleaning_log.of_build(providers, penalties, survivors, written, votes)
     release = switch(spark, written, root, run_id, logged_at, log, base)
     delete(spark, staging)
     return release

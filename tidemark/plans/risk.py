@@ -8,6 +8,7 @@ from tidemark import fixed_values as V
 from tidemark.functions.measures import count_where, divide, mean, share
 from tidemark.operators.lookups import join_unique
 from tidemark.operators.ordering import quantile_cuts
+from tidemark.operators.quantiles import cuts_of
 from tidemark.plans.gradients import per_base
 from tidemark.plans.roster import fines_by_facility, in_window, short_names
 
@@ -25,8 +26,7 @@ def risk_score(roster: DataFrame) -> DataFrame:
     Cut points are the 75th percentiles of the roster given, so a filtered view
     scores facilities against their own peers.
     """
-    fines_cut = quantile_cuts(roster, "fines_per_bed", [0.75])[0]
-    defic_cut = quantile_cuts(roster, "deficiencies", [0.75])[0]
+    cuts = cuts_of(roster, {"fines_per_bed": [0.75], "deficiencies": [0.75]})
     sure = lambda condition: F.coalesce(condition, F.lit(False))
     flags = {
         "flag_special_focus": sure(F.col("special_focus_status").isin(V.FOCUS_VALUES)),
@@ -35,7 +35,7 @@ def risk_score(roster: DataFrame) -> DataFrame:
         "flag_deficiencies": sure(F.col("deficiencies") >= F.col("__defic_cut")),
         "flag_thin_staffing": sure(F.col("nurse_hprd") < V.STAFFING_FLOOR),
     }
-    flagged = roster.withColumns({"__fines_cut": fines_cut, "__defic_cut": defic_cut}).withColumns(
+    flagged = roster.withColumns({"__fines_cut": cuts["fines_per_bed"][0], "__defic_cut": cuts["deficiencies"][0]}).withColumns(
         flags).drop("__fines_cut", "__defic_cut")
     score = sum((F.col(f).cast("int") * w for f, w, _ in V.RISK_FLAGS), F.lit(0))
     reasons = F.concat_ws(", ", *[F.when(F.col(f), label) for f, _, label in V.RISK_FLAGS])
