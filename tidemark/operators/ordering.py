@@ -103,13 +103,11 @@ def exact_quantiles(
     """Exact quantiles with linear interpolation, one array per group.
 
     ``bounded`` says the value domain is small by construction (star ratings, one
-    row per state). Otherwise those of a whole frame come from refined histograms;
-    values of groups are merged, written and counted, and a distributed selection
-    takes over past ``limit`` of them.
+    row per state). Otherwise equal values are merged, written and counted. Past
+    ``limit`` of them refined histograms take over for a whole frame, a distributed
+    selection for groups.
     """
     by = list(by)
-    if not by and not bounded:
-        return exact_cuts(frame, {value: probs}, limit=limit).withColumnRenamed(value, into)
     limit = lookups.PIN_ROWS if limit is None else limit
     counts = (
         frame.filter(F.col(value).isNotNull())
@@ -120,6 +118,8 @@ def exact_quantiles(
     if bounded or counts.count() <= limit:
         return counts.groupBy(*by).agg(
             F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]), F.col("__n")).alias(into))
+    if not by:
+        return exact_cuts(frame, {value: probs}, limit=limit).withColumnRenamed(value, into)
     ranked = sliced_total(counts, ["__v"], "__before", by=by, weight=F.col("__n"), slice_rows=limit)
     sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__size"))
     ranked = lookups.lookup_join(ranked, sizes, by, "inner", null_safe=True)
