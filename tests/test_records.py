@@ -101,3 +101,14 @@ def test_the_exchange_of_whole_records_is_the_one_of_blocks(spark, tmp_path, sma
     path = write(tmp_path / "f.csv", 1, 60)
     plan = records.quoted_records(spark, [path])._jdf.queryExecution().toString()
     assert "mapInArrow" not in plan and "PythonUDF" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_file_of_one_block_is_cut_into_stretches_of_lines(spark, tmp_path, monkeypatch):
+    """Records that go over the end of one stretch, or of many, keep their text and place."""
+    monkeypatch.setattr(records, "CHUNK_LINES", 7)
+    paths = [write(tmp_path / f"f{s}.csv", s, 60) for s in (5, 6)]
+    (tmp_path / "inside.csv").write_text('a,b,c\n1,"' + "line after line\n" * 50 + '",3\n\n\n2,,"z\n"\n')
+    paths.append(str(tmp_path / "inside.csv"))
+    shown = lambda frame: frame.select(*[F.when(~F.trim(c).isin(""), F.col(c)).alias(c) for c in COLUMNS], "file_path", "file_block", "row_in_block", MALFORMED)
+    found = records.ingest_quoted_scan(spark, paths, COLUMNS, MALFORMED)
+    assert in_order(shown(found)) == in_order(shown(ingest_text_scan(spark, paths, COLUMNS, multiline=True, malformed=True)))

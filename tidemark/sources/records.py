@@ -3,8 +3,8 @@
 Whether a line starts a record hangs on everything before it in the file. Each
 line is a small function instead: where it ends, outside or inside quotes, if it
 starts outside, and if it starts inside. Such functions are put together first
-inside a block of the file, then over its blocks (one row each), so every line of
-every block knows its state while no task reads more than its block.
+inside a stretch of lines, then over the stretches of a file (one row each), so every
+line knows its state while no task holds more than a few stretches.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tidemark.session import scratch_path
 
 # states inside a line: at the start of a value, in a plain value, in quotes, after a quote in quotes
 _START, _PLAIN, _QUOTED, _CLOSED = range(4)
+CHUNK_LINES = 1 << 15       # lines of a block that are sorted and joined as one
 
 
 def _after(state: Column, part: Column) -> Column:
@@ -33,21 +34,21 @@ def ends_inside(line: Column, inside: bool) -> Column:
     return F.when(F.instr(line, '"') == 0, inside).otherwise(end == _QUOTED)
 
 
-def _with_state(frame: DataFrame, by: list[str], order: str, outside: str, inside: str) -> DataFrame:
+def _with_state(frame: DataFrame, by: list[str], order: list[str], outside: str, inside: str) -> DataFrame:
     """What the functions before a row make of the state at the start of its group, and with the row itself (``_after``).
 
     A function keeps the state, turns it, or ends in one state whatever it was.
     The last of the third kind (``settled``, null if there is none) and whether the
     state was ``turned`` an odd number of times since then say everything.
     """
-    upto = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    ordered = W.partitionBy(*by).orderBy(*order)
+    upto, before = ordered.rowsBetween(W.unboundedPreceding, 0), ordered.rowsBetween(W.unboundedPreceding, -1)
     same = F.col(outside) == F.col(inside)
     turns = frame.withColumn("__turns", F.sum((~same & F.col(outside)).cast("int")).over(upto)).withColumn(
         "__settled", F.when(same, F.struct(F.col(outside).alias("state"), F.col("__turns").alias("turns"))))
     last = lambda window: F.last("__settled", ignorenulls=True).over(window)
     count = lambda turned, settled: (F.coalesce(turned, F.lit(0)) - F.coalesce(settled["turns"], F.lit(0))) % 2 == 1
-    return turns.withColumns({"__before": last(before), "__upto": last(upto), "__turned": F.lag("__turns").over(W.partitionBy(*by).orderBy(order))}).withColumns({
+    return turns.withColumns({"__before": last(before), "__upto": last(upto), "__turned": F.lag("__turns").over(ordered)}).withColumns({
         "settled": F.col("__before.state"), "turned": count(F.col("__turned"), F.col("__before")),
         "settled_after": F.col("__upto.state"), "turned_after": count(F.col("__turns"), F.col("__upto")),
     }).drop("__turns", "__settled", "__before", "__upto", "__turned")
@@ -60,51 +61,64 @@ def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     ``\\r\\n``; breaks inside quotes stay as they are, empty lines between records are
     left out.
 
-    Lines are written once, so that every step sees the same blocks; a block is
-    shuffled once. Only records that go over the end of a block are put together
-    by another shuffle.
+    Lines are written once, so that every step sees the same blocks. A block is cut
+    into stretches of ``CHUNK_LINES`` lines, which are its unit of work: a task holds
+    a few of them, however large files and blocks are. Inside a stretch the lines of a
+    record are put together to a piece, without another shuffle, and pieces are
+    written; only those of records that go over the end of a stretch meet in one.
     """
+    chunk_lines = CHUNK_LINES
     read = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block"),
         F.monotonically_increasing_id().alias("row"), F.decode(F.col("value").cast("binary"), V.TEXT_ENCODING).alias("value"))
+    # numbers of rows are consecutive inside a block, so stretches of numbers follow each other
     lines = read.select(
-        "*", ends_inside(F.col("value"), False).alias("outside"), ends_inside(F.col("value"), True).alias("inside"))
-    path = scratch_path(spark, "lines")
-    lines.write.option("compression", "zstd").parquet(path)
-    written = spark.read.schema(lines.schema).parquet(path)
-
-    block = ["file_path", "file_block"]
-    relative = _with_state(written, block, "row", "outside", "inside")
-    # a row per block of a file
+        "*", (F.col("row") - F.col("row") % chunk_lines).alias("chunk"),
+        ends_inside(F.col("value"), False).alias("outside"), ends_inside(F.col("value"), True).alias("inside"))
+    written = _written(lines, "lines")
+
+    block, at = ["file_path", "file_block", "chunk"], ["file_block", "chunk"]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-written.count() // (8 * chunk_lines)))
+    relative = _with_state(written.repartition(tasks, *block), block, ["row"], "outside", "inside")
+    # a row per stretch of a file
     blocks = relative.groupBy(*block).agg(F.max_by(F.struct("settled_after", "turned_after"), "row").alias("end")).select(
         *block, (F.coalesce("end.settled_after", F.lit(False)) != F.col("end.turned_after")).alias("outside"),
         (F.coalesce("end.settled_after", F.lit(True)) != F.col("end.turned_after")).alias("inside"))
-    entered = _with_state(blocks, ["file_path"], "file_block", "outside", "inside").select(
+    entered = _with_state(_written(blocks, "blocks"), ["file_path"], at, "outside", "inside").select(
         *block, (F.coalesce("settled", F.lit(False)) != F.col("turned")).alias("entry"))
     started = relative.join(entered, block).withColumn("open", F.coalesce("settled", "entry") != F.col("turned"))
     kept = started.where(F.col("open") | ~F.col("value").isin("", "\r"))
     so_far = W.partitionBy(*block).orderBy("row").rowsBetween(W.unboundedPreceding, 0)
     numbered = kept.withColumn("nr", F.sum((~F.col("open")).cast("int")).over(so_far))
 
-    # lines before the first record of a block belong to the last record of a block before
-    per_block = numbered.groupBy(*block).agg(F.max("nr").alias("last"))
-    earlier = W.partitionBy("file_path").orderBy("file_block").rowsBetween(W.unboundedPreceding, -1)
-    later = W.partitionBy("file_path").orderBy("file_block")
-    owners = per_block.join(numbered.groupBy(*block).agg(F.min("nr").alias("first")), block).select(
+    def joined(frame: DataFrame, by: list[str], order: list[str], text: str) -> DataFrame:
+        parts = F.array_sort(F.collect_list(F.struct(*order, text)))
+        return frame.groupBy(*by).agg(parts.alias("parts")).select(
+            *by, F.col("parts")[0].alias("first"), F.array_join(F.transform("parts", lambda p: p[text]), "\n").alias("text"))
+
+    pieces = _written(joined(numbered, [*block, "nr"], ["row"], "value").select(
+        *block, "nr", F.col("first.row").alias("row"), "text"), "pieces")
+    # lines before the first record of a stretch belong to the last record of a stretch before
+    per_block = pieces.groupBy(*block).agg(F.max("nr").alias("last"), F.min("nr").alias("first"))
+    later = W.partitionBy("file_path").orderBy(*at)
+    owners = per_block.select(
         *block, "last", (F.lead("first").over(later) == 0).alias("goes_on"),
-        F.last(F.when(F.col("last") > 0, F.struct("file_block", "last")), ignorenulls=True).over(earlier).alias("owner"))
-    placed = numbered.join(owners, block)
+        F.last(F.when(F.col("last") > 0, F.struct(*at, "last")), ignorenulls=True).over(
+            later.rowsBetween(W.unboundedPreceding, -1)).alias("owner"))
+    placed = pieces.join(owners, block)
     edge = (F.col("nr") == 0) | (F.coalesce("goes_on", F.lit(False)) & (F.col("nr") == F.col("last")))
-
-    def joined(frame: DataFrame, by: list[str]) -> DataFrame:
-        lines = F.array_sort(F.collect_list(F.struct("file_block", "row", "value")))
-        return frame.groupBy(*by).agg(lines.alias("lines")).select(
-            "file_path", F.col("lines")[0]["file_block"].alias("file_block"), F.col("lines")[0]["row"].alias("row_in_block"),
-            F.regexp_replace(F.array_join(F.transform("lines", lambda l: l["value"]), "\n"), "\r$", "").alias("record"))
-
-    own = F.when(F.col("nr") > 0, F.struct("file_block", F.col("nr").alias("last"))).otherwise(F.col("owner"))
-    whole = joined(placed.where(~edge), [*block, "nr"])
-    return whole.unionByName(joined(placed.where(edge).withColumn("of", own), ["file_path", "of"]))
+    own = F.when(F.col("nr") > 0, F.struct(*at, F.col("nr").alias("last"))).otherwise(F.col("owner"))
+    over = joined(placed.where(edge).withColumn("of", own), ["file_path", "of"], ["file_block", "row"], "text")
+    shown = lambda block, row: ["file_path", block.alias("file_block"), row.alias("row_in_block"),
+                                F.regexp_replace("text", "\r$", "").alias("record")]
+    return placed.where(~edge).select(*shown(F.col("file_block"), F.col("row"))).unionByName(
+        over.select(*shown(F.col("first.file_block"), F.col("first.row"))))
+
+
+def _written(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str], malformed: str, broken: str = "__broken") -> DataFrame:
