@@ -58,8 +58,8 @@ def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFram
     by = [PARTITIONS[name]] if name in PARTITIONS else []
     if name == "fact_penalty":
         rows = rows.withColumn("event_year", event_year())
-    # rebalancing splits a hot period over several writers and merges small ones
-    writer = rows.hint("rebalance", *by).write.mode("errorifexists")
+    # rebalancing splits a hot period over several writers and merges small ones; other tables are written where they are
+    writer = (rows.hint("rebalance", *by) if by else rows).write.mode("errorifexists")
     (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")
     return frame.sparkSession.read.schema(rows.schema).parquet(f"{release}/{name}")
 

@@ -15,6 +15,11 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even if that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows of snapshots compress about tenfold: the default 64 MB of a shuffle are up to 600 MB in each sort of a
+    # task, and several million rows of two narrow columns; tasks stay small, their number grows with the input
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "512",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 
@@ -82,12 +87,12 @@ def clean(spark: SparkSession) -> int:
 def stored(frame: DataFrame, name: str, partition: str | None = None) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
-    Readers get column and partition pruning and exact sizes. Rebalancing splits
-    a hot partition over several writers and merges small ones.
+    Readers get column and partition pruning and exact sizes. With a partition
+    column, rebalancing splits a hot partition over several writers and merges
+    small ones; else rows are written where they are, without another shuffle.
     """
     path = scratch_path(frame.sparkSession, name)
-    rows = frame.hint("rebalance", partition) if partition else frame.hint("rebalance")
-    writer = rows.write.partitionBy(partition) if partition else rows.write
+    writer = frame.hint("rebalance", partition).write.partitionBy(partition) if partition else frame.write
     writer.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
