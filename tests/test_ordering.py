@@ -77,3 +77,12 @@ def test_first_and_last_per_key(spark, sample):
         mine = [i for h, i, _ in sample if h == g]
         assert (first[g], last[g]) == (min(mine), max(mine))
     assert first_per_key(frame, ["g"], ["i"]).columns == frame.columns
+
+
+def test_a_group_of_many_rows_is_numbered_in_slices(spark, monkeypatch):
+    """300,000 rows of one file are more than one task sorts."""
+    from tidemark.operators import ordering
+    sliced = []
+    monkeypatch.setattr(ordering, "sliced_total", lambda frame, *a, **k: sliced.append(k) or frame.withColumn(a[1], F.col("x")))
+    ordering.number_in_group(spark.range(300_000).select(F.lit("f").alias("file"), F.col("id").alias("x")), ["file"], ["x"], "place")
+    assert [k["slice_rows"] for k in sliced] == [250_000]

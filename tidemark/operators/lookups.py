@@ -12,7 +12,7 @@ from tidemark import fixed_values as V
 
 PIN_ROWS = 100_000          # most rows a pinned lookup may have
 PIN_BYTES = 64 << 20        # and most bytes
-HOT_ROWS = 1_000_000        # rows of one key that a single task may handle
+HOT_ROWS = 250_000          # rows of one key that a single task may handle: up to 1 kB each in its sort and window
 SALTS = 64
 
 
