@@ -13,9 +13,9 @@ def test_clean_deletes_only_what_this_application_made(spark, monkeypatch):
     assert not files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files)
 
 
-def test_storing_rows_that_need_no_partitions_shuffles_nothing(spark):
+def test_rows_are_stored_without_a_shuffle_where_asked(spark):
     """Rows are written by the tasks that made them: three tasks, three files."""
-    kept = session.stored(spark.range(0, 3000, 1, 3).toDF("x"), "kept")
+    kept = session.stored(spark.range(0, 3000, 1, 3).toDF("x"), "kept", spread=False)
     assert len(kept.inputFiles()) == 3 and kept.count() == 3000
 
 

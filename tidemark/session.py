@@ -84,15 +84,16 @@ def clean(spark: SparkSession) -> int:
     return deleted
 
 
-def stored(frame: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+def stored(frame: DataFrame, name: str, partition: str | None = None, *, spread: bool = True) -> DataFrame:
     """Write a table to the shared folder once and read it back.
 
-    Readers get column and partition pruning and exact sizes. With a partition
-    column, rebalancing splits a hot partition over several writers and merges
-    small ones; else rows are written where they are, without another shuffle.
+    Readers get column and partition pruning and exact sizes. Rebalancing splits
+    a hot partition over several writers and merges small ones. Without ``spread``
+    rows are written where they are, without that shuffle.
     """
     path = scratch_path(frame.sparkSession, name)
-    writer = frame.hint("rebalance", partition).write.partitionBy(partition) if partition else frame.write
+    rows = frame.hint("rebalance", *([partition] if partition else [])) if spread else frame
+    writer = rows.write.partitionBy(partition) if partition else rows.write
     writer.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

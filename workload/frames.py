@@ -228,7 +228,7 @@ class Frames:
     @cached_property
     def staged_sighting(self) -> DataFrame:
         """Sightings as a stored staging table, as rows parsed from files would be."""
-        return stored(self.sighting, "sighting")
+        return stored(self.sighting, "sighting", spread=False)
 
     @cached_property
     def events(self) -> DataFrame:
