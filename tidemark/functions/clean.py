@@ -10,7 +10,9 @@ from pyspark.sql import Column, functions as F
 from tidemark import fixed_values as V
 
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
-_SPACE = r"[\s\x1c-\x1f\x85\xa0]"
+# characters one by one, no ranges or classes: such a set is a bit table to the regular expressions of the JVM
+_SPACE = r"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0]"
+_SIGNS = "$,% \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
 
 
 def col(c: Column | str) -> Column:
@@ -50,13 +52,14 @@ def normalize_zip(c: Column | str) -> Column:
 
 
 def normalize_text(c: Column | str, upper: bool = False) -> Column:
-    text = blank_to_null(F.regexp_replace(strip(c), f"{_SPACE}+", " "))
-    return F.upper(text) if upper else text
+    # blank before the replacement is blank after it: asked there, the replacement runs once
+    text = F.regexp_replace(strip(c), f"{_SPACE}+", " ")
+    return F.when(strip(c) != "", F.upper(text) if upper else text)
 
 
 def to_number(c: Column | str) -> Column:
     """Money, percent and grouped digits to a double; anything else is null."""
-    text = F.regexp_replace(col(c), r"[$,%\s\x1c-\x1f\x85\xa0]", "")
+    text = F.translate(col(c), _SIGNS, "")
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 

@@ -38,14 +38,16 @@ def date_votes(frame: DataFrame, column: str, by: list[str]) -> DataFrame:
     explain as many values but disagree.
     """
     text = strip(column)
-    parsed = frame.select(*by, F.when(text != "", text).alias("__t")).select(
-        *by, "__t", *[parse_as(F.col("__t"), i).alias(f"__p{i}") for i in range(len(_FORMATS))])
+    # dates repeat: each text of a group is parsed once and counts as often as it occurs
+    texts = frame.select(*by, F.when(text != "", text).alias("__t")).groupBy(*by, "__t").agg(F.count("*").alias("__n"))
+    parsed = texts.select(
+        *by, "__t", "__n", *[parse_as(F.col("__t"), i).alias(f"__p{i}") for i in range(len(_FORMATS))])
     pairs = list(combinations(range(len(_FORMATS)), 2))
+    rows = lambda holds: F.coalesce(F.sum(F.when(holds, F.col("__n"))), F.lit(0))
     scores = parsed.groupBy(*by).agg(
-        F.count("__t").alias("present"),
-        *[F.count(f"__p{i}").alias(f"__h{i}") for i in range(len(_FORMATS))],
-        *[F.count(F.when(~F.col(f"__p{i}").eqNullSafe(F.col(f"__p{j}")), 1)).alias(f"__d{i}{j}")
-          for i, j in pairs],
+        rows(F.col("__t").isNotNull()).alias("present"),
+        *[rows(F.col(f"__p{i}").isNotNull()).alias(f"__h{i}") for i in range(len(_FORMATS))],
+        *[rows(~F.col(f"__p{i}").eqNullSafe(F.col(f"__p{j}"))).alias(f"__d{i}{j}") for i, j in pairs],
     )
     hits = [F.col(f"__h{i}") for i in range(len(_FORMATS))]
     best_hits = F.greatest(*hits)

@@ -89,15 +89,15 @@ def unmapped_state_codes(geography: DataFrame) -> DataFrame:
     ).select("state_code").distinct()
 
 
-def distinct_values(rows: DataFrame, column, into: str, key: str) -> DataFrame:
-    """Sorted distinct known values with a dense key."""
-    values = rows.select(column.alias(into)).filter(F.col(into).isNotNull()).distinct()
-    return dense_key(values, [into], key)
+def distinct_values(rows: DataFrame, column: str, key: str) -> DataFrame:
+    """Sorted distinct known values of a text column, normalised, with a dense key; each spelling is normalised once."""
+    spelled = rows.select(column).distinct()
+    values = spelled.select(clean.normalize_text(column).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    return dense_key(values, [column], key)
 
 
 def dim_ownership(rows: DataFrame) -> DataFrame:
-    types = distinct_values(rows, clean.normalize_text("ownership_type"), "ownership_type",
-                            "ownership_key")
+    types = distinct_values(rows, "ownership_type", "ownership_key")
     grouped = types.withColumn("ownership_group", clean.ownership_group(F.col("ownership_type")))
     return prepend_unknown(
         grouped.withColumn("is_for_profit", F.col("ownership_group") == V.FOR_PROFIT),
@@ -138,8 +138,7 @@ def dim_penalty_type(penalties: DataFrame | None, spark: SparkSession | None = N
     if penalties is None:
         known = spark.createDataFrame([(V.FINE,), (V.DENIAL,)], "penalty_type string")
         penalties = known
-    types = distinct_values(penalties, clean.normalize_text("penalty_type"), "penalty_type",
-                            "penalty_type_key")
+    types = distinct_values(penalties, "penalty_type", "penalty_type_key")
     flagged = types.withColumn(
         "is_monetary", F.lower(F.trim("penalty_type")) == V.FINE.lower())
     return prepend_unknown(flagged, "penalty_type_key", is_monetary=False)

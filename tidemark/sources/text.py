@@ -207,23 +207,27 @@ def load_snapshots(spark: SparkSession, root: str, periods: list | None = None,
     Rows carry ``snapshot_date`` (the period's label) and ``processing_date``
     (the time axis). Republished periods are collapsed file by file; superseded
     penalty files are not read. With ``staging`` each kind is parsed once, written
-    there by period, and everything after reads what was written.
+    there by period, and everything after reads what was written. Files read line by line
+    are written as they are read, a task has few periods; records put together are
+    spread over all tasks and shuffled to their periods first.
     """
-    def once(rows, name):
-        if staging is None:
+    def parsed(chosen, logical, name):
+        found = layouts_of(spark, chosen, logical)
+        rows = read_logical(spark, chosen, logical, found)
+        if rows is None or staging is None:
             return rows
         path = f"{staging}/{name}"
-        rows.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").parquet(path)
+        placed = rows.hint("rebalance", "snapshot_date") if any(l.quoted_breaks for l in found) else rows
+        placed.write.partitionBy("snapshot_date").parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
     files = catalog.only_periods(catalog.list_files(spark, root), periods)
     chosen = catalog.classify_files(files)
     usable = catalog.usable_periods(chosen).filter("has_provider").select("snapshot_date")
     chosen = lookup_join(chosen, usable, "snapshot_date", "left_semi")
-    providers = read_logical(spark, chosen, V.REQUIRED_FILE)
+    providers = parsed(chosen, V.REQUIRED_FILE, "provider_rows")
     if providers is None:
         raise ValueError(f"no period below {root} has a {V.REQUIRED_FILE} file")
-    providers = once(providers, "provider_rows")
     axis = processing_dates(providers, list(POSITION)).select("snapshot_date", "processing_date")
     survivors = catalog.collapse_republished(
         lookup_join(chosen.select("snapshot_date", "logical"), axis, "snapshot_date", "inner"))
@@ -235,9 +239,7 @@ def load_snapshots(spark: SparkSession, root: str, periods: list | None = None,
         return lookup_join(kept, label, "snapshot_date", "inner")
 
     serving = survivors.select("logical", F.col("source_date").alias("snapshot_date"))
-    penalties = read_logical(spark, lookup_join(chosen, serving, ["logical", "snapshot_date"], "left_semi"), "penalties")
-    if penalties is not None:
-        penalties = once(penalties, "penalty_rows")
+    penalties = parsed(lookup_join(chosen, serving, ["logical", "snapshot_date"], "left_semi"), "penalties", "penalty_rows")
     return (of_period(providers, V.REQUIRED_FILE),
             of_period(penalties, "penalties") if penalties is not None else None,
             survivors)
