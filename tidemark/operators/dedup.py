@@ -45,12 +45,13 @@ def with_natural_key(sightings: DataFrame, c: EventColumns, hot_rows: int | None
 
     Rows are spread once by (member, date, type): that serves the numbering and
     the collapse after it. Where such a group is too large for one task, the
-    numbering falls back to slices of the file order.
+    numbering falls back to slices of the file order. Groups are counted only if
+    a whole member is that large: members alone need no date or text parsed.
     """
     limit = lookups.HOT_ROWS if hot_rows is None else hot_rows
     event = c.group[1:]
-    hot = sightings.groupBy(*event).count().filter(F.col("count") > limit)
-    if hot.isEmpty():
+    hot = lambda by: not sightings.groupBy(*by).count().filter(F.col("count") > limit).isEmpty()
+    if not (hot([c.member]) and hot(event)):
         window = W.partitionBy(*event, c.stamp).orderBy(*c.position)
         numbered = sightings.repartition(*event).withColumn(
             "occurrence", (F.row_number().over(window) - 1).cast("bigint"))
