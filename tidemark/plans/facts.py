@@ -10,7 +10,7 @@ from tidemark.operators.dedup import EventColumns, window_dedup
 from tidemark.operators.lookups import join_unique, key_lookup
 from tidemark.operators.ordering import dense_key, first_per_key
 from tidemark.operators.versions import asof_lookup
-from tidemark.operators.votes import fix_unit_drift, parse_date_vote, presence, tri_state
+from tidemark.operators.votes import fix_unit_drift, parse_date_vote, presence, tri_state, unit_medians
 
 TIME = "processing_date"
 
@@ -63,7 +63,11 @@ def fact_snapshot(rows: DataFrame, dims: dict[str, DataFrame], position: list[st
     first = first_per_key(rows, [TIME, "ccn"], position)
     typed = first.withColumns({c: clean.to_whole(c) for c in _WHOLE}).withColumns(
         {c: clean.to_number(c) for c in _DECIMAL})
-    scaled = fix_unit_drift(typed, "total_nursing_turnover_pct", "total_nursing_turnover_pct", [TIME])
+    # the medians need one column: rows are not shuffled whole a second time for them
+    turnover = first_per_key(rows.select(TIME, "ccn", *position, "total_nursing_turnover_pct"), [TIME, "ccn"], position)
+    units = unit_medians(turnover.select(TIME, clean.to_number("total_nursing_turnover_pct").alias("total_nursing_turnover_pct")),
+                         "total_nursing_turnover_pct", [TIME])
+    scaled = fix_unit_drift(typed, "total_nursing_turnover_pct", "total_nursing_turnover_pct", [TIME], units)
     keyed = snapshot_keys(scaled, dims, rows)
     keyed = asof_lookup(keyed, dims["dim_facility"], "ccn", TIME, "facility_key")
     return keyed.withColumns({
