@@ -111,7 +111,8 @@ def window_dedup(sightings: DataFrame, c: EventColumns = EventColumns(), **optio
 
 
 def _by_identity(keys: DataFrame, c: EventColumns) -> DataFrame:
-    payload = [x for x in keys.columns if x not in (c.official_id, "sightings", "with_id")]
+    # the natural key follows from the columns that are kept
+    payload = [x for x in keys.columns if x not in (c.official_id, "sightings", "with_id", "natural_key")]
     kept = (
         keys.withColumn("identity", F.coalesce(c.official_id, "natural_key"))
         .groupBy("identity", c.official_id)
@@ -119,7 +120,8 @@ def _by_identity(keys: DataFrame, c: EventColumns) -> DataFrame:
              F.sum("sightings").alias("sightings"))
     )
     return kept.select(
-        "kept.*", c.official_id,
+        "kept.*", c.official_id, "identity", "sightings").select(
+        *payload, natural_key(c).alias("natural_key"), c.official_id,
         F.when(F.col(c.official_id).isNotNull(), BY_ID).otherwise(BY_KEY).alias("fine_id_source"),
         "identity", "sightings")
 

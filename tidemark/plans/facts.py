@@ -29,6 +29,7 @@ _WHOLE = ["certified_beds", "overall_rating", "staffing_rating", "health_inspect
           "cycle1_total_deficiencies"]
 _DECIMAL = ["avg_residents_per_day", "reported_total_nurse_hprd", "reported_rn_hprd",
             "total_nursing_turnover_pct"]
+_LOOKED_UP = ["zip_code", "city", "state_code", "ownership_type", "chain_name"]
 
 
 def with_geography_key(rows: DataFrame, dim: DataFrame) -> DataFrame:
@@ -60,9 +61,10 @@ def snapshot_keys(rows: DataFrame, dims: dict[str, DataFrame], source: DataFrame
 
 def fact_snapshot(rows: DataFrame, dims: dict[str, DataFrame], position: list[str]) -> DataFrame:
     """One row per facility and period, 17 columns. Implausible rows are flagged."""
-    first = first_per_key(rows, [TIME, "ccn"], position)
-    typed = first.withColumns({c: clean.to_whole(c) for c in _WHOLE}).withColumns(
-        {c: clean.to_number(c) for c in _DECIMAL})
+    # only what the fact holds or looks up is shuffled, numbers as numbers
+    typed = first_per_key(rows.select(
+        TIME, "ccn", *position, *_LOOKED_UP, *[clean.to_whole(c).alias(c) for c in _WHOLE],
+        *[clean.to_number(c).alias(c) for c in _DECIMAL]), [TIME, "ccn"], position)
     # the medians need one column: rows are not shuffled whole a second time for them
     turnover = first_per_key(rows.select(TIME, "ccn", *position, "total_nursing_turnover_pct"), [TIME, "ccn"], position)
     units = unit_medians(turnover.select(TIME, clean.to_number("total_nursing_turnover_pct").alias("total_nursing_turnover_pct")),
@@ -92,7 +94,7 @@ def penalty_sightings(rows: DataFrame, position: list[str], votes: DataFrame | N
 
 def attributes_at(rows: DataFrame, dims: dict[str, DataFrame], position: list[str]) -> DataFrame:
     """Keys of every (facility, period): the first row of a repeated facility."""
-    first = first_per_key(rows, [TIME, "ccn"], position)
+    first = first_per_key(rows.select(TIME, "ccn", *position, *_LOOKED_UP), [TIME, "ccn"], position)
     return snapshot_keys(first, dims, rows).select(
         "ccn", F.col(TIME).alias("stamp"), "geography_key", "ownership_key", "chain_key")
 
@@ -135,7 +137,10 @@ def penalty_fact_of(
         return dated.withColumn("penalty_event_key", F.col(key)).select(*PENALTY_FACT)
     order = ["penalty_date_key", F.col("ccn").asc_nulls_last(), "penalty_type_key", "stamp",
              *columns.position]
-    return dense_key(dated, order, "penalty_event_key").select(*PENALTY_FACT)
+    # numbering writes and shuffles its rows: only what the fact holds and the order needs
+    held = [c for c in PENALTY_FACT if c != "penalty_event_key"]
+    narrow = dated.select(*dict.fromkeys([*held, "stamp", *columns.position]))
+    return dense_key(narrow, order, "penalty_event_key").select(*PENALTY_FACT)
 
 
 def empty_penalty_fact(spark) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.plans import checks, runlog
 from tidemark.plans.facts import FACILITY_FACT, PENALTY_FACT
+from tidemark.session import COMPRESSION
 
 DECLARED = {"fact_snapshot": FACILITY_FACT, "fact_penalty": PENALTY_FACT}
 PARTITIONS = {"fact_snapshot": "snapshot_date_key", "fact_penalty": "event_year"}
@@ -59,7 +60,7 @@ def write_table(frame: DataFrame, root: str, run_id: str, name: str) -> DataFram
     if name == "fact_penalty":
         rows = rows.withColumn("event_year", event_year())
     # rebalancing splits a hot period over several writers and merges small ones
-    writer = rows.hint("rebalance", *by).write.mode("errorifexists")
+    writer = rows.hint("rebalance", *by).write.mode("errorifexists").option("compression", COMPRESSION)
     (writer.partitionBy(*by) if by else writer).parquet(f"{release}/{name}")
     return frame.sparkSession.read.schema(rows.schema).parquet(f"{release}/{name}")
 

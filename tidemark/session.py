@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "16m",
 }
 
+#: Of tables written to be read again.
+COMPRESSION = "zstd"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every plan in this package assumes."""
@@ -94,7 +97,7 @@ def stored(frame: DataFrame, name: str, partition: str | None = None, *, spread:
     path = scratch_path(frame.sparkSession, name)
     rows = frame.hint("rebalance", *([partition] if partition else [])) if spread else frame
     writer = rows.write.partitionBy(partition) if partition else rows.write
-    writer.parquet(path)
+    writer.option("compression", COMPRESSION).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

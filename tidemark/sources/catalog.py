@@ -17,22 +17,43 @@ from tidemark.operators.ordering import first_per_key
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files below ``root/<yyyy-MM-dd>/``; file contents are never read."""
+    """Files below ``root/<yyyy-MM-dd>/``; file contents are never read.
+
+    A file may be a folder of parts, ``<name>/part-00000...``, as Spark writes
+    it. Parts follow each other by number; each has the header.
+    """
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        .select("path", F.col("length"))
+        .groupBy(whole_file("path").alias("path")).agg(F.sum("length").alias("length"))
     )
     return found.select(period_of("path").alias("snapshot_date"), "path", "length").filter(
         F.col("snapshot_date").isNotNull())
 
 
+def whole_file(path: Column | str) -> Column:
+    """Path of the file that a part belongs to; of any other file its own."""
+    return F.regexp_replace(col(path), r"(/\d{4}-\d{2}-\d{2}/[^/]+)/part-\d[^/]*$", "$1")
+
+
+def part_start(path: Column | str) -> Column:
+    """Where a part, ``part-<number>...[.c<number>]...``, starts in its file, in order only.
+
+    A part has room for 2^36 bytes, a writer's task (the first number) for 256 parts.
+    """
+    name = F.substring_index(col(path), "/", -1)
+    task = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")
+    again = F.regexp_extract(name, r"\.c(\d+)", 1).try_cast("bigint")
+    start = F.shiftleft(F.shiftleft(task, 8) + F.coalesce(again, F.lit(0)), 36)
+    return F.when(name.startswith("part-"), F.coalesce(start, F.lit(0))).otherwise(0).cast("bigint")
+
+
 def period_of(path: Column | str) -> Column:
-    text = F.regexp_extract(col(path), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
+    text = F.regexp_extract(col(path), r"/(\d{4}-\d{2}-\d{2})/[^/]+(?:/part-\d[^/]*)?$", 1)
     return F.when(text != "", F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def file_name(path: Column | str) -> Column:
-    return F.substring_index(col(path), "/", -1)
+    return F.substring_index(whole_file(path), "/", -1)
 
 
 def classify(path: Column | str) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark import fixed_values as V
-from tidemark.session import scratch_path
+from tidemark.session import COMPRESSION, scratch_path
 
 # states inside a line: at the start of a value, in a plain value, in quotes, after a quote in quotes
 _START, _PLAIN, _QUOTED, _CLOSED = range(4)
@@ -105,7 +105,8 @@ def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         *block, "last", (F.lead("first").over(later) == 0).alias("goes_on"),
         F.last(F.when(F.col("last") > 0, F.struct(*at, "last")), ignorenulls=True).over(
             later.rowsBetween(W.unboundedPreceding, -1)).alias("owner"))
-    placed = pieces.join(owners, block)
+    # a row per stretch, sent to the pieces
+    placed = pieces.join(F.broadcast(owners), block)
     edge = (F.col("nr") == 0) | (F.coalesce("goes_on", F.lit(False)) & (F.col("nr") == F.col("last")))
     own = F.when(F.col("nr") > 0, F.struct(*at, F.col("nr").alias("last"))).otherwise(F.col("owner"))
     over = joined(placed.where(edge).withColumn("of", own), ["file_path", "of"], ["file_block", "row"], "text")
@@ -117,18 +118,23 @@ def quoted_records(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _written(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.option("compression", COMPRESSION).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str], malformed: str, broken: str = "__broken") -> DataFrame:
+def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str], malformed: str, broken: str = "__broken", *,
+                       by_file: bool = False) -> DataFrame:
     """Values of ``columns`` as text, by record, with position columns and a flag for records of another number of fields.
 
-    The first record of every file is its header and left out.
+    The first record of every file is its header and left out. With ``by_file`` records
+    go to the tasks of their files as they are, which is less to shuffle than their values.
     """
     records = quoted_records(spark, paths)
     header = records.groupBy("file_path").agg(F.min(F.struct("file_block", "row_in_block")).alias("header"))
-    body = records.join(header, "file_path").where(F.struct("file_block", "row_in_block") != F.col("header"))
+    # a row per file, sent to the records
+    body = records.join(F.broadcast(header), "file_path").where(
+        F.struct("file_block", "row_in_block") != F.col("header")).drop("header")
+    body = body.hint("rebalance", "file_path") if by_file else body
     schema = ", ".join(f"`{c}` string" for c in [*columns, broken])
     options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken,
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}

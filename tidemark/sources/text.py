@@ -11,6 +11,7 @@ from tidemark import fixed_values as V
 from tidemark.functions.clean import normalize_id, normalize_zip, null_tokens_to_null
 from tidemark.operators.lookups import lookup_join
 from tidemark.operators.votes import parse_date_vote
+from tidemark.session import COMPRESSION
 from tidemark.sources import catalog, records
 
 POSITION = ("file_block", "row_in_block")
@@ -49,9 +50,9 @@ def ingest_text_scan(spark: SparkSession, paths, columns: list[str] | None = Non
     )
 
 
-def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+def ingest_quoted_scan(spark: SparkSession, paths: list[str], columns: list[str], *, by_file: bool = False) -> DataFrame:
     """The same rows for files that quote line breaks, which are split as well (see ``records``)."""
-    found = records.ingest_quoted_scan(spark, paths, columns, MALFORMED)
+    found = records.ingest_quoted_scan(spark, paths, columns, MALFORMED, by_file=by_file)
     return found.withColumns({c: null_tokens_to_null(F.col(f"`{c}`")) for c in columns})
 
 
@@ -73,6 +74,18 @@ def layouts(spark: SparkSession, paths: list[str]) -> list[Layout]:
     """
     if not paths:
         return []
+    found = []
+    for r in first_lines(spark, paths).orderBy("path").collect():
+        spans = r.line.count('"') % 2 == 1
+        found.append(Layout(r.path, tuple(header_of(spark, r.path) if spans else next(csv.reader([r.line]), [])), r.odd))
+    return found
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``(path, odd, line)``: the first line of every file, and whether any of its lines has an odd number of quotes.
+
+    A row per file is sent to the lines, which are not shuffled.
+    """
     lines = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"))
@@ -80,13 +93,8 @@ def layouts(spark: SparkSession, paths: list[str]) -> list[Layout]:
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
     files = lines.groupBy("path").agg(F.min(F.when(F.col("block") == 0, F.col("at"))).alias("at"),
                                       F.max(quotes % 2 == 1).alias("odd"))
-    first = lines.join(files, ["path", "at"]).select(
+    return lines.join(F.broadcast(files), ["path", "at"]).select(
         "path", "odd", F.decode(F.col("value").cast("binary"), V.TEXT_ENCODING).alias("line"))
-    found = []
-    for r in first.orderBy("path").collect():
-        spans = r.line.count('"') % 2 == 1
-        found.append(Layout(r.path, tuple(header_of(spark, r.path) if spans else next(csv.reader([r.line]), [])), r.odd))
-    return found
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -167,12 +175,13 @@ def processing_dates(rows: DataFrame, position: list[str], period: str = "snapsh
 
 
 def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
-                 found: list[Layout] | None = None) -> DataFrame | None:
+                 found: list[Layout] | None = None, *, by_file: bool = False) -> DataFrame | None:
     """All chosen files of one logical table as one canonical frame.
 
     The file list is small (one per period); files with equal headers are scanned
     together, those with quoted line breaks record by record. Every row
     carries its period, its position in the file and whether it was malformed.
+    With ``by_file`` records put together are shuffled to their files before they are parsed.
     """
     if found is None:
         found = layouts_of(spark, chosen, logical)
@@ -180,7 +189,7 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
     for layout in found:
         alike.setdefault((layout.header, layout.quoted_breaks), []).append(layout.path)
     parts = [
-        canonicalize(ingest_quoted_scan(spark, group, list(header)) if quoted else
+        canonicalize(ingest_quoted_scan(spark, group, list(header), by_file=by_file) if quoted else
                      ingest_text_scan(spark, group, list(header), malformed=True), logical,
                      keep=["file_path", *POSITION, MALFORMED])
         for (header, quoted), group in alike.items()
@@ -190,8 +199,10 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    rows = rows.withColumn("snapshot_date", catalog.period_of("file_path")).withColumn(
-        "ccn", normalize_id("ccn"))
+    # parts of a file follow each other
+    rows = rows.withColumns({
+        "snapshot_date": catalog.period_of("file_path"), "ccn": normalize_id("ccn"),
+        POSITION[0]: F.col(POSITION[0]) + catalog.part_start("file_path")})
     return rows.withColumn("zip_code", normalize_zip("zip_code")) if "zip_code" in rows.columns else rows
 
 
@@ -209,16 +220,15 @@ def load_snapshots(spark: SparkSession, root: str, periods: list | None = None,
     penalty files are not read. With ``staging`` each kind is parsed once, written
     there by period, and everything after reads what was written. Files read line by line
     are written as they are read, a task has few periods; records put together are
-    spread over all tasks and shuffled to their periods first.
+    spread over all tasks and shuffled to their files first, before they are parsed.
     """
     def parsed(chosen, logical, name):
         found = layouts_of(spark, chosen, logical)
-        rows = read_logical(spark, chosen, logical, found)
+        rows = read_logical(spark, chosen, logical, found, by_file=staging is not None)
         if rows is None or staging is None:
             return rows
         path = f"{staging}/{name}"
-        placed = rows.hint("rebalance", "snapshot_date") if any(l.quoted_breaks for l in found) else rows
-        placed.write.partitionBy("snapshot_date").parquet(path)
+        rows.write.option("compression", COMPRESSION).partitionBy("snapshot_date").parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
     files = catalog.only_periods(catalog.list_files(spark, root), periods)

@@ -24,6 +24,7 @@ from tidemark.sources.text import era_columns
 
 SIGHTING_POSITION = ("l_orderkey", "l_linenumber", "l_partkey", "cents")
 SIGHTING = EventColumns(position=SIGHTING_POSITION)
+SLICE_EVENTS = 1 << 17      # events whose sightings, up to twelve each, a task sorts and writes as text
 
 
 def text(c):
@@ -195,16 +196,18 @@ class Frames:
 
     @cached_property
     def sighting(self) -> DataFrame:
-        """Every event in each of the twelve quarters whose window covers it.
+        """Every event in each of the twelve quarters whose window covers it."""
+        return self._sightings_of(self._penalized)
 
-        The quarters follow from the ship date by arithmetic; only those that are
-        periods of the panel are kept.
-        """
-        lines = self.table("lineitem")
+    @property
+    def _penalized(self) -> DataFrame:
+        return self.table("lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.07))
+
+    def _sightings_of(self, events: DataFrame) -> DataFrame:
+        """The quarters follow from the ship date by arithmetic; only those that are periods of the panel are kept."""
         shipped = F.col("l_shipdate").cast("date")
         quarter = F.to_date(F.date_trunc("quarter", "l_shipdate"))
-        periods = lines.select(quarter.alias("period")).distinct()
-        events = lines.filter((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.07))
+        periods = self.table("lineitem").select(quarter.alias("period")).distinct()
         seen = events.select(
             "*", F.explode(F.sequence(F.add_months(quarter, 3), F.add_months(quarter, 36),
                                       F.expr("interval 3 months"))).alias("period"))
@@ -291,7 +294,7 @@ class Frames:
     @cached_property
     def staged_provider(self) -> DataFrame:
         """Provider rows as a stored staging table: read by many rules below."""
-        return stored(self.provider, "provider")
+        return stored(self.provider, "provider", spread=False)
 
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
@@ -333,13 +336,21 @@ class Frames:
         One folder per period, one file per kind, in the newest layout. The names
         of a fifth of the facilities hold a quoted line break. The impossible
         turnover of the fixture is 0 here, flagged but let through by the checks.
+
+        An event is in twelve files, so events are dealt out by their place in the
+        files, and their sightings are written by the tasks that hold them: a file of
+        many events has a part per slice of places.
         """
         source = scratch_path(self.spark, "snapshots")
         broken = F.when(F.col("source_row") % 5 == 0, F.regexp_replace("provider_name", "  ", "\n")).otherwise(F.col("provider_name"))
         rows = self.staged_provider.withColumns({"provider_name": broken, "__period": F.col("processing_date"), "total_nursing_turnover_pct": F.when(
             F.col("total_nursing_turnover_pct") == "250", "0").otherwise(F.col("total_nursing_turnover_pct"))})
-        self._write_text(rows, "provider_info", ["source_row"], source, "NH_ProviderInfo_Jun2026.csv")
-        seen = self.staged_sighting.withColumn("__period", F.col("stamp")).withColumn("processing_date", F.col("stamp"))
+        self._write_text(rows.repartition("__period"), "provider_info", ["source_row"], source, "NH_ProviderInfo_Jun2026.csv")
+        events = stored(self._penalized, "penalized", spread=False)
+        slices = max(1, -(-events.count() // SLICE_EVENTS))
+        price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        seen = self._sightings_of(events.repartitionByRange(slices, "l_orderkey", "l_linenumber", "l_partkey", price))
+        seen = seen.withColumn("__period", F.col("stamp")).withColumn("processing_date", F.col("stamp"))
         self._write_text(seen, "penalties", list(SIGHTING_POSITION), source, "NH_Penalties_Jun2026.csv")
         return source
 
@@ -359,22 +370,27 @@ class Frames:
         return root
 
     def _write_text(self, rows: DataFrame, logical: str, order: list[str], root: str, name: str) -> None:
-        """``root/<period>/<name>`` for every period, in row order, under the newest headers."""
+        """``root/<period>/<name>`` for every period, in row order, under the newest headers.
+
+        A task's rows become one part of each file; all tasks with rows of a period hold
+        them in the order of the tasks. A file with a single part is that part.
+        """
         header = era_columns(logical, V.ERA_NAMES[0])
         folder = scratch_path(self.spark, "text")
         shown = [(F.col(c) if c in rows.columns else F.lit(None)).cast("string").alias(h) for c, h in header.items()]
         # the writer keeps the order of rows that are sorted by its partition column as it is written
         named = rows.withColumn("__period", F.col("__period").cast("string"))
-        named.repartition("__period").sortWithinPartitions("__period", *order).select("__period", *shown).write.partitionBy("__period").option("header", True).option(
+        named.sortWithinPartitions("__period", *order).select("__period", *shown).write.partitionBy("__period").option("header", True).option(
             "encoding", V.TEXT_ENCODING).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False).csv(folder)
         # one small catalogue step per period: give the files the names a publisher gives them
         paths = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         system = paths(folder).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        for part in system.globStatus(paths(f"{folder}/*/part-*")):
-            period = part.getPath().getParent().getName().split("=", 1)[1]
+        for file in system.globStatus(paths(f"{folder}/__period=*")):
+            period = file.getPath().getName().split("=", 1)[1]
+            parts = system.globStatus(paths(f"{folder}/__period={period}/part-*"))
             system.mkdirs(paths(f"{root}/{period}"))
-            system.rename(part.getPath(), paths(f"{root}/{period}/{name}"))
+            system.rename(parts[0].getPath() if len(parts) == 1 else file.getPath(), paths(f"{root}/{period}/{name}"))
 
     @lru_cache(maxsize=8)
     def roster(self, period: int | None = None) -> DataFrame:
