@@ -199,10 +199,12 @@ def read_logical(spark: SparkSession, chosen: DataFrame, logical: str,
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    # parts of a file follow each other
-    rows = rows.withColumns({
-        "snapshot_date": catalog.period_of("file_path"), "ccn": normalize_id("ccn"),
-        POSITION[0]: F.col(POSITION[0]) + catalog.part_start("file_path")})
+    # a row per file: its name is taken apart once, not with every row; parts of a file follow each other
+    files = spark.createDataFrame([(l.path,) for l in found], "file_path string").select(
+        "file_path", catalog.period_of("file_path").alias("snapshot_date"), catalog.part_start("file_path").alias("__start"))
+    columns = rows.columns
+    rows = rows.join(F.broadcast(files), "file_path", "left").withColumns({
+        "ccn": normalize_id("ccn"), POSITION[0]: F.col(POSITION[0]) + F.col("__start")}).select(*columns, "snapshot_date")
     return rows.withColumn("zip_code", normalize_zip("zip_code")) if "zip_code" in rows.columns else rows
 
 
